@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, quality, rendering, urls
+from . import decontamination, licenses, packing, quality, rendering, urls
 from .tables import table
 
 
@@ -16,6 +17,14 @@ def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -24,5 +33,5 @@ def op9_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_html_layout, op3_compression_bands, op8_license_notices, op9_url_model)}
+QUERIES = {f.__name__: f for f in (op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model)}
 ORACLES: dict[str, str] = {}

@@ -15,6 +15,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: As _SPACE, but ASCII letters and digits and all bytes of other characters make words.
+_PUNCTUATION = np.ones(256, dtype=bool)
+_PUNCTUATION[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -36,11 +39,11 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def _block(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of ``data`` and the places where they start."""
+def _block(data: bytes, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``data`` and the places where they start; ``apart``: which bytes stand between words."""
     a = np.frombuffer(data, np.uint8)
     space = np.ones(len(a) + 2, np.int8)
-    space[1:-1] = _SPACE[a]
+    space[1:-1] = apart[a]
     edge = np.diff(space)
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     power, inverse = _power_tables(len(a) + 1)
@@ -61,8 +64,12 @@ def _cuts(data: bytes) -> list[bytes]:
     return [*out, data[at:]]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and bounds: text i has the words from bounds[i] to bounds[i+1]."""
+def word_hashes(texts: list[bytes], punctuation: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and bounds: text i has the words from bounds[i] to bounds[i+1].
+
+    punctuation: it separates words too (lower-case the texts before).
+    """
+    apart = _PUNCTUATION if punctuation else _SPACE
     hashes, counts = [], np.zeros(len(texts) + 1, np.int64)
     group: list[bytes] = []
     first = size = 0
@@ -70,7 +77,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     def flush(upto: int) -> None:
         nonlocal group, first, size
         if group:
-            found, starts = _block(b"\n".join(group))
+            found, starts = _block(b"\n".join(group), apart)
             offsets = np.cumsum([0, *(len(x) + 1 for x in group)])
             counts[first + 1 : upto + 1] = np.diff(np.searchsorted(starts, offsets))
             hashes.append(found)
@@ -79,7 +86,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for i, text in enumerate(texts):
         if len(text) > BLOCK:
             flush(i)
-            parts = [_block(x)[0] for x in _cuts(text)]
+            parts = [_block(x, apart)[0] for x in _cuts(text)]
             hashes += parts
             counts[i + 1] = sum(map(len, parts))
             first = i + 1
