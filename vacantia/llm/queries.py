@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, packing, quality, rendering, urls
+from . import decontamination, licenses, packing, quality, rendering, toxicity, urls
 from .tables import table
 
 
+def op1_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendering.render_pages(table(spark, sf_dir, "pages"))
 
@@ -33,5 +37,5 @@ def op9_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model)}
+QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model)}
 ORACLES: dict[str, str] = {}
