@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, packing, quality, rendering, toxicity, urls
+from . import decontamination, licenses, ngram_join, packing, quality, rendering, toxicity, urls
 from .tables import table
 
 
@@ -37,5 +37,9 @@ def op9_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model)}
+def op10_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model, op10_jaccard_regions)}
 ORACLES: dict[str, str] = {}
