@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, ngram_join, packing, quality, rendering, toxicity, urls
+from . import decontamination, licenses, line_dedup, ngram_join, oracles, packing, quality, rendering, toxicity, urls
 from .tables import table
 
 
@@ -29,6 +29,10 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op8_license_notices, op9_url_model, op10_jaccard_regions)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions)}
+ORACLES: dict[str, str] = {"op7_line_similarity": oracles.OP7}
