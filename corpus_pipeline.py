@@ -1,13 +1,52 @@
-"""The corpus pipeline: stages that each take (spark, docs, sf_dir) and return a DataFrame."""
+"""The corpus pipeline: toxic documents go, repeated lines go, one of each group of near duplicates stays, documents that
+hold a benchmark passage go, and the rest is packed into sequences.
+
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns of documents; the
+last returns the pieces of the packed sequences. Packing is SQL-inexpressible (a tokenizer), as is the toxicity network,
+so that there is no ORACLE_SQL; tests hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from vacantia.llm import decontamination, line_dedup, ngram_join, packing, toxicity
+from vacantia.llm.tables import table, through_table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(docs)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_of_each(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", keep_one_of_each),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = through_table(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

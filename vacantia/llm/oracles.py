@@ -2,14 +2,14 @@
 
 OP7 = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, at, ls[at + 1] AS line FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS at FROM d)),
-t AS (SELECT doc_id, at, list_sort(list_distinct(list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), x -> x <> ''))) AS ts FROM l),
-s AS (SELECT ts, len(ts) AS n, min(doc_id * 1000000 + at) AS f FROM t WHERE len(ts) >= 5 GROUP BY ts),
+l AS (SELECT doc_id, pos, ls[pos + 1] AS line FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos FROM d)),
+t AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), x -> x <> ''))) AS ts FROM l),
+s AS (SELECT ts, len(ts) AS n, min(doc_id * 1000000 + pos) AS f FROM t WHERE len(ts) >= 5 GROUP BY ts),
 w AS (SELECT f, n, unnest(ts) AS w FROM s),
 p AS (SELECT f, n, w FROM (SELECT f, n, w, row_number() OVER (PARTITION BY f ORDER BY k, w) AS r FROM w JOIN (SELECT w, count(*) AS k FROM w GROUP BY w) USING (w)) WHERE r <= n - ceil(n * 90 / 100.0) + 1),
 c AS (SELECT DISTINCT a.f AS fa, b.f AS fb FROM p a JOIN p b ON a.w = b.w AND a.f < b.f AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
 v AS (SELECT DISTINCT fb FROM c JOIN s a ON a.f = fa JOIN s b ON b.f = fb WHERE 100 * len(list_intersect(a.ts, b.ts)) >= 90 * (a.n + b.n - len(list_intersect(a.ts, b.ts)))),
-g AS (SELECT t.doc_id, t.at FROM t JOIN s ON t.ts = s.ts WHERE t.doc_id * 1000000 + t.at > s.f OR s.f IN (SELECT fb FROM v)),
-k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.at) AS text, count(*) AS n FROM l WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND g.at = l.at) GROUP BY l.doc_id)
+g AS (SELECT t.doc_id, t.pos FROM t JOIN s ON t.ts = s.ts WHERE t.doc_id * 1000000 + t.pos > s.f OR s.f IN (SELECT fb FROM v)),
+k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text, count(*) AS n FROM l WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND g.pos = l.pos) GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(len(d.ls) AS BIGINT) AS n_lines, CAST(len(d.ls) - coalesce(k.n, 0) AS BIGINT) AS n_removed, coalesce(k.text, '') AS text FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
