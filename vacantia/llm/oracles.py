@@ -3,7 +3,7 @@
 OP7 = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, pos, ls[pos + 1] AS line FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos FROM d)),
-t AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), x -> x <> ''))) AS ts FROM l),
+t AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), lambda x: x <> ''))) AS ts FROM l),
 s AS (SELECT ts, len(ts) AS n, min(doc_id * 1000000 + pos) AS f FROM t WHERE len(ts) >= 5 GROUP BY ts),
 w AS (SELECT f, n, unnest(ts) AS w FROM s),
 p AS (SELECT f, n, w FROM (SELECT f, n, w, row_number() OVER (PARTITION BY f ORDER BY k, w) AS r FROM w JOIN (SELECT w, count(*) AS k FROM w GROUP BY w) USING (w)) WHERE r <= n - ceil(n * 90 / 100.0) + 1),
@@ -13,3 +13,20 @@ g AS (SELECT t.doc_id, t.pos FROM t JOIN s ON t.ts = s.ts WHERE t.doc_id * 10000
 k AS (SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text, count(*) AS n FROM l WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.doc_id = l.doc_id AND g.pos = l.pos) GROUP BY l.doc_id)
 SELECT d.doc_id, CAST(len(d.ls) AS BIGINT) AS n_lines, CAST(len(d.ls) - coalesce(k.n, 0) AS BIGINT) AS n_removed, coalesce(k.text, '') AS text FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 """
+
+OP5 = """
+WITH m AS (SELECT DISTINCT conv_id, turn, lower(role) AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+u AS (SELECT conv_id, turn, text, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM m WHERE role = 'user'),
+q AS (SELECT conv_id, turn, text, CAST(row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS INTEGER) AS level FROM u),
+a AS (SELECT conv_id, turn, text FROM m WHERE role = 'assistant'),
+j AS (SELECT coalesce(q.conv_id, a.conv_id) AS conv_id, q.turn AS turn, q.text AS asked, q.level AS level, a.turn AS result_turn, a.text AS result,
+  'c' || coalesce(q.conv_id, a.conv_id) || '-' || coalesce(q.turn, a.turn - 1) AS call_id
+  FROM q FULL JOIN a ON q.conv_id = a.conv_id AND q.turn = a.turn - 1),
+r AS (SELECT *, CASE WHEN turn IS NULL THEN 'orphan' WHEN result_turn IS NULL THEN 'unanswered' ELSE 'answered' END AS status FROM j)
+SELECT conv_id, turn, CASE WHEN turn IS NULL THEN NULL ELSE 0 END AS place, call_id, CASE WHEN turn IS NULL THEN NULL ELSE 'reply' END AS name, status, level, result_turn,
+  CASE WHEN turn IS NULL THEN '' ELSE concat_ws('; ', CASE WHEN length(asked) < 1 THEN 'n_chars: below 1' END, CASE WHEN length(asked) < 1 THEN 'text: below 1' WHEN length(asked) > 400 THEN 'text: above 400' END) END AS errors,
+  CASE WHEN turn IS NULL THEN '{"call_id":' || CAST(to_json(call_id) AS VARCHAR) || ',"conv_id":' || conv_id || ',"result":' || CAST(to_json(result) AS VARCHAR) || ',"result_turn":' || result_turn || ',"status":"orphan"}'
+  ELSE '{"arguments":{"n_chars":' || length(asked) || ',"text":' || CAST(to_json(asked) AS VARCHAR) || '},"call_id":' || CAST(to_json(call_id) AS VARCHAR) || ',"conv_id":' || conv_id || ',"level":' || level || ',"name":"reply"'
+  || coalesce(',"result":' || CAST(to_json(result) AS VARCHAR) || ',"result_turn":' || result_turn, '') || ',"status":"' || status || '","turn":' || turn || '}' END AS json
+FROM r
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_dedup, ngram_join, oracles, packing, quality, rendering, toxicity, urls
+from . import decontamination, licenses, line_dedup, ngram_join, oracles, packing, quality, rendering, tool_calls, toxicity, urls
 from .tables import table
 
 
@@ -25,6 +25,10 @@ def op4_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.link(table(spark, sf_dir, "conversations"))
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,5 +49,5 @@ def op10_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions)}
-ORACLES: dict[str, str] = {"op7_line_similarity": oracles.OP7}
+QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op5_tool_calls, op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions)}
+ORACLES: dict[str, str] = {"op5_tool_calls": oracles.OP5, "op7_line_similarity": oracles.OP7}
