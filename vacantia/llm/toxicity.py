@@ -233,6 +233,9 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
         starts = windows_of(len(ids))
         return int(starts[np.abs(starts + WINDOW // 2 - at).argmin()])
 
+    def best_windows(some: list[int]) -> np.ndarray:
+        return np.concatenate([net.scores([texts[i] for i in some[a : a + 128]])[1] for a in range(0, len(some), 128)])
+
     r = np.random.Generator(np.random.PCG64(11))
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
@@ -240,7 +243,7 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
     negative = [i for i in range(len(y)) if not y[i] and len(docs[i])]
     for epoch in range(ROUNDS if positive and negative else 0):
         if epoch:
-            _, where = net.scores([texts[i] for i in positive])
+            where = best_windows(positive)
             chosen_at = dict(zip(positive, where.tolist()))
         else:
             chosen_at = {i: best_prior(docs[i]) for i in positive}
@@ -249,8 +252,7 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
             starts = windows_of(len(docs[i]))
             instances += [(i, int(s)) for s in r.choice(starts, min(2, len(starts)), replace=False)]
         if epoch:  # the negative windows that score highest teach most
-            _, where = net.scores([texts[i] for i in negative])
-            instances += list(zip(negative, where.tolist()))
+            instances += list(zip(negative, best_windows(negative).tolist()))
         r.shuffle(instances)
         share = len(positive) / max(1, len(instances))
         for a in range(0, len(instances), BATCH):
