@@ -28,6 +28,7 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of a job once the driver has collected what refers to them
     return spark.read.schema(df.schema).parquet(path)
 
 
