@@ -6,8 +6,8 @@ of the line); a line goes if any earlier line matches it. Shorter lines always s
 
 Equal token sets are one set, known by its first line. For the others:
 
-- Tokens are ordered by rarity: by the logarithm of their count over all texts, kept for BUCKETS hash buckets, then by
-  hash. (Any common order is exact; this one makes the groups below small.)
+- Tokens are ordered by rarity: words that are not among the most frequent of all texts first, then these by three ranks
+  of frequency, ties by hash. (Any common order is exact; this one makes the groups below small.)
 - Prefix filter: two sets that match share a token among the first n - ceil(0.9 n) + 1 of each, and two tokens among one
   more. Sets of fewer than LONG tokens use the pairs of tokens of the longer prefix as keys, longer ones single tokens.
 - Length filter: sizes differ by a factor of 0.9 at most. Single-token keys also hold a size class, one wide enough that
@@ -22,38 +22,37 @@ document, none of which is later than the other; null doc_ids come first. Other
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import through_table
 
 #: A match: OF * intersection >= SHARE * union.
-SHARE, OF, TOKENS, LONG = 90, 100, 5, 64
-BUCKETS = 1 << 16
-_TOKENS = "array_remove(array_distinct(transform(split(translate(lower(line), '\\t\\r\\u000B\\u000C', '    '), ' '), x -> xxhash64(x))), xxhash64(''))"
+SHARE, OF, TOKENS, LONG = 90, 100, 5, 48
+#: How many of the most frequent words are told apart from the others, in three ranks.
+RANKS = (128, 1024, 8192)
+_WORDS = "split(translate(lower({}), '\\t\\r\\n\\u000B\\u000C', '     '), ' ')"
 
 
-def rarity(text: DataFrame) -> bytes:
-    """A byte for each bucket of word hashes: the logarithm of its words' count. BUCKETS rows at most reach the driver."""
-    words = text.select(F.explode(F.expr("split(translate(lower(text), '\\t\\r\\n\\u000B\\u000C', '     '), ' ')")).alias("w")).where("w != ''")
-    counts = words.select((F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1))).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    table = bytearray(b"0" * BUCKETS)
-    for bucket, n in counts.select("bucket", "n").collect():
-        table[bucket] = 48 + min(62, int(2 * math.log2(n)))
-    return bytes(table)
+def frequent(text: DataFrame) -> list[list[int]]:
+    """Hashes of the most frequent words of all texts, in ranks. RANKS[-1] rows at most reach the driver."""
+    words = text.select(F.explode(F.expr(_WORDS.format("text"))).alias("w")).where("w != ''")
+    top = [r.h for r in words.groupBy(F.xxhash64("w").alias("h")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "h").limit(RANKS[-1]).select("h").collect()]
+    return [top[a:b] for a, b in zip((0, *RANKS), RANKS)]
 
 
-def _ordered(rank: bytes):
-    """A line's tokens by rarity."""
-    place = lambda t: t.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
-    ranked = F.transform("tokens", lambda t: F.struct(F.ascii(F.substring(F.lit(rank), place(t), F.lit(1)).cast("string")).alias("c"), t.alias("t")))
-    return F.transform(F.sort_array(ranked), lambda s: s["t"])
+def _tokens(line: str, ranks: list[list[int]]):
+    """A line's distinct tokens, rarest first: two bits for the rank, then 60 bits of the hash."""
 
+    def key(h):
+        out = F.lit(0)
+        for i, hashes in reversed(list(enumerate(ranks))):
+            if hashes:
+                out = F.when(h.isin(hashes), F.lit(len(ranks) - i)).otherwise(out)
+        return F.shiftleft(out.cast("long"), 60).bitwiseOR(F.shiftrightunsigned(h, 4))
 
-def _lines(text: DataFrame) -> DataFrame:
-    return text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).select("doc_id", "th", "at", F.expr(_TOKENS).alias("tokens")).where(F.size("tokens") >= TOKENS)
+    hashed = F.transform(F.expr(_WORDS.format(line)), lambda w: F.xxhash64(w))
+    return F.sort_array(F.transform(F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit(""))), key))
 
 
 def _need(a: str, b: str) -> str:
@@ -63,8 +62,10 @@ def _need(a: str, b: str) -> str:
 
 def removed_lines(text: DataFrame) -> DataFrame:
     """(doc_id, th, at) of the lines that go; ``text`` has doc_id, text and th, a hash of the text."""
-    rank = rarity(text)
-    sized = _lines(text).select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64(F.sort_array("tokens")).alias("sig"), F.hash(F.sort_array("tokens")).alias("sig2"), F.when(F.size("tokens") > 8, _ordered(rank)).alias("tokens"))
+    ranks = frequent(text)
+    at_least = f"size({_WORDS.format('line')}) >= {TOKENS}"  # words, not tokens: tokens are not made for a filter alone
+    sized = text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(at_least).select("doc_id", "th", "at", _tokens("line", ranks).alias("tokens"))
+    sized = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"), F.when(F.size("tokens") > 8, F.col("tokens")).alias("tokens"))
     prefix = f"n - cast(ceil({SHARE} * n / {OF}D - 1e-9) as int) + 1"
     size_class = f"cast(floor(ln(n) / ln({OF / SHARE}D)) as int)"
     keys = f"""case when tokens is null then cast(array() as array<struct<key:bigint,pos:int>>)
@@ -73,7 +74,7 @@ def removed_lines(text: DataFrame) -> DataFrame:
       else transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos)) end"""
     long_short = f"n >= {LONG} * 0.9 and n < {LONG}"  # these may match longer sets and so have single keys too
     singles = f"case when {long_short} then transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos)) else cast(array() as array<struct<key:bigint,pos:int>>) end"
-    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(keys).alias("keys"), F.expr(singles).alias("singles")), "lines")
+    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(keys).alias("keys"), F.expr(singles).alias("singles")), "lines").where(f"n >= {TOKENS}")
     sets = lines.groupBy("sig", "sig2").agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("singles").alias("singles"))
     sets = through_table(sets, "line-sets")
 
@@ -90,9 +91,11 @@ def removed_lines(text: DataFrame) -> DataFrame:
     pairs = through_table(pairs, "line-pairs")
 
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    where = sets.join(wanted, "sig").select("sig", "first.*")
-    some = text.join(where.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct(), F.expr("th = _th and doc_id <=> _doc"), "left_semi")
-    known = _lines(some).withColumn("sig", F.xxhash64(F.sort_array("tokens"))).join(where.select("sig", F.struct("doc_id", "th", "at").alias("first")), "sig").where(F.struct("doc_id", "th", "at").eqNullSafe(F.col("first"))).dropDuplicates(["sig"]).select("sig", "tokens", "first")
+    where = sets.join(wanted, "sig").groupBy("sig").agg(F.min("first").alias("first")).select("sig", "first.*")
+    places = where.groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("at", "sig")).alias("places"))  # lines of one document
+    known = text.join(places, F.expr("th = _th and doc_id <=> _doc")).withColumn("parts", F.split("text", "\n")).select("doc_id", "th", F.explode(F.transform("places", lambda p: F.struct(p["sig"].alias("sig"), p["at"].alias("at"), F.get(F.col("parts"), p["at"]).alias("line")))).alias("p"))
+    known = known.select("p.sig", F.struct("doc_id", "th", "p.at").alias("first"), F.expr(f"array_distinct(transform({_WORDS.format('p.line')}, x -> xxhash64(x)))").alias("tokens")).select("sig", "first", F.array_remove("tokens", F.xxhash64(F.lit(""))).alias("tokens"))
+    known = through_table(known.groupBy("sig").agg(F.min(F.struct("first", "tokens")).alias("k")).select("sig", "k.*"), "line-tokens")
     a, b = (known.select(F.col("sig").alias(k), F.col("tokens").alias(f"tokens_{k}"), F.col("first").alias(f"first_{k}")) for k in "ab")
     checked = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b"))).where(f"{OF} * both >= {SHARE} * (size(tokens_a) + size(tokens_b) - both)")
     later = checked.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("sig")).distinct()
