@@ -65,21 +65,19 @@ def removed_lines(text: DataFrame) -> DataFrame:
     ranks = frequent(text)
     at_least = f"size({_WORDS.format('line')}) >= {TOKENS}"  # words, not tokens: tokens are not made for a filter alone
     sized = text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(at_least).select("doc_id", "th", "at", _tokens("line", ranks).alias("tokens"))
-    sized = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"), F.when(F.size("tokens") > 8, F.col("tokens")).alias("tokens"))
     prefix = f"n - cast(ceil({SHARE} * n / {OF}D - 1e-9) as int) + 1"
-    size_class = f"cast(floor(ln(n) / ln({OF / SHARE}D)) as int)"
-    keys = f"""case when tokens is null then cast(array() as array<struct<key:bigint,pos:int>>)
-      when n < {LONG} then flatten(transform(sequence(1, {prefix}), i -> transform(sequence(i + 1, {prefix} + 1), j ->
-        struct(xxhash64(tokens[i - 1], tokens[j - 1]) as key, j as pos))))
-      else transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos)) end"""
-    long_short = f"n >= {LONG} * 0.9 and n < {LONG}"  # these may match longer sets and so have single keys too
-    singles = f"case when {long_short} then transform(slice(tokens, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos)) else cast(array() as array<struct<key:bigint,pos:int>>) end"
-    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(keys).alias("keys"), F.expr(singles).alias("singles")), "lines").where(f"n >= {TOKENS}")
-    sets = lines.groupBy("sig", "sig2").agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("singles").alias("singles"))
+    sized = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"), "tokens")
+    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(f"if(n > 8, slice(tokens, 1, {prefix} + 1), null)").alias("prefix")), "lines").where(f"n >= {TOKENS}")
+    sets = lines.groupBy("sig", "sig2").agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     sets = through_table(sets, "line-sets")
 
-    pairs_of_tokens = sets.select("sig", "n", F.explode("keys").alias("k")).where(f"n < {LONG}").select("sig", "n", "k.key", "k.pos")
-    single = sets.select("sig", "n", F.explode(F.concat(F.when(F.col("n") >= LONG, F.col("keys")).otherwise(F.expr("cast(array() as array<struct<key:bigint,pos:int>>)")), "singles")).alias("k")).select("sig", "n", "k.key", "k.pos", F.expr(size_class).alias("c"))
+    some = sets.where("prefix is not null").select("sig", "n", "prefix")
+    two = f"flatten(transform(sequence(1, {prefix}), i -> transform(sequence(i + 1, {prefix} + 1), j -> struct(xxhash64(prefix[i - 1], prefix[j - 1]) as key, j as pos))))"
+    one = f"transform(slice(prefix, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos))"
+    size_class = f"cast(floor(ln(n) / ln({OF / SHARE}D)) as int)"
+    pairs_of_tokens = some.where(f"n < {LONG}").select("sig", "n", F.explode(F.expr(two)).alias("k")).select("sig", "n", "k.key", "k.pos")
+    # sets somewhat below LONG may match longer ones and so have single keys too
+    single = some.where(f"n >= {LONG} * {SHARE / OF}").select("sig", "n", F.explode(F.expr(one)).alias("k")).select("sig", "n", "k.key", "k.pos", F.expr(size_class).alias("c"))
     host = single.select("sig", "n", "pos", F.xxhash64("key", "c").alias("key"))
     guest = single.select("sig", "n", "pos", F.xxhash64("key", F.col("c") + 1).alias("key"))
 
