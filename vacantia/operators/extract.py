@@ -52,9 +52,8 @@ def coerce_years(c: Column) -> Column:
 
 def with_years(ads: DataFrame) -> DataFrame:
     """The lowest figure that description and title ask for, else the feed's; where from, and the first three quotes."""
-    found = F.concat(year_mentions(F.col("description_snippet")), year_mentions(F.col("title")))
     feed = coerce_years(F.col("experience_years"))
-    ads = ads.withColumn("_found", found)
+    ads = ads.withColumns({"_in_text": year_mentions(F.col("description_snippet")), "_in_title": year_mentions(F.col("title"))}).withColumn("_found", F.concat("_in_text", "_in_title")).drop("_in_text", "_in_title")
     stated = F.size("_found") > 0
     return ads.withColumns({
         "years_source": F.when(stated, "text").when(feed.isNotNull(), "feed").otherwise(""),

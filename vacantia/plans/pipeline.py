@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 from vacantia.functions import rules as R
@@ -17,8 +19,24 @@ def labelled(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT, provid
     return extract.with_official_skills(extract.with_roles(extract.with_levels(extract.with_years(found))), vocabulary)
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` computed once, into the folder of spark.checkpoint.dir (a temporary one only where that is unset and the session local).
+
+    Screens and searches read labels many times over; a filter on them must not be pushed through the rules that make them.
+    """
+    sc = df.sparkSession.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if folder is None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vacantia-"))
+    elif folder is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def screened(ads: DataFrame, **options) -> DataFrame:
-    return screen.screened(labelled(ads, **options))
+    return screen.screened(materialised(labelled(ads, **options)))
 
 
 def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None) -> int:

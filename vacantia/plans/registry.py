@@ -15,13 +15,28 @@ from vacantia.sources import feeds, html, sinks
 
 from .job_ads import TODAY, adverts
 from .oracles import BOARD, NORM, SKILLS, q
-from .pipeline import labelled, screened
+from .pipeline import labelled, materialised
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_made: dict[tuple[str, str], DataFrame] = {}
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """The labelled stage, made once for each session and input, as the daily run makes it once a day."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _made:
+        _made[key] = materialised(labelled(adverts(spark, sf)))
+    return _made[key]
+
+
+def _screened(spark: SparkSession, sf: str) -> DataFrame:
+    return screen.screened(_labelled(spark, sf))
+
+
 def query(oracle: str | None = None):
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
@@ -92,12 +107,12 @@ def level_years(spark, sf):
 
 @query(q("SELECT doc_id, ai_job_level, job_level, level_source, level_evidence, level_confidence FROM lab"))
 def level_final(spark, sf):
-    return labelled(adverts(spark, sf)).select("doc_id", "ai_job_level", "job_level", "level_source", "level_evidence", "level_confidence")
+    return _labelled(spark, sf).select("doc_id", "ai_job_level", "job_level", "level_source", "level_evidence", "level_confidence")
 
 
 @query(q("SELECT job_level AS value, count(*) AS n FROM lab GROUP BY ALL"))
 def level_counts(spark, sf):
-    return quality.level_counts(labelled(adverts(spark, sf)))
+    return quality.level_counts(_labelled(spark, sf))
 
 
 @query(q("SELECT doc_id, role_type, role_source FROM lab"))
@@ -107,7 +122,7 @@ def role_classified(spark, sf):
 
 @query(q("SELECT CASE WHEN role_type = '' THEN '(none)' ELSE role_type END AS value, count(*) AS n FROM lab GROUP BY ALL"))
 def role_counts(spark, sf):
-    return quality.role_counts(labelled(adverts(spark, sf)))
+    return quality.role_counts(_labelled(spark, sf))
 
 
 @query(q("SELECT doc_id, atl AS by_title, al AS by_label FROM v"))
@@ -123,22 +138,22 @@ def blocked_title(spark, sf):
 @query(q("SELECT doc_id, kept, tier, excluded_stage, excluded_rule, needs_review, CASE WHEN excluded_stage IN ('F1 non-tech', 'scope off track') THEN reason ELSE '' END AS early_reason FROM fin"))
 def screen_all(spark, sf):
     early = F.when(F.col("excluded_stage").isin(R.STAGE_NON_TECH, R.STAGE_OFF_TRACK), F.col("excluded_reason")).otherwise("")
-    return screened(adverts(spark, sf)).select("doc_id", "kept", "tier", "excluded_stage", "excluded_rule", "needs_review", early.alias("early_reason"))
+    return _screened(spark, sf).select("doc_id", "kept", "tier", "excluded_stage", "excluded_rule", "needs_review", early.alias("early_reason"))
 
 
 @query(q("SELECT count(*) AS input, count(*) FILTER (kept) AS kept, count(*) FILTER (excluded_stage = 'F1 non-tech') AS non_tech, count(*) FILTER (excluded_stage = 'scope off track') AS off_track, count(*) FILTER (excluded_stage = 'F4 above cohort') AS above_cohort, count(*) FILTER (needs_review) AS to_review FROM fin"))
 def screen_counts(spark, sf):
-    return screen.screen_counts(screened(adverts(spark, sf)))
+    return screen.screen_counts(_screened(spark, sf))
 
 
 @query(q("SELECT excluded_stage AS value, count(*) AS n FROM fin WHERE NOT kept GROUP BY ALL"))
 def excluded_by_stage(spark, sf):
-    return quality.stage_counts(screened(adverts(spark, sf)).where("not kept"))
+    return quality.stage_counts(_screened(spark, sf).where("not kept"))
 
 
 @query(q("SELECT tier, job_level, count(*) AS n FROM fin WHERE kept GROUP BY ALL"))
 def tier_counts(spark, sf):
-    return screened(adverts(spark, sf)).where("kept").groupBy("tier", "job_level").agg(F.count(F.lit(1)).alias("n"))
+    return _screened(spark, sf).where("kept").groupBy("tier", "job_level").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(q("SELECT doc_id, must_have_skills, CASE WHEN must_have_skills <> '' THEN 'keyword' ELSE '' END AS skills_source, len(skills) < 3 AS needs_ai_skills FROM v"))
@@ -153,7 +168,7 @@ def skills_canonical(spark, sf):
 
 @query(q("SELECT c AS \"column\", CAST(f AS BIGINT) AS filled, t AS total, round_even(100.0 * f / t, 1) AS pct FROM (SELECT unnest([{'c': 'must_have_skills', 'f': (SELECT count(*) FROM v WHERE must_have_skills <> '')}, {'c': 'experience_years', 'f': (SELECT count(years) FROM v)}, {'c': 'role_type', 'f': (SELECT count(*) FROM v WHERE role_type <> '')}], recursive := true), (SELECT count(*) FROM v) AS t)"))
 def skills_fill_rate(spark, sf):
-    return quality.fill_rates(labelled(adverts(spark, sf)), ("must_have_skills", "experience_years", "role_type"))
+    return quality.fill_rates(_labelled(spark, sf), ("must_have_skills", "experience_years", "role_type"))
 
 
 def _board(spark, sf):
@@ -192,12 +207,12 @@ _PAID = "SELECT *, CAST(nullif(salary_min, 0) AS BIGINT) AS a, CAST(nullif(salar
   CASE WHEN must_have_skills = '' THEN '' ELSE '• ' || replace(must_have_skills, ', ', chr(10) || '• ') END AS "Required Skills", CASE nice_to_have_skills WHEN '' THEN '' WHEN 'docker, Excel' THEN '• Docker' || chr(10) || '• Excel' ELSE '• ' || nice_to_have_skills END AS "Nice-to-Have Skills",
   coalesce(CAST(years AS VARCHAR), '') AS "Years Exp", {_CASE.format('job_level')} AS "Level", {_CASE.format('employment_type')} AS "Type", {_PAY} AS "Salary", blurb AS "Summary", {_CASE.format('source')} AS "Source", job_url AS "Apply Link" FROM ({_PAID} fin WHERE kept)"""))
 def sheet_rows(spark, sf):
-    return sinks.sheet_rows(screened(adverts(spark, sf)).where("kept"), f"{TODAY} 00:00:00")
+    return sinks.sheet_rows(_screened(spark, sf).where("kept"), f"{TODAY} 00:00:00")
 
 
 @query(q("SELECT excluded_stage AS \"Stage\", title AS \"Job Title\", company AS \"Company\", primary_role AS \"Role Label\", job_url AS \"Apply Link\", left(description_snippet, 500) AS \"Description\", CASE WHEN needs_review THEN 'YES' ELSE '' END AS \"Needs Review\" FROM fin WHERE NOT kept"))
 def exclude_rows(spark, sf):
-    return sinks.exclude_rows(screened(adverts(spark, sf)).where("not kept"), TODAY).select("Stage", "Job Title", "Company", "Role Label", "Apply Link", "Description", "Needs Review")
+    return sinks.exclude_rows(_screened(spark, sf).where("not kept"), TODAY).select("Stage", "Job Title", "Company", "Role Label", "Apply Link", "Description", "Needs Review")
 
 
 @query(q("""SELECT _seq FROM (SELECT * FROM d3 QUALIFY job_url = '' OR row_number() OVER (PARTITION BY job_url ORDER BY _seq) = 1) x WHERE job_url NOT IN (SELECT job_url FROM n WHERE doc_id % 3 = 0 AND job_url <> '')
@@ -211,7 +226,7 @@ def sheet_new_rows(spark, sf):
 @query(q("SELECT doc_id FROM fin WHERE role_type IN ('Software development', 'Mobile') AND job_level IN ('junior', 'unknown') AND workplace_policy IN ('remote', '') AND list_has_any(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker', 'Excel'] ELSE [nice_to_have_skills] END), ['Java', 'Docker', 'JavaScript', 'Git']) AND (years IS NULL OR years <= 3)"))
 def filter_jobs(spark, sf):
     f = search.Filters(role_types=("Software development", "Mobile"), levels=("junior", "unknown"), work_policies=("remote", ""), skills=("Java", "Docker", "JavaScript", "Git"), max_years=3)
-    return search.filter_jobs(screened(adverts(spark, sf)), f).select("doc_id")
+    return search.filter_jobs(_screened(spark, sf), f).select("doc_id")
 
 
 @query(q("SELECT doc_id FROM n WHERE contains(lower(title), 'java') OR contains(lower(company), 'java') OR contains(lower(blurb), 'java') OR contains(lower(description_snippet), 'java')"))
@@ -221,28 +236,28 @@ def keyword_search(spark, sf):
 
 @query(q("SELECT DISTINCT 'role_type' AS facet, role_type AS value FROM fin WHERE role_type <> '' UNION SELECT DISTINCT 'job_level', job_level FROM fin UNION SELECT DISTINCT 'workplace_policy', workplace_policy FROM fin WHERE workplace_policy <> '' UNION SELECT DISTINCT 'source', source FROM fin UNION SELECT DISTINCT 'employment_type', employment_type FROM fin WHERE employment_type <> ''"))
 def facets_values(spark, sf):
-    return search.facet_values(screened(adverts(spark, sf)))
+    return search.facet_values(_screened(spark, sf))
 
 
 @query(q("SELECT skill, count(*) AS n FROM (SELECT unnest(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker', 'Excel'] ELSE [nice_to_have_skills] END)) AS skill FROM fin) WHERE skill <> 'Communication' GROUP BY ALL"))
 def facet_skills_ranked(spark, sf):
-    return search.facet_skills(screened(adverts(spark, sf)), R.SOFT_SKILLS).select("skill", "n")
+    return search.facet_skills(_screened(spark, sf), R.SOFT_SKILLS).select("skill", "n")
 
 
 @query(q("SELECT doc_id, array_to_string(list_filter(['Python', 'Java', 'SQL'], lambda x: list_contains(skills, x)), ', ') AS overlap, CASE WHEN years IS NOT NULL THEN 'years' WHEN level_source = 'title' THEN 'title-only' ELSE 'unstated' END AS evidence FROM fin WHERE role_type IN ('Software development', 'Data & BI') AND (years IS NULL OR years <= 3)"))
 def match_ranked(spark, sf):
-    found = search.search(screened(adverts(spark, sf)), search.Criteria(role_types=("Software development", "Data & BI"), levels=("entry level", "junior"), skills=("Python", "Java", "SQL")))
+    found = search.search(_screened(spark, sf), search.Criteria(role_types=("Software development", "Data & BI"), levels=("entry level", "junior"), skills=("Python", "Java", "SQL")))
     return found.select("doc_id", F.array_join("overlap", ", ").alias("overlap"), "evidence")
 
 
 @query(q("SELECT doc_id, CAST(years AS INT) AS experience_years FROM fin ORDER BY years ASC NULLS LAST, _seq LIMIT 40"))
 def sort_years_nulls_last(spark, sf):
-    return screened(adverts(spark, sf)).orderBy(*search.sort_keys("years-asc")).limit(40).select("doc_id", "experience_years")
+    return _screened(spark, sf).orderBy(*search.sort_keys("years-asc")).limit(40).select("doc_id", "experience_years")
 
 
 @query(q("SELECT doc_id FROM fin a WHERE NOT EXISTS (SELECT 1 FROM fin b WHERE NOT b.kept AND CASE WHEN b.u <> '' THEN b.u ELSE lower(b.title || '|' || b.company) END = CASE WHEN a.u <> '' THEN a.u ELSE lower(a.title || '|' || a.company) END)"))
 def kept_minus_excluded(spark, sf):
-    rows = screened(adverts(spark, sf))
+    rows = _screened(spark, sf)
     return quality.kept_minus_excluded(rows, rows.where("not kept")).select("doc_id")
 
 
@@ -251,18 +266,18 @@ _ID = "CASE WHEN u <> '' THEN u ELSE lower(title || '|' || company) END"
 
 @query(q(f"SELECT CASE WHEN {_ID} IN (SELECT {_ID} FROM fin WHERE excluded_stage = 'F1 non-tech') THEN 'dropped' ELSE 'kept' END AS screen, role_type <> '' AS has_role, count(*) AS n FROM fin GROUP BY ALL"))
 def decision_buckets(spark, sf):
-    rows = screened(adverts(spark, sf))
+    rows = _screened(spark, sf)
     return quality.decision_buckets(rows, rows.where("not kept"))
 
 
 @query(q("SELECT count(*) AS total, count(*) FILTER (len(skills) >= 3) AS enough, count(*) FILTER (len(skills) >= 3 AND blurb <> '') AS would_lose_blurb, count(*) FILTER (len(skills) >= 3 AND primary_role <> '') AS would_lose_role FROM v"))
 def enrichment_headroom(spark, sf):
-    return quality.enrichment_headroom(labelled(adverts(spark, sf)))
+    return quality.enrichment_headroom(_labelled(spark, sf))
 
 
 @query(q("SELECT count(*) AS levelled, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS excluded, count(*) = count(*) FILTER (kept) + count(*) FILTER (NOT kept) AS balanced FROM fin"))
 def reconcile(spark, sf):
-    rows = screened(adverts(spark, sf))
+    rows = _screened(spark, sf)
     return quality.reconcile(rows, rows.where("kept"), rows.where("not kept"))
 
 
@@ -315,7 +330,7 @@ def dates_parsed(spark, sf):
 
 @query(q("SELECT doc_id, CASE WHEN years IS NULL THEN NULL WHEN years = 1 THEN '1+ year experience' ELSE years || '+ years experience' END AS years, CASE WHEN job_level = 'unknown' THEN NULL ELSE upper(left(job_level, 1)) || substr(job_level, 2) END AS level, CASE WHEN regexp_matches(date_posted, '^\\d{4}-\\d{2}-\\d{2}') THEN 'Posted ' || CAST(substr(date_posted, 9, 2) AS INT) || ' Aug 2026' WHEN date_added <> '' THEN 'Added ' || CAST(substr(date_added, 9, 2) AS INT) || ' Aug 2026' END AS date FROM lab"))
 def card_labels(spark, sf):
-    return labelled(adverts(spark, sf)).select("doc_id", T.years_label(F.col("experience_years")).alias("years"), T.level_label(F.col("job_level")).alias("level"), T.job_date_label(F.col("date_posted"), F.col("date_added")).alias("date"))
+    return _labelled(spark, sf).select("doc_id", T.years_label(F.col("experience_years")).alias("years"), T.level_label(F.col("job_level")).alias("level"), T.job_date_label(F.col("date_posted"), F.col("date_added")).alias("date"))
 
 
 @query(q("SELECT doc_id, CASE WHEN city <> '' THEN city ELSE split_part(location, ',', 1) END AS city, regexp_matches(lower(location), 'south africa|cape town|johannesburg|durban|pretoria|gauteng') AS at_home, CASE WHEN length(title) > 12 THEN trim(left(replace(title, '|', '/'), 12)) || '...' ELSE replace(title, '|', '/') END AS cell FROM n"))
@@ -326,7 +341,7 @@ def places_and_cells(spark, sf):
 
 @query()
 def qa_sample(spark, sf):
-    return quality.sample(screened(adverts(spark, sf)).where("kept"), 60, seed=7).select("doc_id", quality.needs_a_look().alias("look"))
+    return quality.sample(_screened(spark, sf).where("kept"), 60, seed=7).select("doc_id", quality.needs_a_look().alias("look"))
 
 
 @query()
