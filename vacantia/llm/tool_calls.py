@@ -10,7 +10,7 @@ By DataFrame functions alone. A message is (conv_id, turn, role, text).
 
 Calls and results are hash-joined by (conv_id, identifier). A call depends on the calls that its arguments name in
 ``"$ref": "id"`` members, and on the one it comes after. Its level is 0 without dependencies, else one more than the
-highest of theirs (peeled level by level; calls on a cycle have no level). (level, turn, place) is a topological order of
+highest of theirs (calls on a cycle, or behind one, have no level). (level, turn, place) is a topological order of
 a conversation's calls. Arguments are validated against SCHEMAS: unknown names, missing or unknown members, wrong types
 and lengths out of bounds are errors. Canonical JSON has sorted keys at every depth, no spaces, and no absent members.
 
@@ -84,9 +84,32 @@ def levels(calls: DataFrame) -> DataFrame:
     refs = F.regexp_extract_all("arguments", F.lit(r'"\$ref"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
     wanted = calls.where("call_id is not null").select("conv_id", "call_id", F.explode(F.concat(F.coalesce(refs, F.array().cast("array<string>")), F.array_compact(F.array("after")))).alias("needs")).distinct()
     edges = through_table(wanted.join(nodes.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi"), "call-edges")
-    pending = edges.select("conv_id", "call_id").distinct()
-    ready = through_table(nodes.join(pending, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "call-levels")
-    done, level = ready, 0
+    free = nodes.join(edges.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
+    several = through_table(edges.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("conv_id").distinct(), "call-several")
+    chained, mixed = (edges.join(several, "conv_id", how) for how in ("left_anti", "left_semi"))
+    return free.unionByName(_chain_levels(chained)).unionByName(_peeled_levels(mixed, free))
+
+
+def _chain_levels(edges: DataFrame) -> DataFrame:
+    """Levels where each call needs one other at most: each round doubles how far back a call looks, so that a chain of
+    thousands takes a dozen rounds. What has not come to an end after enough rounds for all of them lies on a cycle or
+    behind one."""
+    state = through_table(edges.select("conv_id", "call_id", "needs", F.lit(1).alias("level")), "call-chains")
+    most = state.count().bit_length() + 1
+    for _ in range(most):
+        back = state.select("conv_id", F.col("call_id").alias("needs"), F.col("needs").alias("further"), F.col("level").alias("more"))
+        ended = state.where("needs is null")
+        moved = state.where("needs is not null").join(back, ["conv_id", "needs"], "left").select("conv_id", "call_id", F.col("further").alias("needs"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"))
+        if state.where("needs is not null").isEmpty():
+            break
+        state = through_table(ended.unionByName(moved), "call-chains")
+    return state.where("needs is null").select("conv_id", "call_id", "level")
+
+
+def _peeled_levels(edges: DataFrame, ready: DataFrame) -> DataFrame:
+    """Levels of conversations in which a call needs several others, one level a round."""
+    edges, level = through_table(edges, "call-edges"), 0
+    done = edges.select("conv_id", "call_id").limit(0).withColumn("level", F.lit(0))
     while not edges.isEmpty() and not ready.isEmpty():
         level += 1
         left = through_table(edges.join(ready.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti"), "call-edges")
