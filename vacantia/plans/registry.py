@@ -198,9 +198,9 @@ def board_counts(spark, sf):
     return board.publish_counts(*_board(spark, sf), TODAY)
 
 
-_PAY = "CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', a) || ' - ' || format('{:,}', b) WHEN a IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', a) || '+' WHEN b IS NOT NULL THEN 'Up to ' || upper(salary_currency) || ' ' || format('{:,}', b) ELSE '' END"
+_PAY = "CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', lo) || ' - ' || format('{:,}', hi) WHEN lo IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', lo) || '+' WHEN hi IS NOT NULL THEN 'Up to ' || upper(salary_currency) || ' ' || format('{:,}', hi) ELSE '' END"
 _CASE = "CASE {0} WHEN 'remote' THEN 'Remote' WHEN 'hybrid' THEN 'Hybrid' WHEN 'on-site' THEN 'On-Site' WHEN 'full-time' THEN 'Full-Time' WHEN 'contract' THEN 'Contract' WHEN 'part-time' THEN 'Part-Time' WHEN 'entry level' THEN 'Entry Level' ELSE upper(left({0}, 1)) || substr({0}, 2) END"
-_PAID = "SELECT *, CAST(nullif(salary_min, 0) AS BIGINT) AS a, CAST(nullif(salary_max, 0) AS BIGINT) AS b FROM "
+_PAID = "SELECT *, CAST(nullif(salary_min, 0) AS BIGINT) AS lo, CAST(nullif(salary_max, 0) AS BIGINT) AS hi FROM "
 
 
 @query(q(f"""SELECT '2026-08-22 00:00:00' AS "Date Added to Sheet", date_posted AS "Date Job Posted", title AS "Job Title", company AS "Company", primary_role AS "Role Category", location AS "Location", {_CASE.format('workplace_policy')} AS "Work Policy",
@@ -286,7 +286,7 @@ def needs_enrichment(spark, sf):
     return adverts(spark, sf).select("doc_id", enrich.needs_enrichment().alias("needs"))
 
 
-@query(q(f"SELECT doc_id, {_PAY} AS sheet, nullif(trim(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN salary_currency || ' ' || format('{{:,}}', a) || ' - ' || format('{{:,}}', b) || per WHEN a IS NOT NULL THEN salary_currency || ' ' || format('{{:,}}', a) || '+' || per WHEN b IS NOT NULL THEN 'Up to ' || salary_currency || ' ' || format('{{:,}}', b) || per END), '') AS card FROM (SELECT *, CASE WHEN salary_period = '' THEN '' ELSE '/' || salary_period END AS per FROM ({_PAID} n))"))
+@query(q(f"SELECT doc_id, {_PAY} AS sheet, nullif(trim(CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN salary_currency || ' ' || format('{{:,}}', lo) || ' - ' || format('{{:,}}', hi) || per WHEN lo IS NOT NULL THEN salary_currency || ' ' || format('{{:,}}', lo) || '+' || per WHEN hi IS NOT NULL THEN 'Up to ' || salary_currency || ' ' || format('{{:,}}', hi) || per END), '') AS card FROM (SELECT *, CASE WHEN salary_period = '' THEN '' ELSE '/' || salary_period END AS per FROM ({_PAID} n))"))
 def salary_formatted(spark, sf):
     low, high, cur = F.col("salary_min"), F.col("salary_max"), F.col("salary_currency")
     return adverts(spark, sf).select("doc_id", T.sheet_salary(low, high, cur).alias("sheet"), T.card_salary(low, high, cur, F.col("salary_period")).alias("card"))
@@ -306,13 +306,13 @@ def company_from_url(spark, sf):
     return adverts(spark, sf).select("doc_id", T.company_from_url(url).alias("by_url"), feeds.company(F.col("company"), url, F.lit("")).alias("company"))
 
 
-@query("SELECT l AS day, CAST(13 + 19 AS BIGINT) AS n FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS l FROM orders)")
+@query("SELECT strftime(l, '%Y-%m-%d') AS day, CAST(13 + 19 AS BIGINT) AS n FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS l FROM orders)")
 def cadence_terms(spark, sf):
     days = spark.read.parquet(f"{sf}/orders.parquet").select(F.to_date("o_orderdate").alias("day")).distinct()
     parity = F.when(F.dayofyear("day") % 2 == 0, "even").otherwise("odd")
     terms = feeds.search_terms(spark)
     wanted = days.select("day", F.explode(F.array(F.lit("daily"), parity)).alias("cadence"))
-    return wanted.join(terms, "cadence").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    return wanted.join(terms, "cadence").groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(q("SELECT source, count(*) AS n FROM n GROUP BY ALL"))
