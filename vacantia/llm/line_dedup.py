@@ -13,7 +13,8 @@ Equal token sets are one set, known by its first line. For the others:
 - Length filter: sizes differ by a factor of 0.9 at most. Single-token keys also hold a size class, one wide enough that
   matches lie in the same or in neighbouring classes.
 - Positional filter: what follows the common key in both sets must suffice for the overlap.
-- Verification: the token sets of the remaining pairs are intersected.
+- The prefixes of the remaining pairs are intersected: with what lies behind them this bounds the overlap.
+- Verification: the token sets of the pairs left are intersected.
 
 Sets of 8 tokens or fewer match equal sets only. Nothing is gathered by key: groups are joined and pairs filtered as they
 form. Null and empty texts have no line to remove and come back as they are. Rows with equal doc_id and text are one
@@ -86,7 +87,12 @@ def removed_lines(text: DataFrame) -> DataFrame:
         return a.join(b, "key").where(once).where(f"{OF} * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)").where(f"{common} + least(n_a - pos_a, n_b - pos_b) >= {_need('n_a', 'n_b')}").select(F.least("sig_a", "sig_b").alias("a"), F.greatest("sig_a", "sig_b").alias("b"))
 
     pairs = joined(pairs_of_tokens, pairs_of_tokens, "sig_a < sig_b", 2).unionByName(joined(host, host, "sig_a < sig_b", 1)).unionByName(joined(host, guest, "sig_a != sig_b", 1)).distinct()
-    pairs = through_table(pairs, "line-pairs")
+    pairs = through_table(pairs, "line-candidates")  # the shuffles of the keys can go before the prefixes are shuffled
+    # what the prefixes share bounds the overlap: other common tokens lie behind the prefix that ends first
+    a, b = (some.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("prefix").alias(f"prefix_{k}")) for k in "ab")
+    rest = "if(element_at(prefix_a, -1) <= element_at(prefix_b, -1), n_a - size(prefix_a), n_b - size(prefix_b))"
+    likely = pairs.join(b, "b").join(a, "a").where(f"size(array_intersect(prefix_a, prefix_b)) + {rest} >= {_need('n_a', 'n_b')}")
+    pairs = through_table(likely.select("a", "b").distinct(), "line-pairs")
 
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     where = sets.join(wanted, "sig").groupBy("sig").agg(F.min("first").alias("first")).select("sig", "first.*")
