@@ -33,10 +33,14 @@ def _credible(t: Column, start: Column, end: Column) -> Column:
 def year_mentions(c: Column) -> Column:
     """array<struct<years, pattern, quote, start, end>> in the patterns' order; no two overlap."""
     t = text(c)
-    found = []
-    for label, p in R.YEARS_PATTERNS:
-        hits = F.transform(spans(t, ANY_CASE + p), lambda s, label=label: F.struct(_number(s["match"]).alias("years"), F.lit(label).alias("pattern"), strip(F.regexp_replace(window(t, s["start"] - 20, s["end"] + 30), r"(?U)\s+", " ")).alias("quote"), s["start"].alias("start"), s["end"].alias("end")))
-        found.append(F.filter(hits, lambda h: (h["years"] <= R.MOST_YEARS) & _credible(t, h["start"], h["end"])))
+
+    def hits(label: str, pattern: str) -> Column:
+        """Credible mentions by one pattern. A function of its own: a lambda's second parameter would be the element's index."""
+        quote = lambda s: strip(F.regexp_replace(window(t, s["start"] - 20, s["end"] + 30), r"(?U)\s+", " "))
+        made = F.transform(spans(t, ANY_CASE + pattern), lambda s: F.struct(_number(s["match"]).alias("years"), F.lit(label).alias("pattern"), quote(s).alias("quote"), s["start"].alias("start"), s["end"].alias("end")))
+        return F.filter(made, lambda h: (h["years"] <= R.MOST_YEARS) & _credible(t, h["start"], h["end"]))
+
+    found = [hits(label, p) for label, p in R.YEARS_PATTERNS]
     kind = "array<struct<years:int,pattern:string,quote:string,start:int,end:int>>"
     free = lambda taken, h: ~F.exists(taken, lambda x: (h["start"] < x["end"]) & (h["end"] > x["start"]))
     return F.when(t.rlike(r"(?iU)y(?:ea)?rs?\b"), F.aggregate(F.concat(*found).cast(kind), F.array().cast(kind), lambda taken, h: F.when(free(taken, h), F.concat(taken, F.array(h))).otherwise(taken).cast(kind))).otherwise(F.array().cast(kind))
