@@ -30,7 +30,7 @@ from . import words as W
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 12, 12
 SIZES, BUCKETS, WORDS, DOCS_OF_WORD = (3, 4, 5, 6), 1 << 15, 20_000, 3
 POSITIVES, NEGATIVES, SAMPLE_CHARS = 1000, 1500, 40_000
-ROUNDS, BATCH, RATE, THRESHOLD = 5, 192, 0.01, 0.3
+ROUNDS, STEPS, BATCH, RATE, THRESHOLD = 5, 140, 192, 0.01, 0.3
 _CHUNK = 2048
 
 
@@ -241,7 +241,8 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
     step = 0
     positive = [i for i in range(len(y)) if y[i] and len(docs[i])]
     negative = [i for i in range(len(y)) if not y[i] and len(docs[i])]
-    for epoch in range(ROUNDS if positive and negative else 0):
+    epoch = 0
+    while positive and negative and (epoch < ROUNDS or step < STEPS):  # a small sample is gone through more often
         if epoch:
             where = best_windows(positive)
             chosen_at = dict(zip(positive, where.tolist()))
@@ -255,8 +256,10 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
             instances += list(zip(negative, best_windows(negative).tolist()))
         r.shuffle(instances)
         share = len(positive) / max(1, len(instances))
-        for a in range(0, len(instances), BATCH):
-            some = instances[a : a + BATCH]
+        size = max(32, min(BATCH, len(instances) // 8))
+        epoch += 1
+        for a in range(0, len(instances), size):
+            some = instances[a : a + size]
             ids = np.full((WINDOW, len(some)), -1, np.int64)
             for k, (i, s) in enumerate(some):
                 got = docs[i][s : s + WINDOW]
