@@ -29,7 +29,16 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of a job once the driver has collected what refers to them
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of through_table() that nothing reads any more."""
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._written)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
