@@ -210,3 +210,14 @@ def test_entry_and_registry(spark):
     assert set(registry.ORACLES) <= set(registry.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).columns == ["tier", "job_level", "n"]
+
+
+def test_adverts_hold_whole_texts(spark, tmp_path):
+    texts = ["word " * 300 + "Java", "word " * 300 + "Cobol", "short", None, "é" * 500]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    bodies = {r.doc_id: r.description_snippet for r in registry.adverts(spark, str(tmp_path)).collect()}
+    assert all(bodies[i].endswith(t or "") and (i % 3 or bodies[i] == (t or "")) for i, t in enumerate(texts))
+    keys = {r.doc_id: r.fingerprint for r in registry.QUERIES["normalise_keys"](spark, str(tmp_path)).collect()}
+    assert keys[0] == ("word " * 300 + "java") and keys[1].endswith("cobol")
+    found = {r.doc_id for r in registry.QUERIES["keyword_search"](spark, str(tmp_path)).collect()}
+    assert 0 in found
