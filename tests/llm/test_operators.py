@@ -135,6 +135,14 @@ def test_lines_edges(spark):
     assert out.columns == df.columns and sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == sorted([(2, "kept", 4), (None, long, 27)], key=str)
 
 
+def test_short_lines(spark, tmp_path):
+    texts = ["Home\nabout us\n\nonce", "home\n\n \nus  about\nkept one", "日本語の長い行\nread more", "日本語の長い行\nread more now"]
+    want = [(0, 4, 0, texts[0]), (1, 5, 2, "\n \nkept one"), (2, 2, 0, texts[2]), (3, 2, 1, "read more now")]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in queries.op7_line_similarity(spark, str(tmp_path)).collect()) == want
+    assert sorted((r.doc_id, r.text) for r in line_dedup.without_repeats(documents(spark, texts)).collect()) == [(i, t) for i, *_, t in want]
+
+
 def test_lines_oracle_sql(spark):
     import duckdb
 

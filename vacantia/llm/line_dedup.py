@@ -1,8 +1,9 @@
 """Line deduplication: an exact set-similarity join of lines, by DataFrame functions alone.
 
-A line is a \\n-separated part of a text; its tokens are the distinct lower-cased words between white space. Lines of at
-least TOKENS tokens match when 100 * intersection >= 90 * union. Lines are ordered by (doc_id, hash of the text, number
-of the line); a line goes if any earlier line matches it. Shorter lines always stay.
+A line is a \\n-separated part of a text; its tokens are the distinct lower-cased words between white space. Lines match
+when 100 * intersection >= 90 * union. Lines are ordered by (doc_id, hash of the text, number of the line); a line goes if
+any earlier line matches it. Lines of fewer than ``least`` tokens always stay: the query and the pipeline pass 1, so that
+only blank lines do; the default TOKENS is what the SQL oracle and its tests state.
 
 Equal token sets are one set, known by its first line. For the others:
 
@@ -61,14 +62,14 @@ def _need(a: str, b: str) -> str:
     return f"cast(ceil({SHARE} * ({a} + {b}) / {SHARE + OF}D - 1e-9) as int)"
 
 
-def removed_lines(text: DataFrame) -> DataFrame:
+def removed_lines(text: DataFrame, least: int = TOKENS) -> DataFrame:
     """(doc_id, th, at) of the lines that go; ``text`` has doc_id, text and th, a hash of the text."""
     ranks = frequent(text)
-    at_least = f"size({_WORDS.format('line')}) >= {TOKENS}"  # words, not tokens: tokens are not made for a filter alone
+    at_least = f"size({_WORDS.format('line')}) >= {least}"  # words, not tokens: tokens are not made for a filter alone
     sized = text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(at_least).select("doc_id", "th", "at", _tokens("line", ranks).alias("tokens"))
     prefix = f"n - cast(ceil({SHARE} * n / {OF}D - 1e-9) as int) + 1"
     sized = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"), "tokens")
-    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(f"if(n > 8, slice(tokens, 1, {prefix} + 1), null)").alias("prefix")), "lines").where(f"n >= {TOKENS}")
+    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(f"if(n > 8, slice(tokens, 1, {prefix} + 1), null)").alias("prefix")), "lines").where(f"n >= {least}")
     sets = lines.groupBy("sig", "sig2").agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     sets = through_table(sets, "line-sets")
 
@@ -108,24 +109,24 @@ def removed_lines(text: DataFrame) -> DataFrame:
     return lines.select("doc_id", "th", "at", "sig", "sig2").join(judged, ["sig", "sig2"]).where(F.coalesce("gone", F.struct("doc_id", "th", "at") > F.col("first"))).select("doc_id", "th", "at")
 
 
-def with_kept_text(docs: DataFrame) -> DataFrame:
+def with_kept_text(docs: DataFrame, least: int = TOKENS) -> DataFrame:
     """``docs`` with _th, _lines (how many lines), _gone (how many went) and _kept (the text without them)."""
     keyed = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string")))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").withColumn("th", F.xxhash64("text"))
-    gone = removed_lines(text).groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_h")).agg(F.collect_set("at").alias("_at"))
+    gone = removed_lines(text, least).groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_h")).agg(F.collect_set("at").alias("_at"))
     both = keyed.join(gone, F.expr("_th = _h and cast(doc_id as long) <=> _doc"), "left")
     kept = "case when _at is null then text else array_join(transform(array_except(sequence(0, size(split(text, '\\n')) - 1), _at), i -> split(text, '\\n')[i]), '\\n') end"
     return both.withColumn("_kept", F.expr(kept)).withColumn("_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).withColumn("_gone", F.coalesce(F.size("_at"), F.lit(0))).drop("_doc", "_h", "_at", "_th")
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, least: int = TOKENS) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left, of every document."""
-    out = with_kept_text(docs.select("doc_id", "text"))
+    out = with_kept_text(docs.select("doc_id", "text"), least)
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_lines").cast("long").alias("n_lines"), F.col("_gone").cast("long").alias("n_removed"), F.col("_kept").alias("text"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
     """``docs`` with the repeated lines taken out of text; documents of whose words nothing is left go."""
-    out = with_kept_text(docs)
+    out = with_kept_text(docs, least)
     left = out.where("_gone = 0 or _kept rlike '[^ \\t-\\r]'")
     return left.select(*(F.col("_kept").alias("text") if c == "text" else F.when(F.col("_gone") > 0, F.length("_kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))

@@ -34,7 +34,7 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), least=1)
 
 
 def op8_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
