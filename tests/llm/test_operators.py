@@ -264,6 +264,16 @@ def test_compression_bands():
     assert quality.bands(b"", p)[-1] == "empty"
 
 
+def test_compression_bands_look_at_the_tail():
+    import zstandard
+
+    p = zstandard.ZstdCompressor(level=quality.LEVEL)
+    prose = " ".join(some_words(4, 2000, 3000)).encode()[:4096]
+    keys = bytes(np.random.Generator(np.random.PCG64(3)).integers(33, 127, 4095).tolist())
+    assert quality.bands(prose + keys, p)[3:] == (2, 1, "bad chunks")
+    assert quality.bands(prose + keys[:1], p)[3:] == (2, 0, "ok") and quality.bands(prose, p)[3] == 1 and quality.bands(prose[:4095], p)[3] == 0
+
+
 def test_licenses(spark):
     texts = [None, "", "CC BY-SA 4.0; cc/by", "All  rights\nreserved. all rights reserved", "the GNU General Public License, v3", "Relesed under the MIT Licence.", "notice: released-under the mit license now", "accby", "words only é cc by"]
     rows = {r.doc_id: r for r in licenses.license_scan(documents(spark, texts)).collect()}

@@ -2,7 +2,9 @@
 
 zstandard ratios (bytes before / after) of the whole document and of fixed chunks are held against limits that depend
 on the length: a ratio above the band means repetitive text, below it text that does not compress (keys, encoded
-binaries). The chunk rule looks at every chunk, so that a bad stretch of a long document counts in proportion.
+binaries). The chunk rule looks at every chunk, so that a bad stretch of a long document counts in proportion; bytes after the last whole
+chunk are looked at as a chunk over the last CHUNK_BYTES bytes. Shorter documents have no chunks: the limits of their own
+length hold all their bytes.
 
 Null and empty texts have no words: they fail the base rule. Repeated rows give repeated results. Other columns of the
 input are not read, so their names can't clash.
@@ -55,11 +57,13 @@ def bands(data: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, float,
         return 0.0, 0.0, 0.0, 0, 0, "empty"
     ratio = len(data) / len(packer.compress(data))
     _, low, high = [x for x in DOCUMENT_BANDS if x[0] <= len(data)][-1]
-    whole = len(data) // CHUNK_BYTES
-    found = [CHUNK_BYTES / len(packer.compress(data[i * CHUNK_BYTES : (i + 1) * CHUNK_BYTES])) for i in range(whole)]
+    starts = list(range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES))
+    if starts and len(data) % CHUNK_BYTES:
+        starts.append(len(data) - CHUNK_BYTES)
+    found = [CHUNK_BYTES / len(packer.compress(data[i : i + CHUNK_BYTES])) for i in starts]
     bad = sum(not CHUNK_BAND[0] <= x <= CHUNK_BAND[1] for x in found)
-    verdict = "repetitive" if ratio > high else "incompressible" if ratio < low else "bad chunks" if bad > CHUNK_SHARE * whole else "ok"
-    return ratio, min(found, default=ratio), max(found, default=ratio), whole, bad, verdict
+    verdict = "repetitive" if ratio > high else "incompressible" if ratio < low else "bad chunks" if bad > CHUNK_SHARE * len(found) else "ok"
+    return ratio, min(found, default=ratio), max(found, default=ratio), len(found), bad, verdict
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
