@@ -85,6 +85,12 @@ def test_skills(spark):
     assert each(spark, ["JS, reactjs, Node, Underwater Basket Weaving", "python.; ,PYTHON", None], "string", S.canonical_string) == ["JavaScript, React, Node.js", "Python", ""]
 
 
+def test_default_vocabulary_covers_the_reference(spark):
+    hay = ["Terraform and Selenium", "Spring Boot, Ruby on Rails", "MongoDB", "Postgres and ASP.NET Core", "go to market"]
+    assert each(spark, hay, "string", S.matched) == [["Terraform", "Selenium"], ["Spring Boot", "Ruby on Rails"], ["MongoDB/NoSQL"], ["SQL", ".NET"], []]
+    assert each(spark, ["Mongo, GCP, Advanced Excel, SQL (MySQL/Postgres)"], "string", S.canonical_string) == ["SQL, Excel, MongoDB/NoSQL, Google Cloud (GCP)"]
+
+
 def ads(spark, rows):
     return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], AD)
 
