@@ -227,3 +227,14 @@ def test_adverts_hold_whole_texts(spark, tmp_path):
     assert keys[0] == ("word " * 300 + "java") and keys[1].endswith("cobol")
     found = {r.doc_id for r in registry.QUERIES["keyword_search"](spark, str(tmp_path)).collect()}
     assert 0 in found
+
+
+def test_sorts_return_all_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, i, f"2026-08-{16 + i % 7}", "", None if i % 3 == 0 else i % 8) for i in range(120)], "_seq long, doc_id long, date_posted string, date_added string, experience_years int")
+    monkeypatch.setattr(registry, "_board", lambda *_: (rows, rows))
+    monkeypatch.setattr(registry.board, "merge", lambda old, *_: old)
+    monkeypatch.setattr(registry, "_screened", lambda *_: rows)
+    got = sorted((r.place, r._seq) for r in registry.QUERIES["board_sorted"](spark, "").collect())
+    assert got == list(enumerate(sorted(range(120), key=lambda i: (-(i % 7), i)), 1))
+    years = [(r.doc_id, r.experience_years) for r in registry.QUERIES["sort_years_nulls_last"](spark, "").collect()]
+    assert years == sorted(((i, None if i % 3 == 0 else i % 8) for i in range(120)), key=lambda r: (r[1] is None, r[1] or 0, r[0]))

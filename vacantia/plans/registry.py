@@ -188,9 +188,14 @@ def board_prune(spark, sf):
 
 @query(q(BOARD + "SELECT row_number() OVER (ORDER BY CASE WHEN date_posted <> '' THEN date_posted ELSE date_added END DESC, _seq) AS place, _seq FROM prn ORDER BY 1 LIMIT 50"))
 def board_sorted(spark, sf):
-    top = board.ordered(board.prune(board.merge(*_board(spark, sf), TODAY), TODAY)).limit(50).select(F.coalesce(F.nullif("date_posted", F.lit("")), "date_added").alias("d"), "_seq")
-    rows = top.agg(F.array_sort(F.collect_list(F.struct("d", "_seq")), lambda a, b: F.when(a["d"] != b["d"], F.when(a["d"] > b["d"], -1).otherwise(1)).otherwise(F.when(a["_seq"] < b["_seq"], -1).otherwise(1))).alias("r"))
-    return rows.select(F.posexplode("r").alias("p", "r")).select((F.col("p") + 1).cast("long").alias("place"), "r._seq")
+    rows = materialised(board.ordered(board.prune(board.merge(*_board(spark, sf), TODAY), TODAY)).select("_seq"))
+    # partitions hold ranges in order: a row's place is the rows of earlier partitions and its own number
+    at = rows.select("_seq", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("nth"))
+    before, n = {}, 0
+    for part, size in sorted((r["part"], r["n"]) for r in at.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()):
+        before[part], n = n, n + size
+    offsets = spark.createDataFrame(list(before.items()), "part int, offset long")
+    return at.join(F.broadcast(offsets), "part").select((F.col("offset") + F.col("nth") + 1).alias("place"), "_seq")
 
 
 @query(q(BOARD + "SELECT (SELECT count(*) FROM old) AS carried_over, (SELECT count(*) FROM new) AS from_today, (SELECT count(*) FROM mrg) - (SELECT count(*) FROM prn) AS pruned, (SELECT count(*) FROM prn) AS published"))
@@ -252,7 +257,7 @@ def match_ranked(spark, sf):
 
 @query(q("SELECT doc_id, CAST(years AS INT) AS experience_years FROM fin ORDER BY years ASC NULLS LAST, _seq LIMIT 40"))
 def sort_years_nulls_last(spark, sf):
-    return _screened(spark, sf).orderBy(*search.sort_keys("years-asc")).limit(40).select("doc_id", "experience_years")
+    return _screened(spark, sf).orderBy(*search.sort_keys("years-asc")).select("doc_id", "experience_years")
 
 
 @query(q("SELECT doc_id FROM fin a WHERE NOT EXISTS (SELECT 1 FROM fin b WHERE NOT b.kept AND CASE WHEN b.u <> '' THEN b.u ELSE lower(b.title || '|' || b.company) END = CASE WHEN a.u <> '' THEN a.u ELSE lower(a.title || '|' || a.company) END)"))
