@@ -76,11 +76,23 @@ def test_jaccard_components(spark, corpus, monkeypatch):
     assert sum(1 for k, (_, c) in got.items() if k != c) > 60
 
 
-def test_jaccard_regions_split_whatever_their_size(spark, corpus, monkeypatch):
-    monkeypatch.setattr(ngram_join, "PAIRS_FOR_EACH", 0.2)
-    monkeypatch.setattr(ngram_join, "ROUNDS", 3)
+@pytest.mark.parametrize("pivots", [1, 4])
+def test_jaccard_regions_split_whatever_their_size(spark, corpus, monkeypatch, pivots):
+    monkeypatch.setattr(ngram_join, "PAIRS_FOR_EACH", 0)
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    split = []
+    regions = ngram_join.Space.regions
+    monkeypatch.setattr(ngram_join.Space, "regions", lambda *a: split.append(out := regions(*a)) or out)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(documents(spark, corpus)).collect()}
-    assert got == brute_components(corpus)
+    assert got == brute_components(corpus) and split
+
+
+def test_one_of_each_by_text(spark):
+    a, b = "a b c d e f", "g h i j k l"
+    df = documents(spark, [a, a, b, b, a, None, None], ids=[3, 7, 7, 9, None, 4, 4])
+    assert sorted(((r.doc_id, r.text) for r in ngram_join.one_of_each(df).collect()), key=str) == sorted([(3, a), (7, b), (None, a), (4, None), (4, None)], key=str)
+    clash = df.withColumnsRenamed({"score": "name", "label": "point"}).withColumn("root", df["n_chars"])
+    assert ngram_join.one_of_each(clash).columns == clash.columns and ngram_join.one_of_each(clash).count() == 5
 
 
 def test_jaccard_edges(spark):
