@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +25,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Spark removes the shuffle files of a query at its end while this is set.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written or collected within leaves no shuffle files behind."""
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN)
+        else:
+            spark.conf.set(_CLEAN, before)
+
+
 def through_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it: lineage ends here, and a lost executor costs no upstream work."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()  # Spark deletes the shuffle files of a job once the driver has collected what refers to them
+    with releasing_shuffles(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out
