@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vacantia.llm import decontamination, licenses, line_dedup, ngram_join, oracles, packing, quality, queries, rendering, tokens, tool_calls, toxicity, urls, words
@@ -106,7 +107,7 @@ def test_jaccard_edges(spark):
 
 def brute_lines(texts):
     lines = [(i, k, frozenset(x for x in line.lower().replace("\t", " ").split(" ") if x)) for i, t in enumerate(texts) if t is not None for k, line in enumerate(t.split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= line_dedup.TOKENS]
+    lines = [x for x in lines if x[2]]
     gone = collections.defaultdict(set)
     for a, (i, k, s) in enumerate(lines):
         if any(100 * len(s & z) >= 90 * len(s | z) for _, _, z in lines[:a]):
@@ -143,10 +144,28 @@ def test_lines_edges(spark):
     got = sorted(((r.doc_id, r.n_removed, r.text) for r in line_dedup.line_report(df).collect()), key=str)
     assert got == sorted([(1, 1, ""), (1, 1, ""), (2, 1, "kept"), (None, 0, long)], key=str)
     assert line_dedup.line_report(df.limit(0)).count() == 0
+    clash = df.withColumnsRenamed({"score": "_th", "label": "mark", "overlaps": "at"}).withColumn("went", F.lit(5))
+    out = line_dedup.without_repeats(clash)
+    assert out.columns == clash.columns and {(r._th, r.mark, r.at, r._kept, r.went) for r in out.collect()} == {("x", "y", "z", 1, 5)}
     out = line_dedup.without_repeats(df)
     assert out.columns == df.columns and sorted(((r.doc_id, r.text, r.n_chars) for r in out.collect()), key=str) == sorted([(2, "kept", 4), (None, long, 27)], key=str)
 
 
+def test_lines_of_a_family(spark):
+    """Variants of one line, some of which match only variants that match nothing earlier themselves."""
+    r = np.random.Generator(np.random.PCG64(8))
+    texts = []
+    for base in range(4):
+        w = some_words(base, (14, 22, 40, 70)[base], 3000)
+        for k in range(50):
+            v = list(w)
+            for at in r.integers(0, len(v), r.integers(0, 4)):
+                v[at : at + r.integers(0, 3)] = [f"n{r.integers(0, 99)}"]
+            texts.append(" ".join(v))
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup.line_report(documents(spark, texts)).collect()}
+    assert got == brute_lines(texts)
+
+
 def test_short_lines(spark, tmp_path):
     texts = ["Home\nabout us\n\nonce", "home\n\n \nus  about\nkept one", "日本語の長い行\nread more", "日本語の長い行\nread more now"]
     want = [(0, 4, 0, texts[0]), (1, 5, 2, "\n \nkept one"), (2, 2, 0, texts[2]), (3, 2, 1, "read more now")]

@@ -2,131 +2,218 @@
 
 A line is a \\n-separated part of a text; its tokens are the distinct lower-cased words between white space. Lines match
 when 100 * intersection >= 90 * union. Lines are ordered by (doc_id, hash of the text, number of the line); a line goes if
-any earlier line matches it. Lines of fewer than ``least`` tokens always stay: the query and the pipeline pass 1, so that
-only blank lines do; the default TOKENS is what the SQL oracle and its tests state.
-
-Equal token sets are one set, known by its first line. For the others:
-
-- Tokens are ordered by rarity: words that are not among the most frequent of all texts first, then these by three ranks
-  of frequency, ties by hash. (Any common order is exact; this one makes the groups below small.)
-- Prefix filter: two sets that match share a token among the first n - ceil(0.9 n) + 1 of each, and two tokens among one
-  more. Sets of fewer than LONG tokens use the pairs of tokens of the longer prefix as keys, longer ones single tokens.
-- Length filter: sizes differ by a factor of 0.9 at most. Single-token keys also hold a size class, one wide enough that
-  matches lie in the same or in neighbouring classes.
-- Positional filter: what follows the common key in both sets must suffice for the overlap.
-- The prefixes of the remaining pairs are intersected: with what lies behind them this bounds the overlap.
+any earlier line matches it, whether or not that one goes itself. Blank lines always stay.
+
+Equal token sets are one set, known by its first line. Sets of 8 tokens or fewer match equal sets only. For the others:
+
+- Tokens are ordered by rarity: by the count, over all texts, of the words in their hash bucket (classes of half a power
+  of two), ties by hash. Any common order is exact; this one makes the groups below small.
+- Prefix filter: two sets of n and m tokens that match differ by H = n + m - 2 * need tokens at most, and each of these
+  lies in one gap between neighbours in the order of the common tokens. So among the first H + 1 such pairs of
+  neighbours one stands side by side in both sets, and it ends within the first n div 5 + 2 tokens of the one set and
+  m div 5 + 2 of the other. Pairs of neighbouring tokens in these prefixes are the keys.
+- Length filter: sizes differ by a factor of 0.9 at most.
+- Positional filter: what stands before and behind the common key in both sets must suffice for the overlap.
+- Parity filter: a set's 64 bits hold the parity of its tokens by bucket, so that two sets differ in no more bits than in
+  tokens, H at most.
 - Verification: the token sets of the pairs left are intersected.
 
-Sets of 8 tokens or fewer match equal sets only. Nothing is gathered by key: groups are joined and pairs filtered as they
-form. Null and empty texts have no line to remove and come back as they are. Rows with equal doc_id and text are one
-document, none of which is later than the other; null doc_ids come first. Other columns are passed through.
+Sets that share a key are first held against one of them alone, the one with most copies. In a family of near copies
+nearly all lines are decided by that. Only those that are not (no earlier match found yet) are held against all others of
+their keys, so that a family costs its size and not its square. Groups are joined and filtered as they form, never gathered.
+
+Null and empty texts have no line to remove and come back as they are; so does an empty table. Rows with equal doc_id and
+text are one document, none of which is later than the other; null doc_ids come first. Very long texts are read whole.
+Other columns are passed through, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import through_table
+from .tables import discard, releasing_shuffles, through_table
 
 #: A match: OF * intersection >= SHARE * union.
-SHARE, OF, TOKENS, LONG = 90, 100, 5, 48
-#: How many of the most frequent words are told apart from the others, in three ranks.
-RANKS = (128, 1024, 8192)
-_WORDS = "split(translate(lower({}), '\\t\\r\\n\\u000B\\u000C', '     '), ' ')"
+SHARE, OF = 90, 100
+#: Sets up to this size match equal ones only: one differing token leaves less than SHARE.
+ALIKE = 8
+#: Buckets of words whose counts tell how rare a word is, as a power of two; and how many are sent to the driver as one row.
+BUCKET_BITS, SLICE = 18, 64
+
 
+def _words(text: str) -> str:
+    """SQL for the lower-cased words of ``text``."""
+    apart = f"lower({text})"
+    for space in ("\\t", "\\n", "\\u000B", "\\u000C", "\\r"):
+        apart = f"replace({apart}, '{space}', ' ')"
+    return f"array_remove(split({apart}, ' '), '')"
 
-def frequent(text: DataFrame) -> list[list[int]]:
-    """Hashes of the most frequent words of all texts, in ranks. RANKS[-1] rows at most reach the driver."""
-    words = text.select(F.explode(F.expr(_WORDS.format("text"))).alias("w")).where("w != ''")
-    top = [r.h for r in words.groupBy(F.xxhash64("w").alias("h")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "h").limit(RANKS[-1]).select("h").collect()]
-    return [top[a:b] for a, b in zip((0, *RANKS), RANKS)]
 
+def rarity(text: DataFrame) -> bytes:
+    """For each bucket of word hashes a byte that grows with the count of its words in all texts. 1 << BUCKET_BITS bytes."""
+    words = text.select(F.explode(F.expr(_words("text"))).alias("w"))
+    counts = words.groupBy(F.expr(f"xxhash64(w) & {(1 << BUCKET_BITS) - 1}").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    classes = counts.selectExpr(f"b div {SLICE} as slice", f"struct(cast(b % {SLICE} as int), cast(2 * log2(n) as int)) as c")
+    written = f"array_join(transform(sequence(0, {SLICE - 1}), i -> lpad(hex(coalesce(element_at(map_from_entries(cs), i), 0)), 2, '0')), '')"
+    out = bytearray(1 << BUCKET_BITS)
+    slices = classes.groupBy("slice").agg(F.collect_list("c").alias("cs")).selectExpr("slice", f"{written} as written")
+    with releasing_shuffles(text.sparkSession):
+        rows = slices.collect()
+    for row in rows:
+        out[row.slice * SLICE : (row.slice + 1) * SLICE] = bytes.fromhex(row.written)
+    return bytes(out)
 
-def _tokens(line: str, ranks: list[list[int]]):
-    """A line's distinct tokens, rarest first: two bits for the rank, then 60 bits of the hash."""
 
-    def key(h):
-        out = F.lit(0)
-        for i, hashes in reversed(list(enumerate(ranks))):
-            if hashes:
-                out = F.when(h.isin(hashes), F.lit(len(ranks) - i)).otherwise(out)
-        return F.shiftleft(out.cast("long"), 60).bitwiseOR(F.shiftrightunsigned(h, 4))
+def _tokens(line: str, classes: bytes) -> Column:
+    """A line's distinct tokens, rarest first: seven bits for the class, then 56 bits of the hash."""
+    table = F.lit(bytearray(classes))
 
-    hashed = F.transform(F.expr(_WORDS.format(line)), lambda w: F.xxhash64(w))
-    return F.sort_array(F.transform(F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit(""))), key))
+    def key(h: Column) -> Column:
+        place = h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1
+        rare = F.ascii(F.substring(table, place, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(rare, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
+    hashed = F.transform(F.expr(_words(line)), lambda w: F.xxhash64(w))
+    return F.sort_array(F.transform(F.array_distinct(hashed), key))
 
 
 def _need(a: str, b: str) -> str:
-    """The overlap that sets of sizes a and b need, as SQL."""
-    return f"cast(ceil({SHARE} * ({a} + {b}) / {SHARE + OF}D - 1e-9) as int)"
+    """The overlap that sets of sizes a and b need, as SQL; exact in integers."""
+    return f"(({SHARE} * ({a} + {b}) + {SHARE + OF - 1}) div {SHARE + OF})"
 
 
-def removed_lines(text: DataFrame, least: int = TOKENS) -> DataFrame:
-    """(doc_id, th, at) of the lines that go; ``text`` has doc_id, text and th, a hash of the text."""
-    ranks = frequent(text)
-    at_least = f"size({_WORDS.format('line')}) >= {least}"  # words, not tokens: tokens are not made for a filter alone
-    sized = text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(at_least).select("doc_id", "th", "at", _tokens("line", ranks).alias("tokens"))
-    prefix = f"n - cast(ceil({SHARE} * n / {OF}D - 1e-9) as int) + 1"
-    sized = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"), "tokens")
-    lines = through_table(sized.select("doc_id", "th", "at", "n", "sig", "sig2", F.expr(f"if(n > 8, slice(tokens, 1, {prefix} + 1), null)").alias("prefix")), "lines").where(f"n >= {least}")
-    sets = lines.groupBy("sig", "sig2").agg(F.min(F.struct("doc_id", "th", "at")).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    sets = through_table(sets, "line-sets")
-
-    some = sets.where("prefix is not null").select("sig", "n", "prefix")
-    two = f"flatten(transform(sequence(1, {prefix}), i -> transform(sequence(i + 1, {prefix} + 1), j -> struct(xxhash64(prefix[i - 1], prefix[j - 1]) as key, j as pos))))"
-    one = f"transform(slice(prefix, 1, {prefix}), (t, i) -> struct(t as key, i + 1 as pos))"
-    size_class = f"cast(floor(ln(n) / ln({OF / SHARE}D)) as int)"
-    pairs_of_tokens = some.where(f"n < {LONG}").select("sig", "n", F.explode(F.expr(two)).alias("k")).select("sig", "n", "k.key", "k.pos")
-    # sets somewhat below LONG may match longer ones and so have single keys too
-    single = some.where(f"n >= {LONG} * {SHARE / OF}").select("sig", "n", F.explode(F.expr(one)).alias("k")).select("sig", "n", "k.key", "k.pos", F.expr(size_class).alias("c"))
-    host = single.select("sig", "n", "pos", F.xxhash64("key", "c").alias("key"))
-    guest = single.select("sig", "n", "pos", F.xxhash64("key", F.col("c") + 1).alias("key"))
-
-    def joined(left: DataFrame, right: DataFrame, once: str, common: int) -> DataFrame:
-        a, b = (df.select("key", *(F.col(x).alias(f"{x}_{k}") for x in ("sig", "n", "pos"))) for df, k in ((left, "a"), (right, "b")))
-        return a.join(b, "key").where(once).where(f"{OF} * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)").where(f"{common} + least(n_a - pos_a, n_b - pos_b) >= {_need('n_a', 'n_b')}").select(F.least("sig_a", "sig_b").alias("a"), F.greatest("sig_a", "sig_b").alias("b"))
-
-    pairs = joined(pairs_of_tokens, pairs_of_tokens, "sig_a < sig_b", 2).unionByName(joined(host, host, "sig_a < sig_b", 1)).unionByName(joined(host, guest, "sig_a != sig_b", 1)).distinct()
-    pairs = through_table(pairs, "line-candidates")  # the shuffles of the keys can go before the prefixes are shuffled
-    # what the prefixes share bounds the overlap: other common tokens lie behind the prefix that ends first
-    a, b = (some.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("prefix").alias(f"prefix_{k}")) for k in "ab")
-    rest = "if(element_at(prefix_a, -1) <= element_at(prefix_b, -1), n_a - size(prefix_a), n_b - size(prefix_b))"
-    likely = pairs.join(b, "b").join(a, "a").where(f"size(array_intersect(prefix_a, prefix_b)) + {rest} >= {_need('n_a', 'n_b')}")
-    pairs = through_table(likely.select("a", "b").distinct(), "line-pairs")
+#: Whether the sets a and b may match, as SQL.
+_MAY_MATCH = f"""{OF} * least(n_a, n_b) >= {SHARE} * greatest(n_a, n_b)
+  and least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b) >= {_need("n_a", "n_b")}
+  and bit_count(bits_a ^ bits_b) <= n_a + n_b - 2 * {_need("n_a", "n_b")}
+  and (n_a != n_b or {_need("n_a", "n_b")} < n_a)"""
+_MEMBER = ("sig", "n", "pos", "bits")
 
-    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    where = sets.join(wanted, "sig").groupBy("sig").agg(F.min("first").alias("first")).select("sig", "first.*")
-    places = where.groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.collect_list(F.struct("at", "sig")).alias("places"))  # lines of one document
-    known = text.join(places, F.expr("th = _th and doc_id <=> _doc")).withColumn("parts", F.split("text", "\n")).select("doc_id", "th", F.explode(F.transform("places", lambda p: F.struct(p["sig"].alias("sig"), p["at"].alias("at"), F.get(F.col("parts"), p["at"]).alias("line")))).alias("p"))
-    known = known.select("p.sig", F.struct("doc_id", "th", "p.at").alias("first"), F.expr(f"array_distinct(transform({_WORDS.format('p.line')}, x -> xxhash64(x)))").alias("tokens")).select("sig", "first", F.array_remove("tokens", F.xxhash64(F.lit(""))).alias("tokens"))
-    known = through_table(known.groupBy("sig").agg(F.min(F.struct("first", "tokens")).alias("k")).select("sig", "k.*"), "line-tokens")
-    a, b = (known.select(F.col("sig").alias(k), F.col("tokens").alias(f"tokens_{k}"), F.col("first").alias(f"first_{k}")) for k in "ab")
-    checked = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b"))).where(f"{OF} * both >= {SHARE} * (size(tokens_a) + size(tokens_b) - both)")
-    later = checked.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("sig")).distinct()
 
-    judged = sets.select("sig", "sig2", "first").join(later.withColumn("gone", F.lit(True)), "sig", "left")
-    return lines.select("doc_id", "th", "at", "sig", "sig2").join(judged, ["sig", "sig2"]).where(F.coalesce("gone", F.struct("doc_id", "th", "at") > F.col("first"))).select("doc_id", "th", "at")
+def _side(members: DataFrame, side: str, *more: str) -> DataFrame:
+    return members.select("key", *(F.col(c).alias(f"{c}_{side}") for c in (*_MEMBER, *more)))
+
 
+def _sets(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All lines with the names of their sets; and the sets that are not empty, with keys."""
+    classes = rarity(text)
+    lines = text.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    sized = lines.select("doc_id", "th", "at", _tokens("line", classes).alias("tokens"))
+    pair_keys = "transform(sequence(1, n div 5 + 1), i -> xxhash64(tokens[i - 1], tokens[i]))"
+    parity = "aggregate(tokens, 0L, (x, t) -> x ^ shiftleft(1L, cast(t & 63 as int)))"
+    described = sized.select("doc_id", "th", "at", F.size("tokens").alias("n"), "tokens").select(
+        "doc_id", "th", "at", "n", F.xxhash64("tokens").alias("sig"), F.hash("tokens").alias("sig2"),
+        F.expr(f"if(n > {ALIKE}, {parity}, null)").alias("bits"), F.expr(f"if(n > {ALIKE}, {pair_keys}, null)").alias("keys"),
+    )
+    lines = through_table(described, "lines")
+    first = F.min(F.struct("doc_id", "th", "at")).alias("first")
+    same = (F.first(c).alias(c) for c in ("n", "bits", "keys"))
+    return lines, through_table(lines.where("n > 0").groupBy("sig", "sig2").agg(first, F.count(F.lit(1)).alias("copies"), *same), "line-sets")
 
-def with_kept_text(docs: DataFrame, least: int = TOKENS) -> DataFrame:
-    """``docs`` with _th, _lines (how many lines), _gone (how many went) and _kept (the text without them)."""
-    keyed = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string")))
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").withColumn("th", F.xxhash64("text"))
-    gone = removed_lines(text, least).groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_h")).agg(F.collect_set("at").alias("_at"))
-    both = keyed.join(gone, F.expr("_th = _h and cast(doc_id as long) <=> _doc"), "left")
-    kept = "case when _at is null then text else array_join(transform(array_except(sequence(0, size(split(text, '\\n')) - 1), _at), i -> split(text, '\\n')[i]), '\\n') end"
-    return both.withColumn("_kept", F.expr(kept)).withColumn("_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0))).withColumn("_gone", F.coalesce(F.size("_at"), F.lit(0))).drop("_doc", "_h", "_at", "_th")
 
+def _members(sets: DataFrame) -> DataFrame:
+    """A row for each set and each of its keys, of keys that several sets have."""
+    some = sets.where("keys is not null").select("sig", "n", "bits", "copies", F.posexplode("keys").alias("at", "key"))
+    dealt = some.select("key", "sig", "n", (F.col("at") + 2).alias("pos"), "bits", "copies").repartition("key")
+    repeated = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
+    return through_table(dealt.join(repeated.hint("shuffle_hash"), "key"), "line-keys")
 
-def line_report(docs: DataFrame, least: int = TOKENS) -> DataFrame:
+
+def _known(text: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(sig, first, tokens) of the sets in ``pairs``, read from their first lines."""
+    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    where = sets.select("sig", "first").join(wanted, "sig").groupBy("sig").agg(F.min("first").alias("first"))
+    by_document = where.groupBy(F.col("first.doc_id").alias("_doc"), F.col("first.th").alias("_th"))
+    places = by_document.agg(F.collect_list(F.struct("first.at", "sig")).alias("places"))  # lines of one document
+    found = text.join(places, F.expr("th = _th and doc_id <=> _doc")).withColumn("parts", F.split("text", "\n"))
+    line = F.transform("places", lambda p: F.struct(p["sig"].alias("sig"), p["at"].alias("at"), F.get(F.col("parts"), p["at"]).alias("line")))
+    lines = found.select("doc_id", "th", F.size("parts"), F.explode(line).alias("p"))
+    hashes = f"array_distinct(transform({_words('p.line')}, w -> xxhash64(w)))"
+    tokens = lines.select("p.sig", F.struct("doc_id", "th", "p.at").alias("first"), F.expr(hashes).alias("tokens"))
+    return tokens.groupBy("sig").agg(F.min(F.struct("first", "tokens")).alias("k")).select("sig", "k.*")  # equal rows repeat a line
+
+
+def _later(text: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The later sets of the pairs (a, b) that match."""
+    known = through_table(_known(text, sets, pairs), "line-tokens")
+    a, b = (known.select(F.col("sig").alias(k), F.col("tokens").alias(f"tokens_{k}"), F.col("first").alias(f"first_{k}")) for k in "ab")
+    overlap = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
+    matched = overlap.where(f"{OF} * both >= {SHARE} * (size(tokens_a) + size(tokens_b) - both)")
+    later = matched.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("sig")).distinct()
+    later = through_table(later, "line-later")
+    discard(known)
+    return later
+
+
+def removed_lines(text: DataFrame) -> DataFrame:
+    """(doc_id, th, at) of the lines that go; ``text`` has doc_id, text and th, a hash of the text."""
+    lines, sets = _sets(text)
+    members = _members(sets)
+
+    strongest = members.groupBy("key").agg(F.max(F.struct("copies", *_MEMBER)).alias("p")).select("key", "p.*")
+    one_side = _side(members, "b").join(_side(strongest, "a"), "key").where(f"sig_a != sig_b and {_MAY_MATCH}")
+    pairs = through_table(one_side.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct(), "line-pairs")
+    later = _later(text, sets, pairs)
+
+    marked = members.join(later.withColumn("gone", F.lit(True)), "sig", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
+    marked = through_table(marked, "line-marked")
+    discard(members)
+    others = _side(marked.where("not gone"), "b").join(_side(marked, "a", "gone"), "key").where(f"(gone_a or sig_a < sig_b) and sig_a != sig_b and {_MAY_MATCH}")
+    others = others.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct()
+    done = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = through_table(others.join(done, ["a", "b"], "left_anti"), "line-pairs")
+    discard(marked, pairs)
+    later = later.unionByName(_later(text, sets, rest)).distinct()
+
+    judged = sets.select("sig", "sig2", "first", "copies").join(later.withColumn("gone", F.lit(True)), "sig", "left")
+    judged = judged.where("copies > 1 or gone")
+    places = lines.select("doc_id", "th", "at", "sig", "sig2").join(judged, ["sig", "sig2"])
+    gone = places.where(F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "th", "at") > F.col("first")))
+    gone = through_table(gone.groupBy("doc_id", "th").agg(F.collect_set("at").alias("at")), "lines-gone")
+    discard(rest, sets, lines)
+    return gone
+
+
+def _free(columns: list[str], *names: str) -> list[str]:
+    """The names with as many _ before them as they need to differ from ``columns``."""
+    out = []
+    for name in names:
+        while name.lower() in (c.lower() for c in columns):
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def with_kept_text(docs: DataFrame) -> tuple[DataFrame, str, str, str]:
+    """``docs`` with three more columns and their names: the text that is kept, how many lines it had, how many went."""
+    kept, total, went, mark, doc, at, parts = _free(docs.columns, "kept", "total", "went", "mark", "doc", "at", "parts")
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    gone = removed_lines(text.where("text is not null").withColumn("th", F.xxhash64("text")))
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("th").alias(mark), F.col("at").alias(at))
+    whole = F.col("text").cast("string")
+    both = docs.join(gone, (F.xxhash64(docs["text"].cast("string")) == gone[mark]) & docs["doc_id"].cast("long").eqNullSafe(gone[doc]), "left")
+    both = both.withColumn(parts, F.split(whole, "\n"))
+    stays = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(at))
+    rest = F.array_join(F.transform(stays, lambda i: F.get(F.col(parts), i)), "\n")
+    both = both.withColumn(kept, F.when(F.col(at).isNull(), whole).otherwise(rest))
+    both = both.withColumn(total, F.coalesce(F.when(whole.isNotNull(), F.size(parts)), F.lit(0)).cast("long"))
+    both = both.withColumn(went, F.coalesce(F.when(F.col(at).isNotNull(), F.size(at)), F.lit(0)).cast("long"))
+    return both.drop(mark, doc, at, parts), kept, total, went
+
+
+def line_report(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed and the text that is left, of every document."""
-    out = with_kept_text(docs.select("doc_id", "text"), least)
-    return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_lines").cast("long").alias("n_lines"), F.col("_gone").cast("long").alias("n_removed"), F.col("_kept").alias("text"))
+    out, kept, total, went = with_kept_text(docs.select("doc_id", "text"))
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(total).alias("n_lines"), F.col(went).alias("n_removed"), F.col(kept).alias("text"))
 
 
-def without_repeats(docs: DataFrame, least: int = 1) -> DataFrame:
+def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines taken out of text; documents of whose words nothing is left go."""
-    out = with_kept_text(docs, least)
-    left = out.where("_gone = 0 or _kept rlike '[^ \\t-\\r]'")
-    return left.select(*(F.col("_kept").alias("text") if c == "text" else F.when(F.col("_gone") > 0, F.length("_kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))
+    out, kept, _, went = with_kept_text(docs)
+    left = out.where((F.col(went) == 0) | F.col(kept).rlike(r"[^ \t-\r]"))
+    changed = {"text": F.col(kept)}
+    if "n_chars" in docs.columns:
+        length = F.when(F.col(went) > 0, F.length(kept)).otherwise(F.col("n_chars"))
+        changed["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    return left.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))

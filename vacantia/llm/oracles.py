@@ -4,7 +4,7 @@ OP7 = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, pos, ls[pos + 1] AS line FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS pos FROM d)),
 t AS (SELECT doc_id, pos, list_sort(list_distinct(list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(11) || chr(12), '    '), ' '), lambda x: x <> ''))) AS ts FROM l),
-s AS (SELECT ts, len(ts) AS n, min(doc_id * 1000000 + pos) AS f FROM t WHERE len(ts) >= 5 GROUP BY ts),
+s AS (SELECT ts, len(ts) AS n, min(doc_id * 1000000 + pos) AS f FROM t WHERE len(ts) >= 1 GROUP BY ts),
 w AS (SELECT f, n, unnest(ts) AS w FROM s),
 p AS (SELECT f, n, w FROM (SELECT f, n, w, row_number() OVER (PARTITION BY f ORDER BY k, w) AS r FROM w JOIN (SELECT w, count(*) AS k FROM w GROUP BY w) USING (w)) WHERE r <= n - ceil(n * 90 / 100.0) + 1),
 c AS (SELECT DISTINCT a.f AS fa, b.f AS fb FROM p a JOIN p b ON a.w = b.w AND a.f < b.f AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)),
