@@ -5,33 +5,41 @@ on, never across the element that bounds them), end tags close up to their own e
 void elements hold nothing, and the contents of script, style and their like are raw.
 
 Visibility: head, script, style, template, noscript and other elements without a box, ``hidden``, ``type=hidden`` inputs
-and inline ``display:none`` hide a subtree; ``visibility:hidden`` hides text until a descendant says visible.
+and ``display:none`` hide a subtree; ``visibility:hidden`` hides text until a descendant says visible. Both count in inline
+styles and, below these, in style sheets of the page whose selectors are an element, a class, an id or several of them on
+one element; rules within @media and the like are left aside. Of a select the chosen options show, else its first.
 
 Rendering: white space collapses but for pre and textarea; blocks start a line, those with margins leave a blank line;
 list items get a bullet or their number, two more columns for each nested list; tables become rows whose cells stand in
-columns of equal width, with colspan and nested blocks kept.
+columns of equal width, with colspan, rowspan and nested blocks kept.
 
-Null or empty html renders as empty text. Broken markup never raises. Repeated rows give repeated results; only the id
-and html columns are read. The walk is iterative: depth of nesting is bounded by memory, not by a recursion limit.
+Null or empty html renders as empty text; an empty table of pages gives an empty one. Broken markup never raises: a tag
+that never ends makes what is left of the page text. Repeated rows give repeated results; only the id and html columns
+are read, so that others can't clash. The scan and the walk are iterative and linear: neither depth of nesting nor length
+is bounded by more than memory.
 """
 
 from __future__ import annotations
 
+import collections
 import html as entities
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
+TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+#: What a tag holds up to its end; possessive, so that it is read once. A quote without a partner is a character.
+TAG_REST = re.compile(r"((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-BOXLESS = frozenset("head title script style template noscript iframe object audio video canvas svg math datalist select noembed noframes param source track area base link meta col colgroup".split())
+BOXLESS = frozenset("head title script style template noscript iframe object audio video canvas svg math datalist noembed noframes param source track area base link meta col colgroup".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl menu dir table pre blockquote figure fieldset hr xmp".split())
-BLOCK = SPACED | frozenset("html body address article aside caption center dd details dialog div dt fieldset figcaption footer form header hgroup legend li main nav search section summary tbody td tfoot th thead tr option optgroup".split())
-CLOSES_P = (BLOCK - frozenset("html body td th tr tbody thead tfoot caption option optgroup legend".split())) | {"hr"}
+BLOCK = SPACED | frozenset("html body address article aside caption center dd details dialog div dt fieldset figcaption footer form header hgroup legend li main nav search section summary tbody td tfoot th thead tr".split())
+CLOSES_P = (BLOCK - frozenset("html body td th tr tbody thead tfoot caption legend".split())) | {"hr"}
 TABLE_BOUND, CELL_BOUND = frozenset(("table", "html")), frozenset(("table", "html", "template"))
 #: start tag: (open elements that it closes, elements that stop the search)
 IMPLIED = {
@@ -66,75 +74,171 @@ class Node:
         return out
 
 
+class _Open:
+    """The open elements, with the places of each tag among them, so that no search walks the stack."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = collections.defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def pop(self) -> None:
+        self.places[self.nodes.pop().tag].pop()
+
+    def nearest(self, tags: Iterable[str]) -> int:
+        """The place of the innermost element with one of the tags; 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def close(self, tags: Iterable[str], bound: Iterable[str]) -> None:
+        """Close up to the innermost element with one of the tags, unless one that bounds the search is further in."""
+        at = self.nearest(tags)
+        if at and at >= self.nearest(bound):
+            while len(self.nodes) > at:
+                self.pop()
+
+
+def _raw_end(source: str, tag: str, at: int) -> tuple[int, int]:
+    """Where the contents of a raw element end and where the page goes on."""
+    found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(source, at)
+    if not found:
+        return len(source), len(source)
+    end = source.find(">", found.end())
+    return found.start(), end + 1 if end >= 0 else len(source)
+
+
 def build_tree(source: str) -> Node:
     root = Node("#root")
-    opened = [root]
-
-    def close(tags: frozenset | set, bound: frozenset | set) -> None:
-        for i in range(len(opened) - 1, 0, -1):
-            if opened[i].tag in tags:
-                del opened[i:]
-                return
-            if opened[i].tag in bound:
-                return
+    opened = _Open(root)
 
     def text(s: str) -> None:
         if s:
-            if opened[-1].tag in ("table", "tbody", "thead", "tfoot", "tr") and not s.strip():
+            top = opened.nodes[-1]
+            if top.tag in ("table", "tbody", "thead", "tfoot", "tr") and not s.strip():
                 return
-            opened[-1].children.append(s)
+            top.children.append(entities.unescape(s))
 
     def start(tag: str, attrs: str) -> None:
-        if opened[-1].tag == "head" and tag not in ("title", "meta", "link", "base", "style", "script", "noscript", "template"):
+        if opened.nodes[-1].tag == "head" and tag not in ("title", "meta", "link", "base", "style", "script", "noscript", "template"):
             opened.pop()
         if tag in CLOSES_P:
-            close({"p"}, SCOPE)
+            opened.close(("p",), SCOPE)
         if tag in IMPLIED:
-            close(*IMPLIED[tag])
-        if tag == "tr" and opened[-1].tag == "table":
+            opened.close(*IMPLIED[tag])
+        if tag == "tr" and opened.nodes[-1].tag == "table":
             start("tbody", "")
-        elif tag in ("td", "th") and opened[-1].tag in ("table", "tbody", "thead", "tfoot"):
+        elif tag in ("td", "th") and opened.nodes[-1].tag in ("table", "tbody", "thead", "tfoot"):
             start("tr", "")
-        if tag in ("html", "body") and any(x.tag == tag for x in opened):
+        if tag in ("html", "body") and opened.nearest((tag,)):
             return
         node = Node(tag, attrs)
-        opened[-1].children.append(node)
+        opened.nodes[-1].children.append(node)
         if tag not in VOID:
-            opened.append(node)
+            opened.push(node)
+
+    def finish(tag: str) -> None:
+        if tag == "br":
+            start("br", "")
+        elif tag == "p" and not opened.nearest(("p",)):
+            start("p", "")
+            opened.pop()
+        elif tag not in ("html", "body"):
+            within_table = tag in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption", "table")
+            opened.close((tag,), (TABLE_BOUND if within_table else SCOPE) - {tag})
 
     at, end = 0, len(source)
-    while at < end:
-        m = TOKEN.search(source, at)
-        if m is None:
-            text(entities.unescape(source[at:]))
-            break
-        text(entities.unescape(source[at : m.start()]))
-        at = m.end()
-        if not m[2]:
+    begin = 0  # of the text that is not yet in the tree
+    while (at := source.find("<", at)) >= 0:
+        named = TAG_NAME.match(source, at)
+        if named:
+            rest = TAG_REST.match(source, named.end())
+            if rest is None:
+                break
+            after = rest.end()
+        elif source.startswith("<!--", at):
+            after = found + 3 if (found := source.find("-->", at + 4)) >= 0 else end
+        elif source.startswith(("<!", "<?", "</"), at):
+            after = found + 1 if (found := source.find(">", at)) >= 0 else end
+        else:
+            at += 1
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "br":
-                start("br", "")
-            elif tag == "p" and not any(x.tag == "p" for x in opened):
-                start("p", "")
-                opened.pop()
-            elif tag in ("html", "body"):
-                pass
-            else:
-                close({tag}, TABLE_BOUND - {tag} if tag in ("tr", "td", "th", "tbody", "thead", "tfoot", "caption", "table") else SCOPE - {tag})
+        text(source[begin:at])
+        at = begin = after
+        if not named:
             continue
-        start(tag, m[3])
-        if tag in RAW and opened[-1].tag == tag:
-            found = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-            body = source[at : found.start() if found else end]
-            if body:
-                opened[-1].children.append(entities.unescape(body) if tag in ("textarea", "title") else body)
+        tag = named[1].lower()
+        if source[named.start() + 1] == "/":
+            finish(tag)
+            continue
+        start(tag, rest[1])
+        if tag in RAW and opened.nodes[-1].tag == tag:
+            stop, begin = _raw_end(source, tag, at)
+            if stop > at:
+                body = source[at:stop]
+                opened.nodes[-1].children.append(entities.unescape(body) if tag in ("textarea", "title") else body)
             opened.pop()
-            at = found.end() if found else end
+            at = begin
+    text(source[begin:])
     return root
 
 
+class Styles:
+    """What the style sheets of a page say of boxes and visibility, for selectors of one element each."""
+
+    RULE = re.compile(r"([a-z][\w-]*|\*)?((?:[.#][\w-]+)*)")
+
+    def __init__(self) -> None:
+        #: element, id or class -> rules that name it: (element or None, classes, ids, whether there is a box, visible)
+        self.rules: dict[str, list[tuple]] = collections.defaultdict(list)
+
+    def read(self, sheet: str) -> None:
+        sheet = re.sub(r"/\*.*?(?:\*/|\Z)", " ", sheet.lower(), flags=re.S)
+        depth, begin, selectors = 0, 0, ""
+        for m in re.finditer(r"[{}]", sheet):
+            if m[0] == "{":
+                if depth == 0:
+                    selectors, begin = sheet[begin : m.start()].strip(), m.end()
+                depth += 1
+            elif depth:
+                depth -= 1
+                if depth == 0:
+                    if not selectors.startswith("@"):
+                        self.add(selectors, sheet[begin : m.start()])
+                    begin = m.end()
+
+    def add(self, selectors: str, declarations: str) -> None:
+        gone, says = declared(declarations)
+        if not gone and says is None:
+            return
+        for selector in selectors.split(","):
+            m = self.RULE.fullmatch(selector.strip())
+            if m and m[0]:
+                parts = re.findall(r"[.#][\w-]+", m[2])
+                tag = None if m[1] in (None, "*") else m[1]
+                self.rules[parts[0] if parts else tag or "*"].append((tag, frozenset(parts), gone, says))
+
+    def of(self, tag: str, attrs: dict[str, str]) -> tuple[bool, bool | None]:
+        if not self.rules:
+            return False, None
+        own = {f".{x}" for x in attrs.get("class", "").lower().split()} | ({f"#{attrs['id'].lower()}"} if attrs.get("id") else set())
+        gone, says = False, None
+        for name in ("*", tag, *own):
+            for element, parts, no_box, visible in self.rules.get(name, ()):
+                if (element is None or element == tag) and parts <= own:
+                    gone |= no_box
+                    says = visible if visible is not None else says
+        return gone, says
+
+
+def declared(style: str) -> tuple[bool, bool | None]:
+    """Whether declarations take away the box, and what they say of visibility."""
+    style = re.sub(r"\s+", "", style.lower())
+    seen = re.findall(r"(?:^|;)visibility:(\w+)", style)
+    return bool(re.search(r"(?:^|;)display:none(?:;|!|$)", style)), None if not seen else seen[-1] == "visible"
+
+
 class Page:
     """Lines of one flow: the page itself or a table cell."""
 
@@ -143,7 +247,7 @@ class Page:
         self.parts: list[str] = []
         self.blank = False
         self.margin = False
-        self.indent = ""
+        self.indent = 0
         self.marker = ""
 
     def inline(self, s: str) -> None:
@@ -163,7 +267,7 @@ class Page:
         if self.margin and self.lines and self.lines[-1]:
             self.lines.append("")
         self.margin = False
-        self.lines.append(f"{self.indent[: len(self.indent) - len(self.marker)]}{self.marker}{line}" if self.marker else f"{self.indent}{line}")
+        self.lines.append(" " * (self.indent - len(self.marker)) + self.marker + line)
         self.marker = ""
 
     def block(self, spaced: bool) -> None:
@@ -186,55 +290,93 @@ class Page:
         return self.lines
 
 
-def hidden(node: Node) -> tuple[bool, bool | None]:
+def hidden(node: Node, styles: Styles) -> tuple[bool, bool | None]:
     """Whether the subtree has no box, and what it says of the visibility of text (None: nothing)."""
     if node.tag in BOXLESS:
         return True, None
-    if not node.attrs:
+    if not node.attrs and not styles.rules:
         return False, None
     low = node.attrs.lower()
-    if "hidden" not in low and "style" not in low:
+    if "hidden" not in low and "style" not in low and not styles.rules:
         return False, None
     attrs = node.attributes()
-    style = re.sub(r"\s+", "", attrs.get("style", "").lower())
-    if "hidden" in attrs or attrs.get("type", "").lower() == "hidden" or re.search(r"(?:^|;)display:none(?:;|!|$)", style):
-        return True, None
-    seen = re.findall(r"(?:^|;)visibility:(\w+)", style)
-    return False, None if not seen else seen[-1] == "visible"
-
-
-def lay_out(rows: list[list[tuple[int, list[str]]]]) -> list[str]:
-    """Rows of (colspan, lines) cells as lines whose columns have equal widths."""
-    width: list[int] = []
-    for row in rows:
-        at = 0
-        for span, lines in row:
-            width += [0] * (at + span - len(width))
-            if span == 1:
-                width[at] = max([width[at], *map(len, lines)])
-            at += span
-    for row in rows:
-        at = 0
-        for span, lines in row:
-            have = sum(width[at : at + span]) + 3 * (span - 1)
-            if span > 1 and (need := max([0, *map(len, lines)])) > have:
-                width[at + span - 1] += need - have
-            at += span
+    gone, says = styles.of(node.tag, attrs)
+    own_gone, own_says = declared(attrs.get("style", ""))
+    if re.search(r"(?:^|;)\s*display\s*:", attrs.get("style", "").lower()):
+        gone = own_gone
+    gone |= "hidden" in attrs or attrs.get("type", "").lower() == "hidden"
+    return gone, says if own_says is None else own_says
+
+
+def chosen(select: Node) -> list[Node]:
+    """The options of a select that show: those that are selected, else the first."""
+    options, todo = [], list(reversed(select.children))
+    while todo:
+        node = todo.pop()
+        if isinstance(node, Node):
+            if node.tag == "option":
+                options.append(node)
+            else:
+                todo += reversed(node.children)
+    return [x for x in options if "selected" in x.attrs.lower() and "selected" in x.attributes()] or options[:1]
+
+
+def placed(rows: list[list[tuple[int, int, list[str]]]]) -> list[list[tuple[int, int, list[str]]]]:
+    """Rows of (colspan, rowspan, lines) as rows of (first column, column behind, lines), columns without an edge left out."""
+    out, busy = [], []  # busy: (first column, column behind, row behind) of cells from rows above
+    for r, row in enumerate(rows):
+        busy = sorted(x for x in busy if x[2] > r)
+        cells, at, i, below = [], 0, 0, []
+        for columns, deep, lines in row:
+            while i < len(busy) and busy[i][0] <= at:
+                at = max(at, busy[i][1])
+                i += 1
+            cells.append((at, at + columns, lines))
+            if deep != 1:
+                below.append((at, at + columns, r + deep if deep else len(rows)))
+            at += columns
+        busy += below
+        out.append(cells)
+    edges = {x: k for k, x in enumerate(sorted({edge for row in out for a, b, _ in row for edge in (a, b)}))}
+    return [[(edges[a], edges[b], lines) for a, b, lines in row] for row in out]
+
+
+def lay_out(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Rows of (colspan, rowspan, lines) cells as lines whose columns have equal widths."""
+    grid = placed(rows)
+    width = [0] * max([0, *(b for row in grid for _, b, _ in row)])
+    have = lambda a, b: sum(width[a:b]) + 3 * (b - a - 1)
+    for row in grid:
+        for a, b, lines in row:
+            if b - a == 1:
+                width[a] = max([width[a], *map(len, lines)])
+    for row in grid:
+        for a, b, lines in row:
+            if b - a > 1:
+                width[b - 1] += max(0, max([0, *map(len, lines)]) - have(a, b))
+    left = [0, *itertools.accumulate(w + 3 for w in width)]  # where each column begins
     out = []
-    for row in rows:
-        for i in range(max([1, *(len(lines) for _, lines in row)])):
-            at, cells = 0, []
-            for span, lines in row:
-                have = sum(width[at : at + span]) + 3 * (span - 1)
-                cells.append((lines[i] if i < len(lines) else "").ljust(have))
-                at += span
-            out.append(" | ".join(cells).rstrip(" |") if any(c.strip() for c in cells) else "")
-    return [x for x in out if x]
+    for row in grid:
+        for i in range(max([1, *(len(lines) for *_, lines in row)])):
+            shown = [(a, lines[i]) for a, _, lines in row if i < len(lines) and lines[i].strip()]
+            if not shown:
+                continue
+            edges = sorted({a for a, *_ in row if 0 < a <= shown[-1][0]} | {shown[-1][0]} - {0})
+            line, texts = [], dict(shown)
+            at = 0
+            for a in [0, *edges]:
+                if a:
+                    line.append(" " * (left[a] - 3 - at) + " | ")
+                    at = left[a]
+                line.append(texts.get(a, ""))
+                at += len(texts.get(a, ""))
+            out.append("".join(line).rstrip(" "))
+    return out
 
 
 def render(source: str | None) -> str:
     root = build_tree(source or "")
-    page = Page()
+    page, styles = Page(), Styles()
     pages, tables, lists = [page], [], []
     todo: list[tuple] = [("in", root, True, False)]
     while todo:
@@ -246,7 +388,11 @@ def render(source: str | None) -> str:
             continue
         tag = node.tag
         if step == "in":
-            gone, says = hidden(node) if tag != "#root" else (False, None)
+            if tag == "style":
+                styles.read("".join(x for x in node.children if isinstance(x, str)))
+            if tag == "head":
+                todo += [("in", x, False, False) for x in reversed(node.children) if isinstance(x, Node) and x.tag == "style"]
+            gone, says = hidden(node, styles) if tag != "#root" else (False, None)
             if gone:
                 continue
             shown = shown if says is None else says
@@ -274,7 +420,7 @@ def render(source: str | None) -> str:
                 if lists and lists[-1] is not None:
                     marker = f"{lists[-1]}. "
                     lists[-1] += 1
-                page.indent += " " * len(marker)
+                page.indent += len(marker)
                 page.marker = marker
                 todo.append(("unindent", node, len(marker), False))
             elif tag in BLOCK:
@@ -285,19 +431,20 @@ def render(source: str | None) -> str:
                     begin = node.attributes().get("start", "1") if node.attrs else "1"
                     lists.append(int(begin) if re.fullmatch(r"-?\d{1,9}", begin) else 1)
                 elif tag in ("blockquote", "dd"):
-                    page.indent += "  "
+                    page.indent += 2
             todo.append(("out", node, shown, pre))
             inner = pre or tag in ("pre", "textarea", "xmp")
-            todo += [("in", x, shown, inner) for x in reversed(node.children)]
+            todo += [("in", x, shown, inner) for x in reversed(chosen(node) if tag == "select" else node.children)]
         elif step == "unindent":
             page.end_line()
-            page.indent, page.marker = page.indent[: len(page.indent) - shown], ""
+            page.indent, page.marker = page.indent - shown, ""
         elif tag in ("td", "th") and tables:
             lines = pages.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
-            span = node.attributes().get("colspan", "1") if node.attrs else "1"
-            tables[-1][-1].append((min(1000, max(1, int(span))) if re.fullmatch(r"\d{1,4}", span) else 1, lines))
+            attrs = node.attributes() if node.attrs else {}
+            number = lambda name, least, most: min(most, max(least, int(x))) if re.fullmatch(r"\d{1,9}", x := attrs.get(name, "1").strip()) else 1
+            tables[-1][-1].append((number("colspan", 1, 1000), number("rowspan", 0, 65534), lines))
         elif tag == "table":
             page.block(True)
             for line in lay_out(tables.pop()):
@@ -308,7 +455,7 @@ def render(source: str | None) -> str:
             if tag in ("ul", "ol", "menu", "dir"):
                 lists.pop()
             elif tag in ("blockquote", "dd"):
-                page.indent = page.indent[:-2]
+                page.indent -= 2
         elif tag == "li":
             page.end_line()
     return "\n".join(pages[0].done())
