@@ -3,8 +3,9 @@
 Fuzzy search. A notice that occurs with at most k edits holds at least one of any k + 1 disjoint pieces of it unchanged
 (pigeonhole). All pieces of all notices stand in one Aho-Corasick automaton; each hit marks the stretch of text in which
 the notice would have to lie, stretches of a notice that touch are merged, and the regex library's bounded-error
-matching ({e<=k}, best match) verifies them and gives spans and edits. Matching runs on words joined by one space, so
-that line breaks and punctuation within a notice cost no edits; spans are in words.
+matching ({e<=k}, best match) verifies them and gives spans and edits. Matching runs on words joined by one space, and
+one more behind the last, so that line breaks and punctuation within a notice cost no edits, and every match ends before
+a space: the pattern asks for that space, and so never takes the end of a stretch for the end of a word. Spans are in words.
 
 Null and empty texts: no words, no labels, score 0. Texts are searched whole. Repeated rows give repeated results; other
 columns of the input are not read, so their names can't clash.
@@ -74,24 +75,25 @@ def _searcher():
     for piece, owners in seeds.items():
         machine.add_word(piece, (len(piece), owners))
     machine.make_automaton()
-    return machine, [regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(n, literal_spaces=True)}){{e<={edits_of(n)}}}(?![^ ])") for _, n in NOTICES]
+    return machine, [regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(n, literal_spaces=True)}){{e<={edits_of(n)}}}(?= )") for _, n in NOTICES]
 
 
 def _inexact(pattern, joined: str, i: int, a: int, b: int) -> list[tuple[int, int, int, int]]:
     if b - a < len(NOTICES[i][1]) - edits_of(NOTICES[i][1]):
         return []
-    return [(i, m.start(), m.end(), sum(m.fuzzy_counts)) for m in pattern.finditer(joined, pos=a, endpos=b)]
+    return [(i, m.start(), m.end(), sum(m.fuzzy_counts)) for m in pattern.finditer(joined, pos=a, endpos=b + 1)]  # with what stands behind
 
 
 def fuzzy_spans(joined: str) -> list[tuple[int, int, int, int]]:
     """(notice, start, end, edits) in characters of the joined words."""
     machine, patterns = _searcher()
+    joined += " "
     marked: dict[int, list[tuple[int, int]]] = {}
     for end, (size, owners) in machine.iter(joined):
         for i, at in owners:
             start = end + 1 - size - at
             k = edits_of(NOTICES[i][1])
-            a, b = max(0, start - k), min(len(joined), start + len(NOTICES[i][1]) + k)
+            a, b = max(0, start - k), min(len(joined) - 1, start + len(NOTICES[i][1]) + k)
             held = marked.setdefault(i, [])
             if held and a <= held[-1][1]:
                 held[-1] = (min(a, held[-1][0]), max(b, held[-1][1]))
@@ -104,8 +106,8 @@ def fuzzy_spans(joined: str) -> list[tuple[int, int, int, int]]:
             gap = at = a
             while (exact := joined.find(notice, at, b)) >= 0:  # the commonest case needs no alignment
                 at = exact + len(notice)
-                if (exact == 0 or joined[exact - 1] == " ") and joined[at : at + 1] in ("", " "):
-                    out += _inexact(patterns[i], joined, i, gap, exact)
+                if (exact == 0 or joined[exact - 1] == " ") and joined[at] == " ":
+                    out += _inexact(patterns[i], joined, i, gap, exact - 1)
                     out.append((i, exact, at, 0))
                     gap = at
             out += _inexact(patterns[i], joined, i, gap, b)
