@@ -10,8 +10,9 @@ consecutively, if it has SHORT words or more; still shorter items match nothing.
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
 
 The benchmark is sent to the executors in blocks of at most BLOCK_CHARS characters, each with a pass of its own over the
-documents: what is sent at once has a fixed bound, however large the benchmark. Null or empty texts overlap nothing, an
-empty benchmark marks nothing. Null items are skipped; repeated rows give repeated results.
+documents: what is sent at once has a fixed bound, however large the benchmark; the driver's plan holds all blocks. Null
+or empty texts overlap nothing, an empty benchmark marks nothing, an empty table stays empty. Null items are skipped;
+repeated rows give repeated results; very long texts are read whole; names of other columns can't clash.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from . import words as W
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
 SPAN, WINDOW, AGREE, SHORT = 9, 20, 0.8, 5
 BLOCK_CHARS = 16_000_000
+#: Hits that are looked at together, of texts and items that repeat their words.
+HITS_AT_ONCE = 1 << 20
 _TABLE_BITS = 20
 OVERLAP = "array<struct<item_id:long, doc_word:long, item_word:long, n_words:long, n_equal:long>>"
 
@@ -44,6 +47,16 @@ def seeds(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     return W.mix(out)
 
 
+def _slices(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of places whose hits, counted up to each place by ``ends``, are HITS_AT_ONCE or one place's own."""
+    a = 0
+    while a < len(ends):
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + HITS_AT_ONCE, "right")))
+        yield a, b
+        a = b
+
+
 class Build:
     """The build side of one block of items: sorted seed hashes with their item and place, and a bit table before them."""
 
@@ -72,18 +85,24 @@ class Build:
         self.table = np.zeros(1 << _TABLE_BITS, bool)
         self.table[(self.keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
 
-    def hits(self, words: np.ndarray) -> set[tuple[int, int]]:
-        """(item, diagonal) of all seed hits; the diagonal is the document place of the item's first word."""
-        out: set[tuple[int, int]] = set()
+    def hits(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(item, diagonal) of all seed hits, each once; the diagonal is the document place of the item's first word."""
+        longest = max(map(len, self.words), default=0)
+        width = len(words) + longest + 1  # of the range of diagonals
+        out = np.zeros(0, np.int64)
         for salt, mask in enumerate(MASKS):
             h = seeds(words, mask, salt)
             at = np.flatnonzero(self.table[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-            if not len(at):
-                continue
             left, right = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
-            for i in np.flatnonzero(right > left):
-                out.update((int(self.owner[x]), int(at[i] - self.place[x])) for x in range(left[i], right[i]))
-        return out
+            found = np.flatnonzero(right > left)
+            at, left, many = at[found], left[found], (right - left)[found]
+            ends = np.cumsum(many)
+            for a, b in _slices(ends):
+                first = np.repeat(left[a:b] - (ends[a:b] - many[a:b]), many[a:b])
+                x = first + np.arange(ends[a] - many[a], ends[b - 1])
+                diagonal = np.repeat(at[a:b], many[a:b]) - self.place[x]
+                out = np.union1d(out, self.owner[x] * width + diagonal + longest)
+        return list(zip((out // width).tolist(), (out % width - longest).tolist()))
 
     def overlaps(self, words: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """Verified (item id, document word, item word, words, equal words): the best window of each item."""
@@ -125,7 +144,7 @@ def _probe(sent: bytes, column: int) -> Callable:
 
 
 def blocks_of(bench: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Items, block by block, so that the driver holds one block (or one item, if that is larger) at a time."""
+    """Items, in blocks of BLOCK_CHARS (or of one item, if that is larger)."""
     held: list[tuple[int, str]] = []
     size = 0
     for row in bench.selectExpr("cast(item_id as long) item_id", "cast(text as string) text").toLocalIterator():
