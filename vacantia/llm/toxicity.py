@@ -283,7 +283,9 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, POSITIVES), (0, NEGATIVES))]
     picked = some[0].unionAll(some[1])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") <= SAMPLE_CHARS)
+    start = F.expr(f"1 + pmod(xxhash64(doc_id), greatest(1, length(text) - {SAMPLE_CHARS} + 1))")  # of a longer text a stretch counts, anywhere in it
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = texts.withColumn("text", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)))
     one = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # at most POSITIVES + NEGATIVES rows are sent
     return [(W.lowered(r.text), r.toxic) for r in sorted(one.collect(), key=lambda r: r.doc_id)]
 
