@@ -15,17 +15,20 @@ a conversation's calls. Arguments are validated against SCHEMAS: unknown names,
 and lengths out of bounds are errors. Canonical JSON has sorted keys at every depth, no spaces, and no absent members.
 
 Rows without conv_id or turn, or of unknown roles, make nothing. A null or empty text is an empty plain text. Equal rows
-count once. Of several results for an identifier the first (turn, content) counts; calls that share one are all kept,
-with an error. A result without a call gives a row of status orphan. Nothing is gathered by conversation, so its size
-does not matter. Extra columns are not read. An empty table gives an empty one.
+count once. Of several results for an identifier the first (turn, content) counts, the others give rows of status surplus
+with an error; calls that share one are all kept, with an error. A result without a call gives a row of status orphan, and
+so does a tool message without an identifier (or that is not JSON), with an error. Nothing is gathered by conversation, so
+its size does not matter. Very long texts are read whole. Extra columns are not read. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import through_table
+from .tables import discard, through_table
 
 #: name: {member: (type, required, least length or value, largest)}
 SCHEMAS = {
@@ -79,55 +82,76 @@ def errors_of(name: str, arguments: str) -> Column:
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of the calls with an identifier; calls on or behind a cycle are left out."""
-    nodes = calls.where("call_id is not null").select("conv_id", "call_id").distinct()
+    """(conv_id, call_id, level) of the calls with an identifier; calls on or behind a cycle are left out.
+
+    A call that needs one other is a link of a chain; chains are passed over at once, by doubling. What is left are the
+    calls that need several: they are levelled one after the other, each round those of whom all needs have a level.
+    """
+    key = ["conv_id", "call_id"]
+    nodes = calls.where("call_id is not null").select(*key).distinct()
     refs = F.regexp_extract_all("arguments", F.lit(r'"\$ref"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    wanted = calls.where("call_id is not null").select("conv_id", "call_id", F.explode(F.concat(F.coalesce(refs, F.array().cast("array<string>")), F.array_compact(F.array("after")))).alias("needs")).distinct()
+    needs = F.concat(F.coalesce(refs, F.array().cast("array<string>")), F.array_compact(F.array("after")))
+    wanted = calls.where("call_id is not null").select(*key, F.explode(needs).alias("needs")).distinct()
     edges = through_table(wanted.join(nodes.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi"), "call-edges")
-    free = nodes.join(edges.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    several = through_table(edges.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("conv_id").distinct(), "call-several")
-    chained, mixed = (edges.join(several, "conv_id", how) for how in ("left_anti", "left_semi"))
-    return free.unionByName(_chain_levels(chained)).unionByName(_peeled_levels(mixed, free))
-
-
-def _chain_levels(edges: DataFrame) -> DataFrame:
-    """Levels where each call needs one other at most: each round doubles how far back a call looks, so that a chain of
-    thousands takes a dozen rounds. What has not come to an end after enough rounds for all of them lies on a cycle or
-    behind one."""
-    state = through_table(edges.select("conv_id", "call_id", "needs", F.lit(1).alias("level")), "call-chains")
-    most = state.count().bit_length() + 1
-    for _ in range(most):
-        back = state.select("conv_id", F.col("call_id").alias("needs"), F.col("needs").alias("further"), F.col("level").alias("more"))
-        ended = state.where("needs is null")
-        moved = state.where("needs is not null").join(back, ["conv_id", "needs"], "left").select("conv_id", "call_id", F.col("further").alias("needs"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"))
-        if state.where("needs is not null").isEmpty():
+    free = nodes.join(edges.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0))
+    counted = edges.join(edges.groupBy(*key).agg(F.count(F.lit(1)).alias("k")), key)
+    chains = _chains(counted.where("k = 1").select(*key, F.col("needs").alias("anchor"), F.lit(1).alias("steps")))
+    passed = chains.withColumnRenamed("call_id", "needs")
+    several = counted.where("k > 1").join(passed, ["conv_id", "needs"], "left")
+    several = several.select(*key, F.coalesce("anchor", "needs").alias("anchor"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
+    fixed = free.unionByName(_peeled(several, free))
+    behind = chains.join(fixed.withColumnRenamed("call_id", "anchor"), ["conv_id", "anchor"])
+    return fixed.unionByName(behind.select(*key, (F.col("level") + F.col("steps")).alias("level")))
+
+
+def _chains(links: DataFrame) -> DataFrame:
+    """For each call that needs one other: the first call on its way (anchor) that does not, and the steps to it.
+
+    Each round doubles how far back a call looks. Calls that have not come to an anchor after enough rounds for the
+    longest chain lie on a cycle or behind one and are left out.
+    """
+    state = through_table(links, "call-chains")
+    for _ in range(state.count().bit_length() + 1):
+        back = state.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("further"), F.col("steps").alias("more"))
+        moved = state.join(back, ["conv_id", "anchor"], "left")
+        moved = moved.select("conv_id", "call_id", F.coalesce("further", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moving"))
+        last, state = state, through_table(moved, "call-chains")
+        discard(last)
+        if state.where("moving").isEmpty():
             break
-        state = through_table(ended.unionByName(moved), "call-chains")
-    return state.where("needs is null").select("conv_id", "call_id", "level")
-
-
-def _peeled_levels(edges: DataFrame, ready: DataFrame) -> DataFrame:
-    """Levels of conversations in which a call needs several others, one level a round."""
-    edges, level = through_table(edges, "call-edges"), 0
-    done = edges.select("conv_id", "call_id").limit(0).withColumn("level", F.lit(0))
-    while not edges.isEmpty() and not ready.isEmpty():
-        level += 1
-        left = through_table(edges.join(ready.select("conv_id", F.col("call_id").alias("needs")), ["conv_id", "needs"], "left_anti"), "call-edges")
-        ready = through_table(edges.select("conv_id", "call_id").distinct().join(left.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)), "call-levels")
-        done, edges = done.unionByName(ready), left
-    return done
+    return state.where("not moving").select("conv_id", "call_id", "anchor", "steps")
+
+
+def _peeled(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """Levels of calls that need several others, some steps away, from the levels that are known."""
+    key = ["conv_id", "call_id"]
+    edges = through_table(edges.withColumn("level", F.lit(None).cast("int")), "call-edges")
+    found = [edges.select(*key, "level").limit(0)]
+    while not edges.isEmpty():
+        of = known.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("base"))
+        filled = edges.join(of, ["conv_id", "anchor"], "left").withColumn("level", F.coalesce("level", F.col("base") + F.col("steps"))).drop("base")
+        filled = through_table(filled, "call-edges")
+        judged = filled.groupBy(*key).agg(F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open"))
+        known = through_table(judged.where("open = 0").select(*key, "level"), "call-levels")
+        if known.isEmpty():
+            break
+        found.append(known)
+        discard(edges)
+        edges = through_table(filled.join(known.select(*key), key, "left_anti"), "call-edges")
+        discard(filled)
+    return reduce(DataFrame.unionByName, found)
 
 
 def link(messages: DataFrame) -> DataFrame:
-    """A row for each call, and for each result that has none: identifiers, status, level, errors and canonical JSON."""
+    """A row for each call, and for each result that no call takes: identifiers, status, level, errors, canonical JSON."""
+    key = ["conv_id", "call_id"]
     calls, results = parse(messages)
     calls, results = through_table(calls, "calls"), through_table(results, "results")
-    first = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(F.min(F.struct(F.col("turn").alias("result_turn"), F.col("content").alias("result"))).alias("r")).select("conv_id", "call_id", "r.*")
+    first = results.where("call_id is not null").groupBy(*key).agg(F.min(F.struct(F.col("turn").alias("result_turn"), F.col("content").alias("result"))).alias("r")).select(*key, "r.*")
     named = calls.where("call_id is not null")
-    often = named.groupBy("conv_id", "call_id").agg(F.count(F.lit(1)).alias("times"))
-    known = named.join(often, ["conv_id", "call_id"]).join(levels(calls), ["conv_id", "call_id"], "left").join(first, ["conv_id", "call_id"], "left")
+    often = named.groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
+    known = named.join(often.hint("shuffle_hash"), key).join(levels(calls).hint("shuffle_hash"), key, "left").join(first.hint("shuffle_hash"), key, "left")
     blank = calls.where("call_id is null").select("*", F.lit(1).alias("times"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("result_turn"), F.lit(None).cast("string").alias("result"))
-    lost = first.join(named.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti")
     rows = known.unionByName(blank)
     status = F.when(F.col("call_id").isNull(), "unnamed").when(F.col("result_turn").isNull(), "unanswered").when(F.col("level").isNull(), "cyclic").otherwise("answered")
     wrong = F.concat(F.when(F.col("times") > 1, F.array(F.lit("call_id: repeated"))).otherwise(F.array().cast("array<string>")), errors_of("name", "arguments"))
@@ -135,6 +159,19 @@ def link(messages: DataFrame) -> DataFrame:
     rest = F.to_json(F.struct("call_id", "conv_id", "level", "name", "result", "result_turn", "status", "turn"))
     rows = rows.withColumn("json", F.concat(F.lit('{"arguments":'), "tidy", F.lit(","), F.substr(rest, F.lit(2))))
     out = ["conv_id", "turn", "place", "call_id", "name", "status", "level", "result_turn", "errors", "json"]
-    orphan = F.to_json(F.struct("call_id", "conv_id", "result", "result_turn", F.lit("orphan").alias("status")))
-    lost = lost.select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("int").alias("place"), "call_id", F.lit(None).cast("string").alias("name"), F.lit("orphan").alias("status"), F.lit(None).cast("int").alias("level"), "result_turn", F.lit("").alias("errors"), orphan.alias("json"))
-    return rows.select(*out).unionByName(lost)
+    return rows.select(*out).unionByName(_untaken(results, first, named).select(*out))
+
+
+def _untaken(results: DataFrame, first: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows for the results without a call, without an identifier, and behind the first for theirs."""
+    key = ["conv_id", "call_id"]
+    given = results.select("conv_id", "call_id", F.col("turn").alias("result_turn"), F.col("content").alias("result"))
+    lost = first.join(named.select(*key).distinct(), key, "left_anti").withColumn("status", F.lit("orphan"))
+    lost = lost.unionByName(given.where("call_id is null").withColumn("status", F.lit("orphan")))
+    again = given.where("call_id is not null").join(first.withColumnsRenamed({"result_turn": "first_turn", "result": "first_result"}), key)
+    again = again.where("result_turn != first_turn or not result <=> first_result").select(*given.columns).withColumn("status", F.lit("surplus"))
+    rows = lost.unionByName(again)
+    return rows.select(
+        "conv_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("int").alias("place"), "call_id", F.lit(None).cast("string").alias("name"), "status", F.lit(None).cast("int").alias("level"), "result_turn",
+        F.when(F.col("status") == "surplus", "call_id: answered before").when(F.col("call_id").isNull(), "call_id: missing").otherwise("").alias("errors"), F.to_json(F.struct("call_id", "conv_id", "result", "result_turn", "status")).alias("json"),
+    )
