@@ -2,6 +2,8 @@
 
 import collections
 import json
+import re
+import time
 import zlib
 
 import numpy as np
@@ -225,6 +227,44 @@ def test_spaced_seeds_pass_over_any_single_substitution():
         assert any((decontamination.seeds(w, m, s) == decontamination.seeds(v, m, s)).any() for s, m in enumerate(decontamination.MASKS))
 
 
+def test_overlaps_against_all_alignments(monkeypatch):
+    """Every alignment of an item along a text that holds an equal seed, without any index; hits in small slices too."""
+    r = np.random.Generator(np.random.PCG64(12))
+    for trial in range(60):
+        if trial == 30:
+            monkeypatch.setattr(decontamination, "HITS_AT_ONCE", 3)
+        size = (4, 30, 3000)[trial % 3]  # few words: they repeat
+        items = [(k, " ".join(some_words(100 * trial + k, int(n), size))) for k, n in enumerate(r.integers(0, 45, 4))]
+        text = some_words(9 * trial, int(r.integers(0, 120)), size)
+        for _, item in items[:2]:
+            v = [x if r.random() > 0.12 else "zz" for x in item.split()]
+            at = int(r.integers(0, len(text) + 1))
+            text[at:at] = v
+        words_of = lambda t: words.word_hashes([t.encode()], punctuation=True)[0]
+        doc = words_of(" ".join(text))
+        want = set()
+        for k, item in items:
+            w = words_of(item)
+            if decontamination.SHORT <= len(w) < decontamination.SPAN and any((doc[a : a + len(w)] == w).all() for a in range(len(doc) - len(w) + 1)):
+                want.add(k)
+            size_of = min(decontamination.WINDOW, len(w))
+            for at in range(-len(w), len(doc) + 1):
+                a, b = max(0, -at), min(len(w), len(doc) - at)
+                if len(w) < decontamination.SPAN or b - a < size_of:
+                    continue
+                equal = w[a:b] == doc[at + a : at + b]
+                seed = any(equal[[i + x for x in m]].all() for m in decontamination.MASKS for i in range(len(equal) - decontamination.SPAN + 1))
+                if seed and max(equal[i : i + size_of].sum() for i in range(len(equal) - size_of + 1)) >= decontamination.AGREE * size_of:
+                    want.add(k)
+        assert {x[0] for x in decontamination.Build(items).overlaps(doc)} == want
+
+
+def test_overlaps_of_repeated_words():
+    began = time.monotonic()
+    found = decontamination.Build([(1, "x " * 200)]).overlaps(words.word_hashes([b"x " * 32000], punctuation=True)[0])
+    assert found == [(1, 0, 180, 20, 20)] and time.monotonic() - began < 20
+
+
 PATH = __import__("public_tokenizers").path("byte_bpe_50k.json")
 
 
@@ -316,6 +356,24 @@ def test_licenses(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
 
+def test_licenses_against_a_search_without_seeds():
+    """The labels are those that the bounded-error patterns alone find anywhere in the text."""
+    r = np.random.Generator(np.random.PCG64(16))
+    patterns = licenses._searcher()[1]
+    letters = list("abcdefghij xyz")
+    for trial in range(150):
+        notice = licenses.NOTICES[trial % len(licenses.NOTICES)][1]
+        s = list(notice)
+        for _ in range(r.integers(0, licenses.edits_of(notice) + 3)):
+            at = int(r.integers(0, len(s)))
+            s[at : at + int(r.integers(0, 2))] = [letters[x] for x in r.integers(0, len(letters), r.integers(0, 2))]
+        text = " ".join([*some_words(trial, 5), "".join(s) + "x" * (7 * (trial % 5 == 0)), *some_words(trial + 1, int(r.integers(0, 4)))])
+        joined = " ".join(licenses.WORD.findall(text)) + " "
+        want = {licenses.NOTICES[i][0] for i, p in enumerate(patterns) if p.search(joined)}
+        assert {licenses.NOTICES[i][0] for i, *_ in licenses.fuzzy_spans(joined[:-1])} == want, joined
+    assert licenses.scan("released under the mit licensexxxxxx")[5] == ""
+
+
 def test_license_pieces_cover_all_small_edits():
     """Any notice with as many edits as are allowed keeps a piece, and is found."""
     r = np.random.Generator(np.random.PCG64(6))
@@ -354,6 +412,49 @@ def test_rendering(spark):
     assert (got[3], got[4], got[7], got[10]) == ("x", "- a\n- b", "deep", "")
 
 
+@pytest.mark.parametrize("html", ["<a " + '"x' * 500_000, "<div>" * 200_000, "<a b " * 200_000, "<p><button>" + "<div>" * 90_000, "<ul><li>" * 60_000, "<table><tr>" + "<td rowspan=3 colspan=1000>x" * 20_000, "<script></script x" * 50_000, "<style>a{" * 100_000])
+def test_rendering_takes_time_in_proportion(html):
+    began = time.monotonic()
+    rendering.render(html)
+    assert time.monotonic() - began < 10
+
+
+def test_tables_are_aligned():
+    """Random tables with spans against a grid filled cell by cell."""
+    r = np.random.Generator(np.random.PCG64(20))
+    for trial in range(60):
+        rows, taken, where, n = int(r.integers(1, 6)), set(), {}, 0
+        html = "<table>"
+        for y in range(rows):
+            html += "<tr>"
+            x = 0
+            for _ in range(int(r.integers(1, 5))):
+                while (y, x) in taken:
+                    x += 1
+                wide, deep = (int(v) for v in r.choice([1, 1, 1, 2, 3], 2))
+                while wide > 1 and any((y, x + k) in taken for k in range(wide)):
+                    wide -= 1
+                text = f"c{n}|" if n % 4 == 0 else f"c{n}" + "w" * int(r.integers(0, 9))
+                html += f"<td colspan={wide} rowspan={deep}>{text}"
+                taken |= {(y + j, x + k) for j in range(deep) for k in range(wide)}
+                where[text] = (y, x)
+                x, n = x + wide, n + 1
+        lines = rendering.render(html + "</table>").split("\n")
+        assert len(lines) == rows and all(sum(t in line.replace(" | ", "  ").split() for line in lines) == 1 for t in where)
+        column = {}  # cells that begin in one column of the grid begin at one place, and columns stand in order
+        for text, (y, x) in where.items():
+            at = next(m.start() for m in re.finditer(rf"(?<!\S){re.escape(text)}(?!\S)", lines[y]))
+            assert column.setdefault(x, at) == at
+        assert [column[x] for x in sorted(column)] == sorted(set(column.values()))
+    assert rendering.render("<table><tr><td>p |<td>b<tr><td rowspan=2>q<td>r<tr><td>s</table>") == "p | | b\nq   | r\n    | s"
+
+
+def test_style_sheets_and_selects():
+    page = "<style>/* x */ .x{display:none} #y , p.z{visibility:hidden} @media print{b{display:none}}</style><p class=x>no</p><p>yes</p><div id=y>no</div><p class='z a'>no<p class=a>ok <b>bold</b><select><option>one<option selected>two</select>"
+    assert rendering.render(page) == "yes\n\nok boldtwo"
+    assert rendering.render("<select><option>a<option>b</select>c") == "ac"
+
+
 def test_tool_calls(spark):
     call = lambda *calls: json.dumps({"tool_calls": [{"id": i, "name": n, "arguments": a} for i, n, a in calls]})
     result = lambda i, c: json.dumps({"tool_call_id": i, "content": c})
@@ -367,6 +468,8 @@ def test_tool_calls(spark):
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, name string")
     got = {(r.conv_id, r.call_id): r for r in tool_calls.link(df).collect()}
+    got = {(r.conv_id, r.call_id): r for r in tool_calls.link(df).collect() if r.status != "surplus"}
+    assert [(r.conv_id, r.call_id, r.result_turn, r.errors) for r in tool_calls.link(df).collect() if r.status == "surplus"] == [(1, "a", 3, "call_id: answered before")]
     flat = {k: (r.status, r.level, r.result_turn) for k, r in got.items()}
     assert flat == {
         (1, "a"): ("answered", 0, 2), (1, "b"): ("answered", 1, 1), (1, "c"): ("unanswered", 2, None), (1, "lost"): ("orphan", None, 4),
@@ -379,6 +482,24 @@ def test_tool_calls(spark):
         assert json.dumps(json.loads(r.json), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == r.json
     assert json.loads(got[3, "c3-0"].json) == {"arguments": {"n_chars": 5, "text": "hello"}, "call_id": "c3-0", "conv_id": 3, "level": 0, "name": "reply", "result": "hi \"you\"", "result_turn": 1, "status": "answered", "turn": 0}
     assert tool_calls.link(df.limit(0)).count() == 0
+    unnamed = spark.createDataFrame([(1, 0, "tool", "not JSON"), (1, 0, "tool", "not JSON"), (1, 1, "tool", '{"content": "c"}')], "conv_id long, turn long, role string, text string")
+    assert sorted((r.status, r.result_turn, r.errors) for r in tool_calls.link(unnamed).collect()) == [("orphan", 0, "call_id: missing"), ("orphan", 1, "call_id: missing")]
+
+
+def test_tool_call_levels_are_longest_paths(spark):
+    """A random graph of calls with chains of thousands, forks and cycles, against longest paths."""
+    r = np.random.Generator(np.random.PCG64(4))
+    needs = {i: {i - 1} if i % 500 else set() for i in range(1, 3000)}
+    needs[0] = set()
+    for i in r.integers(10, 3000, 12):
+        needs[int(i)] |= {int(x) for x in r.integers(0, i, 2)}
+    needs |= {4000: {4001}, 4001: {4002}, 4002: {4000}, 4003: {4000}, 4004: {4003, 0}, 4005: {4004}}
+    level = {}
+    for i in range(3000):
+        level[i] = 1 + max((level[x] for x in needs[i]), default=-1)
+    calls = [(1, str(i), json.dumps([{"$ref": str(x)} for x in sorted(n)]), None) for i, n in needs.items()]
+    df = spark.createDataFrame(calls, "conv_id long, call_id string, arguments string, after string")
+    assert {int(x.call_id): x.level for x in tool_calls.levels(df).collect()} == level
 
 
 def toxic_corpus():
