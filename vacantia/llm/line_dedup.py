@@ -29,6 +29,8 @@ Other columns are passed through, whatever their names.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,42 +42,53 @@ SHARE, OF = 90, 100
 ALIKE = 8
 #: Buckets of words whose counts tell how rare a word is, as a power of two; and how many are sent to the driver as one row.
 BUCKET_BITS, SLICE = 18, 64
+#: Documents of which lines are read again are told to the executors by so many bits of their texts' hashes.
+MARK_BITS = 18
 
 
-def _words(text: str) -> str:
-    """SQL for the lower-cased words of ``text``."""
+def _words(text: str, lines: bool = True) -> str:
+    """SQL for the lower-cased words of ``text``, an empty one wherever two spaces meet; lines: whether it may have several."""
     apart = f"lower({text})"
-    for space in ("\\t", "\\n", "\\u000B", "\\u000C", "\\r"):
+    for space in ("\\t", "\\u000B", "\\u000C", "\\r", *(["\\n"] if lines else [])):
         apart = f"replace({apart}, '{space}', ' ')"
-    return f"array_remove(split({apart}, ' '), '')"
+    return f"split({apart}, ' ')"
 
 
-def rarity(text: DataFrame) -> bytes:
-    """For each bucket of word hashes a byte that grows with the count of its words in all texts. 1 << BUCKET_BITS bytes."""
-    words = text.select(F.explode(F.expr(_words("text"))).alias("w"))
-    counts = words.groupBy(F.expr(f"xxhash64(w) & {(1 << BUCKET_BITS) - 1}").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    classes = counts.selectExpr(f"b div {SLICE} as slice", f"struct(cast(b % {SLICE} as int), cast(2 * log2(n) as int)) as c")
+def _byte_table(values: DataFrame, bits: int) -> bytearray:
+    """Rows (b, c) as a table of 1 << bits bytes that holds c at b, 0 elsewhere. What reaches the driver has that size."""
+    cells = values.selectExpr(f"b div {SLICE} as slice", f"struct(cast(b % {SLICE} as int), cast(c as int)) as c")
     written = f"array_join(transform(sequence(0, {SLICE - 1}), i -> lpad(hex(coalesce(element_at(map_from_entries(cs), i), 0)), 2, '0')), '')"
-    out = bytearray(1 << BUCKET_BITS)
-    slices = classes.groupBy("slice").agg(F.collect_list("c").alias("cs")).selectExpr("slice", f"{written} as written")
-    with releasing_shuffles(text.sparkSession):
+    slices = cells.groupBy("slice").agg(F.collect_list("c").alias("cs")).selectExpr("slice", f"{written} as written")
+    with releasing_shuffles(values.sparkSession):
         rows = slices.collect()
+    out = bytearray(1 << bits)
     for row in rows:
         out[row.slice * SLICE : (row.slice + 1) * SLICE] = bytes.fromhex(row.written)
-    return bytes(out)
+    return out
+
+
+def rarity(text: DataFrame) -> list[int]:
+    """For each bucket of word hashes a class that grows with the count of its words in all texts."""
+    words = text.select(F.explode(F.expr(_words("text"))).alias("w"))
+    counts = words.groupBy(F.expr(f"xxhash64(w) & {(1 << BUCKET_BITS) - 1}").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    return list(_byte_table(counts.selectExpr("b", "cast(2 * log2(n) as int) as c"), BUCKET_BITS))
+
+
+def _hashes(line: str) -> Column:
+    """The distinct hashes of a line's words."""
+    hashed = F.transform(F.expr(_words(line, lines=False)), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(hashed), F.xxhash64(F.lit("")))
 
 
-def _tokens(line: str, classes: bytes) -> Column:
+def _tokens(line: str, classes: list[int]) -> Column:
     """A line's distinct tokens, rarest first: seven bits for the class, then 56 bits of the hash."""
-    table = F.lit(bytearray(classes))
+    table = F.from_json(F.lit(json.dumps(classes)), "array<int>")  # folded into one literal
 
     def key(h: Column) -> Column:
-        place = h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int") + 1
-        rare = F.ascii(F.substring(table, place, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(rare, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        rare = F.coalesce(F.get(table, h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")), F.lit(0))
+        return F.shiftleft(rare.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    hashed = F.transform(F.expr(_words(line)), lambda w: F.xxhash64(w))
-    return F.sort_array(F.transform(F.array_distinct(hashed), key))
+    return F.sort_array(F.transform(_hashes(line), key))
 
 
 def _need(a: str, b: str) -> str:
@@ -125,18 +138,22 @@ def _known(text: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
     where = sets.select("sig", "first").join(wanted, "sig").groupBy("sig").agg(F.min("first").alias("first"))
     by_document = where.groupBy(F.col("first.doc_id").alias("_doc"), F.col("first.th").alias("_th"))
-    places = by_document.agg(F.collect_list(F.struct("first.at", "sig")).alias("places"))  # lines of one document
-    found = text.join(places, F.expr("th = _th and doc_id <=> _doc")).withColumn("parts", F.split("text", "\n"))
+    places = through_table(by_document.agg(F.collect_list(F.struct("first.at", "sig")).alias("places")), "line-places")  # lines of one document
+    marks = _byte_table(places.selectExpr(f"_th & {(1 << MARK_BITS) - 1} as b").distinct().withColumn("c", F.lit(1)), MARK_BITS)
+    mark = F.substring(F.lit(marks), F.expr(f"cast(th & {(1 << MARK_BITS) - 1} as int) + 1"), F.lit(1))
+    some = text.where(mark == F.lit(bytearray(b"\x01")))  # all documents that are wanted, and few others
+    found = some.join(places, F.expr("th = _th and doc_id <=> _doc")).withColumn("parts", F.split("text", "\n"))
     line = F.transform("places", lambda p: F.struct(p["sig"].alias("sig"), p["at"].alias("at"), F.get(F.col("parts"), p["at"]).alias("line")))
     lines = found.select("doc_id", "th", F.size("parts"), F.explode(line).alias("p"))
-    hashes = f"array_distinct(transform({_words('p.line')}, w -> xxhash64(w)))"
-    tokens = lines.select("p.sig", F.struct("doc_id", "th", "p.at").alias("first"), F.expr(hashes).alias("tokens"))
-    return tokens.groupBy("sig").agg(F.min(F.struct("first", "tokens")).alias("k")).select("sig", "k.*")  # equal rows repeat a line
+    tokens = lines.select("p.sig", F.struct("doc_id", "th", "p.at").alias("first"), _hashes("p.line").alias("tokens"))
+    known = through_table(tokens.groupBy("sig").agg(F.min(F.struct("first", "tokens")).alias("k")).select("sig", "k.*"), "line-tokens")  # equal rows repeat a line
+    discard(places)
+    return known
 
 
 def _later(text: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The later sets of the pairs (a, b) that match."""
-    known = through_table(_known(text, sets, pairs), "line-tokens")
+    known = _known(text, sets, pairs)
     a, b = (known.select(F.col("sig").alias(k), F.col("tokens").alias(f"tokens_{k}"), F.col("first").alias(f"first_{k}")) for k in "ab")
     overlap = pairs.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
     matched = overlap.where(f"{OF} * both >= {SHARE} * (size(tokens_a) + size(tokens_b) - both)")
@@ -156,15 +173,14 @@ def removed_lines(text: DataFrame) -> DataFrame:
     pairs = through_table(one_side.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct(), "line-pairs")
     later = _later(text, sets, pairs)
 
-    marked = members.join(later.withColumn("gone", F.lit(True)), "sig", "left").withColumn("gone", F.coalesce("gone", F.lit(False)))
-    marked = through_table(marked, "line-marked")
-    discard(members)
-    others = _side(marked.where("not gone"), "b").join(_side(marked, "a", "gone"), "key").where(f"(gone_a or sig_a < sig_b) and sig_a != sig_b and {_MAY_MATCH}")
-    others = others.select(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).distinct()
-    done = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    open_ones = members.join(later, "sig", "left_anti")
+    others = _side(open_ones, "b").join(_side(members, "a"), "key").where(f"sig_a != sig_b and {_MAY_MATCH}")
+    others = others.select(F.least("sig_a", "sig_b").alias("a"), F.greatest("sig_a", "sig_b").alias("b")).distinct()
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = through_table(others.join(done, ["a", "b"], "left_anti"), "line-pairs")
-    discard(marked, pairs)
-    later = later.unionByName(_later(text, sets, rest)).distinct()
+    discard(members, pairs)
+    if not rest.isEmpty():
+        later = later.unionByName(_later(text, sets, rest)).distinct()
 
     judged = sets.select("sig", "sig2", "first", "copies").join(later.withColumn("gone", F.lit(True)), "sig", "left")
     judged = judged.where("copies > 1 or gone")
