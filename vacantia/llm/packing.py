@@ -28,15 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import through_table
+from .tables import size_of, through_table
 from .tokens import encoder
 from .words import mix
 
 SIZE, END_ID = 1024, 0
 DIMENSIONS, AXES, BITS = 256, 4, 10
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-#: Rows of pieces sent at once.
-_FLUSH = 4096
+#: Rows of pieces sent at once; compressed bytes that a task packs, where there are more than the session's partitions hold.
+_FLUSH, PART_BYTES = 4096, 32 << 20
 
 
 def _projection() -> tuple[np.ndarray, np.ndarray]:
@@ -173,7 +173,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """Pieces of all documents: whose, from which of its ids, the ids (little-endian unsigned 32-bit), and their place in a sequence."""
     keyed = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(_keyed(tokenizer), "doc_id long, key long, crc long, packed binary, n long")
     held = through_table(keyed, "packing")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size_of(held) // PART_BYTES)
     return held.repartitionByRange(parts, "key", "doc_id", "crc").sortWithinPartitions("key", "doc_id", "crc").select("doc_id", "packed", "n").mapInArrow(_pack(size), PIECES)
 
 

@@ -54,12 +54,23 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _place(df: DataFrame) -> tuple:
+    jvm = df.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(df._written)
+    return path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def size_of(df: DataFrame) -> int:
+    """Bytes of a table of through_table()."""
+    files, path = _place(df)
+    return files.getContentSummary(path).getLength()
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of through_table() that nothing reads any more."""
     for df in tables:
-        jvm = df.sparkSession.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df._written)
-        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = _place(df)
+        files.delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
