@@ -30,3 +30,31 @@ SELECT conv_id, turn, CASE WHEN turn IS NULL THEN NULL ELSE 0 END AS place, call
   || coalesce(',"result":' || CAST(to_json(result) AS VARCHAR) || ',"result_turn":' || result_turn, '') || ',"status":"' || status || '","turn":' || turn || '}' END AS json
 FROM r
 """
+
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+QUALITY_BASE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i : i + 7], ' ') AS win FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d WHERE len(ws) >= 8)),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(8) AS t(k) GROUP BY doc_id),
+l AS (SELECT doc_id, count(line) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+b AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN l USING (doc_id) LEFT JOIN c USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b
+"""
+
+LICENSE_BASE = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+p AS (SELECT * FROM (VALUES (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')) AS v(phrase, label)),
+h AS (SELECT doc_id, i - 1 AS at, label FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN p ON ws[i] = phrase[1] AND ws[i : i + len(phrase) - 1] = phrase)
+SELECT d.doc_id, CAST(len(any_value(ws)) AS BIGINT) AS n_words, count(at) AS n_base, min(at) AS first_word, max(at) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+FROM d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id
+"""
+
+URL_RULES = f"""
+WITH u AS (SELECT page_id, {_LOWER.format("regexp_extract(url, '://([^/?#]*)', 1)")} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r AS (SELECT rule, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS p FROM (VALUES ('com/en/'), ('example.com/en/7'), ('net/de/'), ('example.net/de/8'), ('org/es/')) AS v(rule))
+SELECT page_id, host, path, (SELECT arg_max(rule, length(rule)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule FROM u
+"""

@@ -49,5 +49,30 @@ def op10_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op5_tool_calls, op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions)}
-ORACLES: dict[str, str] = {"op5_tool_calls": oracles.OP5, "op7_line_similarity": oracles.OP7}
+def quality_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op3 that SQL can express."""
+    return op3_compression_bands(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def license_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can express."""
+    return op8_license_notices(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can express."""
+    return op9_url_model(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+_OPERATORS = (
+    op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op5_tool_calls,
+    op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions,
+)
+QUERIES = {f.__name__: f for f in (*_OPERATORS, quality_base_columns, license_base_columns, url_rules)}
+ORACLES: dict[str, str] = {
+    "op5_tool_calls": oracles.OP5,
+    "op7_line_similarity": oracles.OP7,
+    "quality_base_columns": oracles.QUALITY_BASE,
+    "license_base_columns": oracles.LICENSE_BASE,
+    "url_rules": oracles.URL_RULES,
+}
