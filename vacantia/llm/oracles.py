@@ -48,8 +48,8 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FRO
 LICENSE_BASE = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 p AS (SELECT * FROM (VALUES (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')) AS v(phrase, label)),
-h AS (SELECT doc_id, i - 1 AS at, label FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN p ON ws[i] = phrase[1] AND ws[i : i + len(phrase) - 1] = phrase)
-SELECT d.doc_id, CAST(len(any_value(ws)) AS BIGINT) AS n_words, count(at) AS n_base, min(at) AS first_word, max(at) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
+h AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN p ON ws[i] = phrase[1] AND ws[i : i + len(phrase) - 1] = phrase)
+SELECT d.doc_id, CAST(len(any_value(ws)) AS BIGINT) AS n_words, count(place) AS n_base, min(place) AS first_word, max(place) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS base_labels
 FROM d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id
 """
 
