@@ -82,6 +82,7 @@ def test_jaccard_components(spark, corpus, monkeypatch):
 @pytest.mark.parametrize("pivots", [1, 4])
 def test_jaccard_regions_split_whatever_their_size(spark, corpus, monkeypatch, pivots):
     monkeypatch.setattr(ngram_join, "PAIRS_FOR_EACH", 0)
+    monkeypatch.setattr(ngram_join, "PAIRS_OF_SLOW", 0)
     monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
     split = []
     regions = ngram_join.Space.regions
