@@ -25,22 +25,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-#: Spark removes the shuffle files of a query at its end while this is set.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 @contextlib.contextmanager
-def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What is written or collected within leaves no shuffle files behind."""
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEAN)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(_CLEAN, before)
+            spark.conf.set(name, before)
+
+
+def releasing_shuffles(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """What is written or collected within leaves no shuffle files behind: Spark removes them at the end of the query."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def batches_of(spark: SparkSession, rows: int) -> contextlib.AbstractContextManager[None]:
+    """What is written within goes to Python in batches of so many rows, where rows are large."""
+    return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def through_table(df: DataFrame, name: str) -> DataFrame:
