@@ -26,11 +26,19 @@ def strip(c: Column) -> Column:
 def spans(c: Column, pattern: str) -> Column:
     """array<struct<start, end, match>> of all matches, left to right, 0-based; for patterns that never match nothing.
 
-    The start of match i is what all the gaps up to it and all the matches before it take.
+    A match starts where the match before it ends, and the gap between them.
     """
     found, gaps = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
-    start = lambda i: F.aggregate(F.slice(gaps, 1, i + 1), F.lit(0), lambda a, g: a + F.length(g)) + F.aggregate(F.slice(found, 1, i), F.lit(0), lambda a, m: a + F.length(m))
-    return F.transform(found, lambda m, i: F.struct(start(i).alias("start"), (start(i) + F.length(m)).alias("end"), m.alias("match")))
+    none = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int,match:string>>").alias("spans"))
+
+    def further(so_far: Column, x: Column) -> Column:
+        start = so_far["at"] + F.length(x["gap"])
+        end = start + F.length(x["match"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))
+        return F.struct(end.alias("at"), F.concat(F.coalesce(so_far["spans"], F.array().cast("array<struct<start:int,end:int,match:string>>")), F.array(span)).alias("spans"))
+
+    both = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(found)).alias("gap"), found.alias("match"))
+    return F.coalesce(F.aggregate(both, none, further, lambda a: a["spans"]), F.array().cast("array<struct<start:int,end:int,match:string>>"))
 
 
 def first_rule(c: Column, rules: Sequence[tuple[str, str]], flags: str = ANY_CASE) -> Column:
