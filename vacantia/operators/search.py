@@ -76,6 +76,11 @@ def facet_values(jobs: DataFrame) -> DataFrame:
     return pairs.where("value != ''").distinct()
 
 
+def offered(facets: DataFrame, levels: Sequence[str] = ("entry level", "junior")) -> DataFrame:
+    """The facets that a search form offers: of the levels only those that the board is for."""
+    return facets.where((F.col("facet") != "job_level") | F.col("value").isin(*levels))
+
+
 def facet_skills(jobs: DataFrame, skip: Sequence[str] = (), most: int | None = None) -> DataFrame:
     """(skill, n, first): by frequency, ties by first appearance. Duplicates within an advert count."""
     seen = jobs.select("_seq", F.posexplode(job_skills()).alias("p", "skill")).groupBy("skill").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_seq", "p")).alias("first"))

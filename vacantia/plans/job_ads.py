@@ -53,8 +53,6 @@ def sql(dialect: str) -> str:
     pick = lambda values, index: _pick(values, index, dialect)
     day = "lpad(cast(1 + d % 28 as string), 2, '0')"
     # copies of a document share what depends on the text's length, so that they are posted again
-    # the engine reads whole texts; the oracles still take the first 400 characters (see README)
-    body = "coalesce(text, '')" if dialect == "spark" else "substr(coalesce(text, ''), 1, 400)"
     return f"""
     SELECT d AS _seq, d AS doc_id, {pick(SOURCES, 'd')} AS source, {pick(TITLES, 'k')} AS title, {pick(COMPANIES, 'd')} AS company,
       {pick(CITIES, 'k')} AS city, {pick(LOCATIONS, 'k')} AS location, {pick(ROLE_LABELS, 'd')} AS primary_role, {pick(AI_LEVELS, 'd')} AS job_level,
@@ -68,7 +66,7 @@ def sql(dialect: str) -> str:
       CASE WHEN d % 9 = 0 THEN '' ELSE ' https://jobs.example/ad/' || cast(d - (CASE WHEN d % 7 = 3 THEN 1 ELSE 0 END) as string) END AS job_url,
       CASE WHEN d % 6 = 0 THEN 'https://indeed.com/cmp/Some-Company-' || cast(d % 50 as string) WHEN d % 6 = 1 THEN 'https://indeed.com/cmp/Avbob?x=1' ELSE '' END AS company_url,
       CASE WHEN d % 2 = 0 THEN 'A short blurb' ELSE '' END AS blurb
-    FROM (SELECT cast(doc_id as bigint) AS d, cast(length(coalesce(text, '')) as bigint) AS k, {body} AS body FROM documents) AS base
+    FROM (SELECT cast(doc_id as bigint) AS d, cast(length(coalesce(text, '')) as bigint) AS k, coalesce(text, '') AS body FROM documents) AS base
     """
 
 

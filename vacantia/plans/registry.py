@@ -105,6 +105,13 @@ def level_years(spark, sf):
     return spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", years.alias("years"), extract.level_from_years(years).alias("level"))
 
 
+@query(q("SELECT _seq, doc_id, title, must_have_skills, CAST(years AS INT) AS experience_years, job_level, role_type FROM v"))
+def labelled_stage(spark, sf):
+    """What the other queries on labels read; made here anew, so that its time is its own."""
+    _made.pop((spark.sparkContext.applicationId, sf), None)
+    return _labelled(spark, sf).select("_seq", "doc_id", "title", "must_have_skills", "experience_years", "job_level", "role_type")
+
+
 @query(q("SELECT doc_id, ai_job_level, job_level, level_source, level_evidence, level_confidence FROM lab"))
 def level_final(spark, sf):
     return _labelled(spark, sf).select("doc_id", "ai_job_level", "job_level", "level_source", "level_evidence", "level_confidence")
@@ -186,7 +193,7 @@ def board_prune(spark, sf):
     return board.prune(board.merge(*_board(spark, sf), TODAY), TODAY).select("_seq", "date_posted", "date_added")
 
 
-@query(q(BOARD + "SELECT row_number() OVER (ORDER BY CASE WHEN date_posted <> '' THEN date_posted ELSE date_added END DESC, _seq) AS place, _seq FROM prn ORDER BY 1 LIMIT 50"))
+@query(q(BOARD + "SELECT row_number() OVER (ORDER BY CASE WHEN date_posted <> '' THEN date_posted ELSE date_added END DESC, _seq) AS place, _seq FROM prn"))
 def board_sorted(spark, sf):
     rows = materialised(board.ordered(board.prune(board.merge(*_board(spark, sf), TODAY), TODAY)).select("_seq"))
     # partitions hold ranges in order: a row's place is the rows of earlier partitions and its own number
@@ -244,6 +251,11 @@ def facets_values(spark, sf):
     return search.facet_values(_screened(spark, sf))
 
 
+@query(q("SELECT DISTINCT 'job_level' AS facet, job_level AS value FROM fin WHERE job_level IN ('entry level', 'junior') UNION SELECT DISTINCT 'source', source FROM fin"))
+def facets_offered(spark, sf):
+    return search.offered(search.facet_values(_screened(spark, sf))).where("facet in ('job_level', 'source')")
+
+
 @query(q("SELECT skill, count(*) AS n FROM (SELECT unnest(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker', 'Excel'] ELSE [nice_to_have_skills] END)) AS skill FROM fin) WHERE skill <> 'Communication' GROUP BY ALL"))
 def facet_skills_ranked(spark, sf):
     return search.facet_skills(_screened(spark, sf), R.SOFT_SKILLS).select("skill", "n")
@@ -255,7 +267,7 @@ def match_ranked(spark, sf):
     return found.select("doc_id", F.array_join("overlap", ", ").alias("overlap"), "evidence")
 
 
-@query(q("SELECT doc_id, CAST(years AS INT) AS experience_years FROM fin ORDER BY years ASC NULLS LAST, _seq LIMIT 40"))
+@query(q("SELECT doc_id, CAST(years AS INT) AS experience_years FROM fin"))
 def sort_years_nulls_last(spark, sf):
     return _screened(spark, sf).orderBy(*search.sort_keys("years-asc")).select("doc_id", "experience_years")
 
@@ -311,13 +323,18 @@ def company_from_url(spark, sf):
     return adverts(spark, sf).select("doc_id", T.company_from_url(url).alias("by_url"), feeds.company(F.col("company"), url, F.lit("")).alias("company"))
 
 
-@query("SELECT strftime(l, '%Y-%m-%d') AS day, CAST(13 + 19 AS BIGINT) AS n FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS l FROM orders)")
+@query("SELECT strftime(l, '%Y-%m-%d') AS day, c AS cadence, CAST(CASE c WHEN 'daily' THEN 13 ELSE 19 END AS BIGINT) AS n FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS l FROM orders) CROSS JOIN (VALUES ('daily'), ('even'), ('odd')) AS cs(c) WHERE c = 'daily' OR (c = 'even') = (dayofyear(l) % 2 = 0)")
 def cadence_terms(spark, sf):
     days = spark.read.parquet(f"{sf}/orders.parquet").select(F.to_date("o_orderdate").alias("day")).distinct()
-    parity = F.when(F.dayofyear("day") % 2 == 0, "even").otherwise("odd")
-    terms = feeds.search_terms(spark)
-    wanted = days.select("day", F.explode(F.array(F.lit("daily"), parity)).alias("cadence"))
-    return wanted.join(terms, "cadence").groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    terms = F.array(*(F.struct(F.lit(phrase).alias("phrase"), F.lit(cadence).alias("cadence")) for phrase, _, cadence in R.SEARCH_TERMS))
+    wanted = feeds.terms_for(days.select("day", F.inline(terms)), F.col("day"))
+    return wanted.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), "cadence").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(q("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'Mind Drift' ELSE '' END AS company FROM n"))
+def company_from_network_url(spark, sf):
+    url = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("https://x.linkedin.com/company/mind-drift-"), F.col("doc_id").cast("string"))).otherwise("https://indeed.com/cmp/Other")
+    return adverts(spark, sf).select("doc_id", feeds.company(F.lit("n/a"), url, F.lit(""), source="network").alias("company"))
 
 
 @query(q("SELECT source, count(*) AS n FROM n GROUP BY ALL"))
