@@ -21,22 +21,29 @@ def best_date() -> Column:
     return F.coalesce(F.nullif(text("date_posted"), F.lit("")), text("date_added"))
 
 
+def _found(board: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(_seq, _row) of the incoming adverts that find a row of the board. Blank links and keys meet nothing."""
+    key = lambda df: df.select("_seq", strip(text("job_url")).alias("_url"), duplicate_key().alias("_key"))
+    old, new = key(board), key(incoming)
+    comparable = "_key.t != '' and _key.c != ''"
+    by_url = old.where("_url != ''").groupBy("_url").agg(F.min("_seq").alias("_row"))
+    by_key = old.where(comparable).groupBy("_key").agg(F.max("_seq").alias("_row"))
+    hits = new.where("_url != ''").join(by_url, "_url").select("_seq", F.lit(0).alias("by"), "_row")
+    hits = hits.unionByName(new.where(comparable).join(by_key, "_key").select("_seq", F.lit(1).alias("by"), "_row"))
+    return hits.groupBy("_seq").agg(F.min_by("_row", "by").alias("_row"))
+
+
 def merge(board: DataFrame, incoming: DataFrame, today: str) -> DataFrame:
     """Both have the same columns, _seq and date_added among them."""
     columns = board.columns
-    key = lambda df: df.withColumns({"_url": strip(text("job_url")), "_key": duplicate_key()})
-    old, new = key(board), key(incoming)
-    by_url = old.where("_url != ''").groupBy("_url").agg(F.min("_seq").alias("_row_u"))
-    by_key = old.where("_key.t != '' and _key.c != ''").groupBy("_key").agg(F.max("_seq").alias("_row_k"))
-    found = new.join(by_url, "_url", "left").join(by_key, "_key", "left").withColumn("_row", F.coalesce("_row_u", "_row_k"))
-    winners = found.where("_row is not null").groupBy("_row").agg(F.min("_seq").alias("_seq"))
-    hits = found.join(winners, ["_row", "_seq"], "left_semi")
-    rest = found.where("_row is null").unionByName(found.where("_row is not null").join(winners, ["_row", "_seq"], "left_anti"))
+    found = _found(board, incoming)
+    winners = found.groupBy("_row").agg(F.min("_seq").alias("_seq"))
     last = board.agg(F.coalesce(F.max("_seq"), F.lit(-1)).alias("_last")).first()["_last"]
     kept_date = board.select(F.col("_seq").alias("_row"), F.col("date_added").alias("_added"))
     own = lambda df, d: df.withColumn("date_added", F.coalesce(F.nullif(text(d), F.lit("")), F.nullif(text("date_added"), F.lit("")), F.lit(today)))
-    replaced = own(hits.join(kept_date, "_row"), "_added").withColumn("_seq", F.col("_row")).select(columns)
-    added = own(rest, "date_added").withColumn("_seq", F.col("_seq") + last + 1).select(columns)
+    placed = incoming.join(winners.join(kept_date, "_row"), "_seq", "left")
+    replaced = own(placed.where("_row is not null"), "_added").withColumn("_seq", F.col("_row")).select(columns)
+    added = own(placed.where("_row is null"), "date_added").withColumn("_seq", F.col("_seq") + last + 1).select(columns)
     return board.join(winners.select(F.col("_row").alias("_seq")), "_seq", "left_anti").select(columns).unionByName(replaced).unionByName(added)
 
 

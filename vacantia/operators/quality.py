@@ -143,3 +143,9 @@ def tech_sheet(ads: DataFrame, size: int = 60, seed: int = 0, share: float = 0.0
     rows = some.orderBy(F.desc("_flag"), "_seq").select(report_cell(F.col("title")), report_cell(F.col("company"), 30), report_cell(F.col("role_type"), 40), F.when(F.col("_flag"), "look").otherwise("")).collect()
     warning = [] if len(rows) >= 40 else ["Fewer than 40 adverts: too few to judge.", ""]
     return "\n".join(["# Non-tech review", "", f"Allowed: {int(len(rows) * share)} of {len(rows)} not tech", "", *warning, *_table([(i + 1, *r, "") for i, r in enumerate(rows)], ("#", "Title", "Company", "Role", "Flag", "Tech?")), ""])
+
+
+def drops_sheet(excluded: DataFrame, size: int = 40, seed: int = 0) -> str:
+    """A Markdown sheet of excluded adverts, with stage and reason, for people to mark wrong ones on."""
+    rows = sample(excluded, size, seed).orderBy("excluded_stage", "_seq").select("excluded_stage", report_cell(F.col("title")), report_cell(F.col("company"), 30), report_cell(F.col("excluded_reason"), 60)).collect()
+    return "\n".join(["# Drops review", "", f"Target: {target_for(len(rows))} of {len(rows)} rightly dropped", "", *_table([(i + 1, *r, "") for i, r in enumerate(rows)], ("#", "Stage", "Title", "Company", "Reason", "Right?")), ""])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
@@ -14,7 +16,8 @@ from vacantia.sources import sinks
 
 def labelled(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT, provider: enrich.Provider | None = None) -> DataFrame:
     """Deduplicated, then skills, enrichment, years, levels (which read years), roles, and official skill names."""
-    found = extract.with_keyword_skills(dedupe.deduplicate(ads), vocabulary)
+    missing = {c: F.lit("") for c in enrich.FIELDS if c not in ads.columns}  # feeds have no blurb; only enrichment writes one
+    found = extract.with_keyword_skills(dedupe.deduplicate(ads.withColumns(missing) if missing else ads), vocabulary)
     found = enrich.enrich(found, provider)
     return extract.with_official_skills(extract.with_roles(extract.with_levels(extract.with_years(found))), vocabulary)
 
@@ -39,14 +42,27 @@ def screened(ads: DataFrame, **options) -> DataFrame:
     return screen.screened(materialised(labelled(ads, **options)))
 
 
-def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None) -> int:
-    """One day: the labelled stage is written once and read by all that follow; every sink is tried. Returns the exit code."""
+def current_board(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest whole version of the board; None before the first. Versions without _SUCCESS were never finished."""
+    ended = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/board/*/_SUCCESS")
+    found = ended.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(ended)
+    versions = [x.getPath().getParent().getName() for x in found or ()]
+    return spark.read.parquet(f"{folder}/board/{max(versions)}") if versions else None
+
+
+def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None, part: str = "0") -> int:
+    """One day, or one part of a day: every sink is tried. Returns the exit code.
+
+    The labelled stage is written once and read by all that follow. Parts have folders of their own, so that none
+    overwrites another's rows; a part that runs again replaces only its own. The board is a new version each time, made
+    from the last whole one: a run that breaks off leaves that as it is.
+    """
     spark = ads.sparkSession
     stamp = f"{today} 00:00:00"
-    labelled(ads, provider=provider).write.mode("overwrite").parquet(f"{folder}/labelled/{today}")
-    rows = screen.screened(spark.read.parquet(f"{folder}/labelled/{today}"))
-    rows.write.mode("overwrite").parquet(f"{folder}/screened/{today}")
-    rows = spark.read.parquet(f"{folder}/screened/{today}")
+    labels, screens = f"{folder}/labelled/{today}/part={part}", f"{folder}/screened/{today}/part={part}"
+    labelled(ads, provider=provider).write.mode("overwrite").parquet(labels)
+    screen.screened(spark.read.parquet(labels)).write.mode("overwrite").parquet(screens)
+    rows = spark.read.parquet(screens)
     kept, excluded = rows.where("kept"), rows.where("not kept")
     if kept.isEmpty():
         return quality.verdict(["no advert was kept"])
@@ -61,13 +77,10 @@ def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | Non
 
     def publish() -> None:
         incoming = kept if "date_added" in kept.columns else kept.selectExpr("*", "'' as date_added")
-        try:
-            old = spark.read.parquet(f"{folder}/board")
-        except Exception:
-            old = incoming.limit(0)
-        merged = board.prune(board.merge(old.select(incoming.columns), incoming, today), today)
-        merged.write.mode("overwrite").parquet(f"{folder}/board-next")  # the old board is read until this is written
-        spark.read.parquet(f"{folder}/board-next").write.mode("overwrite").parquet(f"{folder}/board")
-
-    failed = sinks.isolated({"sheet": sheet, "excluded": exclude, "board": publish}, {"sheet": lambda: sinks.save_json(kept, f"{folder}/rescue/{today}")})
+        old = current_board(spark, folder)
+        old = incoming.limit(0) if old is None else old.select(incoming.columns)
+        merged = board.prune(board.merge(old, incoming, today), today)
+        merged.write.parquet(f"{folder}/board/{time.time_ns():020d}")
+
+    failed = sinks.isolated({"sheet": sheet, "excluded": exclude, "board": publish}, {"sheet": lambda: sinks.save_json(kept, f"{folder}/rescue/{today}/part={part}")})
     return quality.verdict([x for x in failed if x == "sheet"])

@@ -56,7 +56,10 @@ def read_if_there(spark: SparkSession, path: str, schema: T.StructType = ADVERT)
 
 
 def numbered(df: DataFrame, *order: str) -> DataFrame:
-    """_seq, by columns that order the rows for good; in parts of the range, each counted by itself, so that no task holds all."""
+    """_seq, by columns that order the rows for good; in parts of the range, each counted by itself, so that no task holds all.
+
+    Numbers depend on where the parts begin, so what is made of them must not be computed twice: write it through first.
+    """
     keyed = df.withColumn("_h", F.struct(*order))
     parts = keyed.repartitionByRange("_h").sortWithinPartitions("_h")
     return parts.withColumn("_seq", F.monotonically_increasing_id()).drop("_h")
@@ -103,10 +106,18 @@ def api_pages(pages: DataFrame) -> DataFrame:
 UNLISTED = ("not listed", "unlisted", "confidential", "n/a", "none", "nan", "unknown", "company confidential")
 
 
-def company(c: Column, url: Column, description: Column, from_description: bool = True) -> Column:
-    """The company as listed, else by its page's link, else by the description."""
+#: Where the links of a source's company pages hold the company, and whether its name is put in title case.
+COMPANY_PAGES = {"search": ("indeed.com/cmp/", False), "network": ("linkedin.com/company/", True)}
+
+
+def company(c: Column, url: Column, description: Column, from_description: bool = True, source: str = "search") -> Column:
+    """The company as listed, else by the link of its page at the source, else by the description."""
     listed = X.clean_text(c)
-    return F.coalesce(F.nullif(F.when(~F.lower(listed).isin(*UNLISTED), listed), F.lit("")), F.nullif(X.company_from_url(url), F.lit("")), F.nullif(X.company_from_description(description), F.lit("")) if from_description else F.lit(None).cast("string"), F.lit(""))
+    host, titled = COMPANY_PAGES.get(source, COMPANY_PAGES["search"])
+    found = [F.when(~F.lower(listed).isin(*UNLISTED), listed), X.company_from_url(url, host, titled)]
+    if from_description:
+        found.append(X.company_from_description(description))
+    return F.coalesce(*(F.nullif(x, F.lit("")) for x in found), F.lit(""))
 
 
 def search_frame(rows: DataFrame, source: str, home: str = "South Africa", from_description: bool = True) -> DataFrame:
@@ -123,7 +134,7 @@ def search_frame(rows: DataFrame, source: str, home: str = "South Africa", from_
     skills = F.array_join("skills", ", ") if "skills" in have and isinstance(rows.schema["skills"].dataType, T.ArrayType) else text(cell("skills"))
     out = rows.select(
         *(["_seq"] if "_seq" in have else []), F.lit(source).alias("source"), cell("search_term").alias("search_term"), X.clean_text(cell("title")).alias("title"),
-        company(cell("company_name"), text(cell("company_url")), text(cell("description")), from_description).alias("company"), cell("company_logo").alias("company_logo"), cell("company_url").alias("company_url"),
+        company(cell("company_name"), text(cell("company_url")), text(cell("description")), from_description, source).alias("company"), cell("company_logo").alias("company_logo"), cell("company_url").alias("company_url"),
         cell("company_description").alias("company_description"), cell("company_num_employees").alias("company_size"), cell("company_rating").alias("company_rating"), place.alias("location"),
         (text(F.col("location")["city"]) if nested else F.trim(F.split(place, ",")[0])).alias("city"), (F.coalesce(part("country"), F.lit(home)) if nested else F.lit(home)).alias("country"), cell("is_remote").alias("is_remote"), text(cell("work_from_home_type")).alias("workplace_policy"),
         text(cell("job_function")).alias("primary_role"), skills.alias("must_have_skills"), cell("experience_range").alias("experience_years"), text(cell("job_level")).alias("job_level"), text(cell("job_type")).alias("employment_type"),
@@ -142,7 +153,7 @@ def search_terms(spark: SparkSession) -> DataFrame:
 
 
 def terms_for(terms: DataFrame, day: Column, spread: bool = True) -> DataFrame:
-    """Daily terms, and those of the day's parity; all of them if they are not spread."""
+    """Daily terms, and those of the parity of the day (a date, or a column of ``terms``); all of them if they are not spread."""
     return terms.where(F.col("cadence").isin("daily") | (F.col("cadence") == F.when(F.dayofyear(day) % 2 == 0, "even").otherwise("odd"))) if spread else terms
 
 

@@ -25,9 +25,16 @@ def save_json(ads: DataFrame, path: str, csv: str | None = None) -> None:
         ads.select(*flat).write.mode("overwrite").option("header", True).csv(csv)
 
 
-def wrapped(ads: DataFrame, **facts: Column) -> DataFrame:
-    """One row: {count, jobs, ...}. For a board's worth of adverts only: they meet in one row."""
-    return ads.agg(F.count(F.lit(1)).alias("count"), F.sort_array(F.collect_list(F.struct(*(F.col(c) for c in ["_seq", *(x for x in ads.columns if x != "_seq")])))).alias("jobs"), *(v.alias(k) for k, v in facts.items()))
+def wrapped(ads: DataFrame, size: int = 1000, **facts: Column) -> DataFrame:
+    """{page, count, jobs, ...}: pages of adverts by their numbers, ``size`` numbers a page, so that no row grows with the table."""
+    advert = F.struct(*(F.col(c) for c in ["_seq", *(x for x in ads.columns if x != "_seq")]))
+    paged = ads.groupBy(F.expr(f"_seq div {size}").alias("page"))
+    return paged.agg(F.count(F.lit(1)).alias("count"), F.sort_array(F.collect_list(advert)).alias("jobs"), *(v.alias(k) for k, v in facts.items()))
+
+
+def save_wrapped(ads: DataFrame, path: str, **facts: Column) -> None:
+    """JSON objects with a list of jobs each, a line a page; what reads adverts takes them as it takes bare ones."""
+    wrapped(ads, **facts).write.mode("overwrite").json(path)
 
 
 def save_board(rows: DataFrame, path: str) -> None:
@@ -50,20 +57,28 @@ def exclude_rows(ads: DataFrame, stamp: str) -> DataFrame:
     return ads.select(*(v.alias(n) for v, n in zip(values, R.EXCLUDE_COLUMNS)))
 
 
+def _unlinked(ads: DataFrame, sheet: DataFrame) -> DataFrame:
+    """Adverts whose link the sheet does not have; those without a link are not shuffled by it and all stay."""
+    links = sheet.select(F.col("Apply Link").alias("job_url")).where("job_url != ''").distinct()
+    return ads.where("job_url != ''").join(links, "job_url", "left_anti").unionByName(ads.where("coalesce(job_url, '') = ''"))
+
+
 def new_rows(ads: DataFrame, sheet: DataFrame) -> DataFrame:
     """Adverts whose link, and whose comparable key, the sheet does not have; first per link, newest first."""
-    firsts = dedupe.first_by_url(ads, trimmed=False)
-    links = sheet.select(F.col("Apply Link").alias("job_url")).where("job_url != ''").distinct()
     keys = dedupe.key_from_row(sheet).where("_key.t != '' and _key.c != ''").select("_key").distinct()
-    left = firsts.join(links, "job_url", "left_anti").withColumn("_key", dedupe.duplicate_key())
+    left = _unlinked(dedupe.first_by_url(ads, trimmed=False), sheet).withColumn("_key", dedupe.duplicate_key())
     out = left.where("_key.t != '' and _key.c != ''").join(keys, "_key", "left_anti").unionByName(left.where("_key.t = '' or _key.c = ''")).drop("_key")
     return out.orderBy(F.desc(text("date_posted")), "_seq")
 
 
 def new_excluded(ads: DataFrame, tab: DataFrame) -> DataFrame:
     """Those whose link the tab does not have; without a link, always."""
-    links = tab.select(F.col("Apply Link").alias("job_url")).where("job_url != ''").distinct()
-    return ads.join(links, "job_url", "left_anti")
+    return _unlinked(ads, tab)
+
+
+def latest_first(sheet: DataFrame) -> DataFrame:
+    """A sheet's rows by its first column, the date they were added, the newest first."""
+    return sheet.orderBy(F.desc(sheet.columns[0]))
 
 
 def migrated(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -76,10 +91,17 @@ def append(rows: DataFrame, path: str, columns: tuple[str, ...]) -> None:
     migrated(rows, columns).write.mode("append").parquet(path)
 
 
+def is_missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def existing(spark, path: str, columns: tuple[str, ...]) -> DataFrame:
+    """The table, or an empty one if there is none yet; any other fault is raised."""
     try:
         return migrated(spark.read.parquet(path), columns)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
 
 

@@ -10,16 +10,17 @@ from vacantia.plans import pipeline
 from vacantia.sources.feeds import ADVERT, numbered
 
 
-def stream_adverts(spark: SparkSession, landing: str) -> DataFrame:
-    """Adverts, one JSON object a line, of files that land in a folder."""
-    return spark.readStream.schema(ADVERT).option("maxFilesPerTrigger", 100).json(landing)
+def stream_adverts(spark: SparkSession, landing: str, files: int = 100) -> DataFrame:
+    """Adverts, one JSON object a line, of files that land in a folder; ``files`` of them a micro-batch."""
+    return spark.readStream.schema(ADVERT).option("maxFilesPerTrigger", files).json(landing)
 
 
-def start(spark: SparkSession, landing: str, folder: str, today: str, checkpoint: str) -> StreamingQuery:
-    """Run every micro-batch through the daily run; stops when all that has landed is done."""
+def start(spark: SparkSession, landing: str, folder: str, today: str, checkpoint: str, files: int = 100) -> StreamingQuery:
+    """Run every micro-batch through the daily run, as a part of the day; stops when all that has landed is done."""
 
     def each(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            pipeline.run(numbered(batch.withColumn("date_added", F.lit("")), "job_url", "title", "company", "description_snippet"), today, folder)
+            ads = numbered(batch.withColumn("date_added", F.lit("")), "job_url", "title", "company", "description_snippet")
+            pipeline.run(pipeline.materialised(ads), today, folder, part=str(number))
 
-    return stream_adverts(spark, landing).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each).trigger(availableNow=True).start()
+    return stream_adverts(spark, landing, files).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each).trigger(availableNow=True).start()
