@@ -13,6 +13,7 @@ from vacantia.functions import text as T
 from vacantia.operators import board, dedupe, enrich, extract, quality, screen, search
 from vacantia.plans import pipeline, registry
 from vacantia.sources import feeds, html, sinks
+from vacantia.streaming import daily
 
 AD = "_seq long, title string, company string, city string, location string, job_url string, description_snippet string, date_posted string, date_added string"
 
@@ -191,9 +192,12 @@ def test_daily_run_is_idempotent(spark, tmp_path):
 
     rows = adverts(spark, "/root/testdata/sf0.001").where("doc_id < 60")
     assert pipeline.run(rows, TODAY, str(tmp_path)) == 0
-    first = {n: spark.read.parquet(f"{tmp_path}/{n}").count() for n in ("sheet", "excluded", "board")}
+    size = lambda n: (pipeline.current_board(spark, str(tmp_path)) if n == "board" else spark.read.parquet(f"{tmp_path}/{n}")).count()
+    first = {n: size(n) for n in ("sheet", "excluded", "board")}
     assert pipeline.run(rows, TODAY, str(tmp_path)) == 0
-    again = {n: spark.read.parquet(f"{tmp_path}/{n}").count() for n in ("sheet", "board")}
+    again = {n: size(n) for n in ("sheet", "board")}
+    (tmp_path / "board" / "99999999999999999999").mkdir()  # a version that was never finished
+    assert size("board") == again["board"]
     assert first["sheet"] > 0 and again["board"] >= first["board"] and again["sheet"] >= first["sheet"]
     done = spark.read.parquet(f"{tmp_path}/screened/{TODAY}")
     assert done.where("kept").count() + done.where("not kept").count() == spark.read.parquet(f"{tmp_path}/labelled/{TODAY}").count()
@@ -202,6 +206,16 @@ def test_daily_run_is_idempotent(spark, tmp_path):
     assert [r.n for r in quality.funnel({"a": done, "b": None}).orderBy("place").collect()] == [done.count(), None]
 
 
+def test_stream_keeps_every_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for day in range(3):
+        (tmp_path / "in" / f"{day}.json").write_text(json.dumps({"title": f"Junior Java Developer {day}", "company": f"C{day}", "job_url": f"https://x.example/{day}", "description_snippet": "d"}) + "\n")
+    daily.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2026-08-22", str(tmp_path / "at"), files=1).awaitTermination()
+    for name in ("labelled", "screened"):
+        assert sorted(r.company for r in spark.read.parquet(f"{tmp_path}/out/{name}/2026-08-22").collect()) == ["C0", "C1", "C2"]
+    assert pipeline.current_board(spark, f"{tmp_path}/out").count() == 3
+
+
 def test_sinks(spark, tmp_path):
     assert sinks.isolated({"a": lambda: None, "b": lambda: 1 / 0}, {"b": lambda: (tmp_path / "saved").write_text("x")}) == ["b"] and (tmp_path / "saved").exists()
     old = spark.createDataFrame([("d", "T")], "`Date Job Posted` string, `Job Title` string")
@@ -210,6 +224,61 @@ def test_sinks(spark, tmp_path):
     sinks.save_json(df, f"{tmp_path}/out", f"{tmp_path}/csv")
     assert spark.read.json(f"{tmp_path}/out").first().title == "A" and spark.read.option("header", True).csv(f"{tmp_path}/csv").first().title == "A"
     assert sinks.wrapped(df).first()["count"] == 1
+    many = df.crossJoin(spark.range(25)).withColumn("_seq", F.col("id")).drop("id")
+    assert sorted((r.page, r["count"], [j._seq for j in r.jobs]) for r in sinks.wrapped(many, 10).collect()) == [(0, 10, [*range(10)]), (1, 10, [*range(10, 20)]), (2, 5, [*range(20, 25)])]
+    sinks.save_wrapped(many, f"{tmp_path}/wrapped", source=F.lit("x"))
+    assert feeds.read_adverts(spark, f"{tmp_path}/wrapped/*.json").count() == 25
+    assert [r[0] for r in sinks.latest_first(spark.createDataFrame([("1",), ("3",), ("2",)], "`Date Added to Sheet` string")).collect()] == ["3", "2", "1"]
+
+
+def test_unreadable_tables_are_not_taken_for_missing_ones(spark, tmp_path):
+    (tmp_path / "sheet").mkdir()
+    (tmp_path / "sheet" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        sinks.existing(spark, f"{tmp_path}/sheet", R.SHEET_COLUMNS).count()
+    assert sinks.existing(spark, f"{tmp_path}/none", R.SHEET_COLUMNS).count() == 0 and pipeline.current_board(spark, f"{tmp_path}/none") is None
+
+
+def test_command_line(spark, tmp_path, capsys):
+    ad = lambda n: {"title": "Junior Java Developer", "company": f"C{n}", "job_url": f"https://x.example/{n}", "description_snippet": "d"}
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text(json.dumps({"jobs": [ad(f"{name}1"), ad(f"{name}2")]}))
+    feed = [f"--feed={name}={tmp_path}/{name}.json" for name in "ab"]
+    main = __import__("vacantia.__main__", fromlist=["main"]).main
+    assert main(["--today", "2026-08-22", "run", *feed, "--skip", "b", "--folder", f"{tmp_path}/out"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/out/screened/2026-08-22").count() == 2
+    assert main(["--today", "2026-08-22", "report", "--folder", f"{tmp_path}/out"]) == 0
+    said = capsys.readouterr().out
+    assert "# Level review" in said and "# Non-tech review" in said and "# Drops review" in said
+
+
+def test_company_pages(spark):
+    url = "https://za.linkedin.com/company/mind_drift-ai-77?x=1"
+    assert one(spark, feeds.company(F.lit("n/a"), F.col("u"), F.lit(""), source="network"), u=url) == "Mind Drift Ai"
+    assert one(spark, feeds.company(F.lit(""), F.col("u"), F.lit(""), source="search"), u=url) == ""
+    frame = spark.createDataFrame([("T", None, url)], "title string, company_name string, company_url string")
+    assert feeds.search_frame(frame, "network").first().company == "Mind Drift Ai"
+
+
+def test_skill_words_do_not_hide_matches(spark):
+    """Every spelling of every skill is found by itself, in any case that its pattern allows, as by its pattern alone."""
+    rows = [(i, s.name, t) for i, s in enumerate(S.DEFAULT) for t in S._terms(s)]
+    texts = spark.createDataFrame([(i, n, f"We code with {t}, and more") for i, n, t in rows] + [(i, n, f"code ({t.upper()})") for i, n, t in rows], "i int, name string, text string")
+    got = {(r.i, r.text): set(r.found) for r in texts.select("i", "text", S.matched(F.col("text")).alias("found")).collect()}
+    missed = [(n, t) for i, n, t in rows if n not in got[i, f"We code with {t}, and more"]]
+    alone = texts.select("i", "text", *(F.col("text").rlike("(?iU)" + S.pattern(s)).alias(str(k)) for k, s in enumerate(S.DEFAULT) if S.pattern(s) and not s.requires_context)).collect()
+    for row in alone:
+        want = {S.DEFAULT[int(k)].name for k, hit in row.asDict().items() if k.isdigit() and hit}
+        free = {s.name for s in S.DEFAULT if not s.requires_context}
+        assert got[row.i, row.text] & free == want
+    assert not missed
+
+
+def test_spans(spark):
+    from vacantia.functions.patterns import spans
+
+    found = lambda t: [(s.start, s.end, s.match) for s in one(spark, spans(F.col("t"), r"\d+"), t=t)]
+    assert found("a1 22b333") == [(1, 2, "1"), (3, 5, "22"), (6, 9, "333")] and found("none") == [] and found("") == [] and found("7") == [(0, 1, "7")]
 
 
 def test_entry_and_registry(spark):
