@@ -600,5 +600,26 @@ def test_pipeline_stages(spark, tmp_path, corpus):
     assert sum(r.length for r in pieces if r.doc_id == n - 1) < sum(r.length for r in pieces if r.doc_id == n - 2)
 
 
+def test_repeated_rows_long_texts_and_no_rows(spark):
+    """Row by row operators: a result for each row, equal ones for equal rows, whole long texts, no rows from no rows."""
+    long = " ".join(some_words(1, 150_000, 5000))
+    docs = documents(spark, [long, "a b c", "a b c", None, ""], ids=[1, 2, 2, 3, None])
+    bench = spark.createDataFrame([(5, " ".join(long.split()[-30:]))], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    operators = (quality.compression_bands, licenses.license_scan, lambda d: decontamination.contaminated(d, bench), lambda d: toxicity.toxicity(d, labels))
+    for f in operators:
+        rows = f(docs).collect()
+        assert sorted((r.doc_id for r in rows), key=str) == [1, 2, 2, 3, None] and len({str(r) for r in rows if r.doc_id == 2}) == 1
+        assert f(docs.limit(0)).count() == 0
+    assert quality.compression_bands(docs).where("doc_id = 1").first().n_words == licenses.license_scan(docs).where("doc_id = 1").first().n_words == 150_000
+    assert decontamination.contaminated(docs, bench).where("contaminated").first().doc_id == 1
+    url, html = "https://a.example.com/en/" + "x" * 300_000, "<p>" + long
+    pages = spark.createDataFrame([(1, url, html, "v"), (2, "u", "<p>a", "v"), (2, "u", "<p>a", "v"), (3, None, None, "v")], "page_id long, url string, html string, verdict string")
+    for f in (urls.judge_urls, rendering.render_pages):
+        rows = f(pages).collect()
+        assert sorted(r.page_id for r in rows) == [1, 2, 2, 3] and len({str(r) for r in rows if r.page_id == 2}) == 1 and f(pages.limit(0)).count() == 0
+    assert urls.judge_urls(pages).first().rule == "com/en/" and rendering.render_pages(pages).first().text == long
+
+
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES if k.startswith("op")) == list(range(1, 11))
