@@ -54,6 +54,7 @@ def through_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     with releasing_shuffles(spark):
         df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # many short queries: without it their plans fill the driver's heap up to its bound
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
     return out
