@@ -203,6 +203,7 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
     vocabulary = sorted({w for ws in split for w in ws})
     place = {w: i for i, w in enumerate(vocabulary)}
     docs = [np.fromiter((place[w] for w in ws), np.int64, len(ws)) for ws in split]
+    del split, place  # words of all texts as objects, not to be held while the network learns
     n_pos, n_neg = max(1.0, float(y.sum())), max(1.0, float(len(y) - y.sum()))
 
     def odds(pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
@@ -234,7 +235,7 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
         return int(starts[np.abs(starts + WINDOW // 2 - at).argmin()])
 
     def best_windows(some: list[int]) -> np.ndarray:
-        return np.concatenate([net.scores([texts[i] for i in some[a : a + 128]])[1] for a in range(0, len(some), 128)])
+        return np.concatenate([net.scores([texts[i] for i in some[a : a + 32]])[1] for a in range(0, len(some), 32)])
 
     r = np.random.Generator(np.random.PCG64(11))
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
