@@ -58,3 +58,53 @@ WITH u AS (SELECT page_id, {_LOWER.format("regexp_extract(url, '://([^/?#]*)', 1
 r AS (SELECT rule, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS p FROM (VALUES ('com/en/'), ('example.com/en/7'), ('net/de/'), ('example.net/de/8'), ('org/es/')) AS v(rule))
 SELECT page_id, host, path, (SELECT arg_max(rule, length(rule)) FROM r WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule FROM u
 """
+
+
+def _kmeans(k: int, rounds: int, size: int, scale: int, seed: int) -> str:
+    """The rounds of k-means, one behind the other; all distances of all vectors in each."""
+    steps = [
+        f"""
+p AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c, v FROM p ORDER BY c LIMIT {k})"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT i, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+  SELECT i, c, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(p.v, c{r}.v)]) AS d FROM p CROSS JOIN c{r}) GROUP BY i)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (SELECT c, list(m ORDER BY j) AS v FROM (
+  SELECT c, j, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+  FROM (SELECT c, unnest(v) AS x, unnest(range({size})) AS j FROM p JOIN a{r} USING (i)) GROUP BY c, j) GROUP BY c) m USING (c))""")
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM p JOIN a{rounds} USING (i) JOIN c{rounds} USING (c)
+"""
+
+
+OP11 = _kmeans(8, 10, 64, 1024, 3)
+
+OP12 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS ts, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+k AS (SELECT *, CAST(len(ts) AS BIGINT) AS n, [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) FOR i IN range(4)] AS hs FROM d),
+f AS (SELECT *, least(hs[1] % (n + 1), hs[2] % (n + 1)) AS a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR hs[3] % 100 >= 90 THEN 'plain' WHEN hs[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+s AS (SELECT *, array_to_string(ts[1 : a], '') AS prefix, array_to_string(ts[a + 1 : b], '') AS middle, array_to_string(ts[b + 1 :], '') AS suffix FROM f)
+SELECT doc_id, n, form, CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars, CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM s
+"""
+
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT k, i, md5(array_to_string(ws[i : i + 34], ' ')) AS h FROM (SELECT k, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+g AS (SELECT k, i FROM w QUALIFY count(*) OVER (PARTITION BY h) > 1),
+c AS (SELECT k, list(DISTINCT i + j) AS gone FROM g, range(35) AS t(j) GROUP BY k),
+r AS (SELECT d.k, doc_id, ws, coalesce(len(gone), 0) AS n_removed FROM d LEFT JOIN c USING (k)),
+l AS (SELECT k, string_agg(word, ' ' ORDER BY i) AS kept FROM (SELECT k, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d) u
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT k, i + j AS i FROM g, range(35) AS t(j)) x WHERE x.k = u.k AND x.i = u.i) GROUP BY k)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM r LEFT JOIN l USING (k)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, licenses, line_dedup, ngram_join, oracles, packing, quality, rendering, tool_calls, toxicity, urls
+from . import centroids, decontamination, fill_in_middle, licenses, line_dedup, ngram_join, oracles, packing, quality, recompression, rendering, tool_calls, toxicity, urls
 from .tables import table
 
 
@@ -49,6 +49,18 @@ def op10_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_drake_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")).drop("output")
+
+
+def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def quality_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op3 that SQL can express."""
     return op3_compression_bands(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -67,11 +79,15 @@ def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OPERATORS = (
     op1_gru_toxicity, op2_html_layout, op3_compression_bands, op4_hilbert_packing, op5_tool_calls,
     op6_spaced_seeds, op7_line_similarity, op8_license_notices, op9_url_model, op10_jaccard_regions,
+    op11_drake_bounds, op12_fill_in_middle, op13_recompression,
 )
 QUERIES = {f.__name__: f for f in (*_OPERATORS, quality_base_columns, license_base_columns, url_rules)}
 ORACLES: dict[str, str] = {
     "op5_tool_calls": oracles.OP5,
     "op7_line_similarity": oracles.OP7,
+    "op11_drake_bounds": oracles.OP11,
+    "op12_fill_in_middle": oracles.OP12,
+    "op13_recompression": oracles.OP13,
     "quality_base_columns": oracles.QUALITY_BASE,
     "license_base_columns": oracles.LICENSE_BASE,
     "url_rules": oracles.URL_RULES,

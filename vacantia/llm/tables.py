@@ -48,12 +48,12 @@ def batches_of(spark: SparkSession, rows: int) -> contextlib.AbstractContextMana
     return _setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def through_table(df: DataFrame, name: str) -> DataFrame:
+def through_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it: lineage ends here, and a lost executor costs no upstream work."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     with releasing_shuffles(spark):
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     spark.sparkContext._jvm.System.gc()  # many short queries: without it their plans fill the driver's heap up to its bound
     out = spark.read.schema(df.schema).parquet(path)
     out._written = path
