@@ -11,8 +11,8 @@ same symbols wherever the window stands.
    within; it is named by the digest of all their words. Blocks of one name are counted: all windows of a block that
    stands twice are repeated, verified at once however many they are. One of each name goes on.
 2. In each of these a window is known by a stretch of SYMBOLS symbols, the one with the smallest hash within its core on
-   the highest level that leaves so many. Neighbouring windows share it. Windows whose stretch stands in one place only
-   can't be repeated. Most end here, with few rows for each hundred words.
+   level LEVEL, or on the highest below it that leaves so many. Neighbouring windows share it. Windows whose stretch stands
+   in one place only can't be repeated. Most end here, with some ten rows for each hundred words.
 3. The digests of the words of the other windows are counted: these are repeated or not.
 
 Marks go back to the blocks and documents that hold them. A document of which all words go needs no text for that, so
@@ -39,7 +39,8 @@ from .tables import batches_of, discard, through_table
 WINDOW = 35
 #: Rounds until a symbol is a block: each leaves some three quarters of the symbols of the last.
 BLOCK_ROUNDS = 16
-SYMBOLS = 3
+#: A stretch: some ten words of prose, shared by some ten windows.
+SYMBOLS, LEVEL = 4, 3
 _SLICE, _FLUSH = 256, 1 << 23
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -144,7 +145,7 @@ def stretches(level: Level, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     while len(window):
         above = level.compressed()
         up, up_end = level.core(begin, end)
-        stays = up_end - up < SYMBOLS
+        stays = (up_end - up < SYMBOLS) | (level.number == LEVEL)
         if stays.any():
             hashes = W.mix(W.ngram_hashes(level.names, SYMBOLS) + np.uint64(level.number))
             at = _least(hashes, begin[stays], end[stays] - SYMBOLS + 1)
@@ -189,18 +190,17 @@ def _blocks(with_words: bool) -> Callable:
 
 
 def _known_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of windows of blocks (block, name, start, words): neighbouring windows of one stretch make one row.
+    """Stretches of windows of blocks (id, name, start, words): neighbouring windows of one stretch make one row.
 
     ``place`` is a hash of the document and of the word at which the stretch begins.
     """
     for whole in batches:
         for at in range(0, whole.num_rows, 4 * _SLICE):
             batch = whole.slice(at, 4 * _SLICE)
-            blocks, names, starts, parts = (batch.column(i).to_pylist() for i in range(4))
+            names, starts, parts = (batch.column(i).to_pylist() for i in range(1, 4))
             level, bounds = _words(parts)
-            n = np.diff(bounds) - WINDOW + 1
-            of = np.repeat(np.arange(len(parts)), n)
-            begin = np.arange(len(of)) + (of * (WINDOW - 1))
+            of = np.repeat(np.arange(len(parts)), np.diff(bounds) - WINDOW + 1)
+            begin = np.arange(len(of)) + of * (WINDOW - 1)
             stretch, place = stretches(level, begin)
             document = np.array([int.from_bytes(x[:8], "little") for x in names], np.uint64)[of]
             place = W.mix(document + W.mix((place - bounds[of] + np.array(starts)[of]).astype(np.uint64)))
@@ -209,29 +209,26 @@ def _known_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lows = np.flatnonzero(fresh)
             highs = np.append(lows[1:], len(of))
             base = bounds[of[lows]] - of[lows] * (WINDOW - 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([blocks[i] for i in of[lows]], pa.binary()), pa.array((lows - base).astype(np.int32)), pa.array((highs - base).astype(np.int32)),
-                    pa.array(stretch[lows].astype(np.int64)), pa.array(place[lows].astype(np.int64)),
-                ],
-                ["block", "low", "high", "stretch", "place"],
-            )
+            columns = [(lows - base).astype(np.int32), (highs - base).astype(np.int32), stretch[lows].astype(np.int64), place[lows].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of[lows])), *map(pa.array, columns)], ["id", "low", "high", "stretch", "place"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, block, place in it) of the windows in the ranges of a block."""
+    """Digests of the windows in the ranges of blocks (id, words, ranges), and their places in it."""
     for whole in batches:
         for k in range(0, whole.num_rows, _SLICE):
             batch = whole.slice(k, _SLICE)
-            out: tuple[list, ...] = ([], [], [])
+            digests, ids, places = bytearray(), [], []
             for block, data, ranges in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 starts = word_starts(data).tolist()
                 for r in ranges:
                     for at in range(r["low"], r["high"]):
-                        out[0].append(name_of(data[starts[at] : starts[at + WINDOW] - 1]))
-                        out[1].append(block)
-                        out[2].append(at)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.binary(), pa.binary(), pa.int32()))], ["digest", "block", "at"])
+                        digests += name_of(data[starts[at] : starts[at + WINDOW] - 1])
+                    ids += [block] * (r["high"] - r["low"])
+                    places += range(r["low"], r["high"])
+            halves = np.frombuffer(bytes(digests), np.int64).reshape(-1, 2)
+            columns = (np.ascontiguousarray(halves[:, 0]), np.ascontiguousarray(halves[:, 1]), np.array(ids, np.int64), np.array(places, np.int32))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["one", "two", "id", "at"])
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,20 +271,23 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     text = docs.select(F.col("text").cast("string").alias("text"))
     described = "name binary, start int, stop int, block binary, words binary"
     one_of_each = text.mapInArrow(_blocks(True), described).groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("name", "start")).alias("at"), F.first("words").alias("words"))
-    blocks = through_table(one_of_each.select("block", "n", "at.name", "at.start", "words"), "blocks", "zstd")
-    known = through_table(blocks.select("block", "name", "start", "words").mapInArrow(_known_by, "block binary, low int, high int, stretch long, place long"), "stretches")
-    again = known.groupBy("stretch").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b").select("stretch")
-    ranges = known.join(again, "stretch").groupBy("block").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))  # of one block's windows
-    windows = through_table(blocks.select("block", "words").join(ranges, "block").mapInArrow(_digests, "digest binary, block binary, at int"), "windows")
-    repeated = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    single = windows.join(repeated, "digest").groupBy("block").agg(F.collect_list("at").alias("at"))  # of one block
-    of_blocks = blocks.select("block", (F.col("n") > 1).alias("whole")).join(single, "block", "left").where("whole or at is not null")
+    blocks = through_table(one_of_each.select(F.monotonically_increasing_id().alias("id"), "block", "n", "at.name", "at.start", "words"), "blocks", "zstd")
+    known = through_table(blocks.select("id", "name", "start", "words").mapInArrow(_known_by, "id long, low int, high int, stretch long, place long"), "stretches")
+    again = through_table(known.groupBy("stretch").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b").select("stretch"), "again")
+    met = known.select("id", "low", "high", "stretch").join(again, "stretch")
+    ranges = through_table(met.groupBy("id").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "ranges")  # of one block's windows
+    discard(known, again)
+    windows = through_table(blocks.select("id", "words").join(ranges, "id").mapInArrow(_digests, "one long, two long, id long, at int"), "windows")
+    repeated = through_table(windows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("one", "two"), "repeated")
+    single = windows.join(repeated, ["one", "two"]).groupBy("id").agg(F.collect_list("at").alias("at"))  # of one block
+    of_blocks = blocks.select("id", "block", (F.col("n") > 1).alias("whole")).join(single, "id", "left").where("whole or at is not null")
     marks = through_table(of_blocks.select("block", "whole", F.when(~F.col("whole"), F.col("at")).alias("at")), "marks")
+    discard(blocks, ranges, windows, repeated)
     places = text.mapInArrow(_blocks(False), described).select("name", "start", "stop", "block").distinct()
     marked = places.join(marks, "block").select("name", F.struct("start", "stop", "whole", "at").alias("span"))
     count = F.sum(F.expr("if(span.whole, span.stop - span.start, size(span.at))"))
     out = through_table(marked.groupBy("name").agg(F.collect_list("span").alias("spans"), count.alias("n_windows")), "spans")  # of one text's blocks
-    discard(blocks, known, windows, marks)
+    discard(marks)
     return out
 
 
