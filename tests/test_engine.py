@@ -10,7 +10,7 @@ import __spark_entry__
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
 from vacantia.functions import text as T
-from vacantia.operators import board, dedupe, enrich, extract, quality, screen, search
+from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
 from vacantia.plans import pipeline, registry
 from vacantia.sources import feeds, html, sinks
 from vacantia.streaming import daily
@@ -80,16 +80,38 @@ def test_screens(spark):
     assert rows[6].excluded_reason == "asks for 4+ years (from feed: '4 years')" and rows[0].excluded_rule == "role_label:developer"
 
 
+def matches(spark, texts):
+    df = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "i int, text string, word string")
+    return [r.skills for r in S.with_matches(df, F.col("text")).orderBy("i").collect()]
+
+
 def test_skills(spark):
-    hay = ["Junior JS Developer \n React and Node experience", "rest and it", "REST and SQL", "Swift responses", "Swift engineer", "Golang, not go", "C#, .NET and CI/CD", "JavaScript is not Java", "react-native react native"]
-    assert each(spark, hay, "string", S.matched) == [["JavaScript", "React", "Node.js"], [], ["SQL", "REST APIs"], [], ["Swift"], ["Go"], ["C#", ".NET", "CI/CD"], ["JavaScript", "Java"], ["React", "React Native"]]
-    assert each(spark, ["JS, reactjs, Node, Underwater Basket Weaving", "python.; ,PYTHON", None], "string", S.canonical_string) == ["JavaScript, React, Node.js", "Python", ""]
+    hay = {
+        "Junior JS Developer \n React and Node experience, REST APIs, Postgres": ["JavaScript", "React", "REST APIs", "SQL (MySQL/Postgres)", "Node.js"],
+        "We are hiring across the rest of the team this quarter": [], "You'll go the extra mile": [], "We use go-getters who close deals fast": [],
+        "Strong JS skills required": ["JavaScript"], "js is sometimes used informally": [], "C# / .NET Developer": ["C#/.NET"], "CI/CD pipelines": ["CI/CD"], "Built with Node.js": ["Node.js"],
+        "Strong JavaScript skills required": ["JavaScript"], "We build our API in Go for the backend": [], "Golang Developer": ["Go"], "Taylor Swift is playing this weekend": [],
+        "You will build apps in Swift with UIKit experience": ["Swift"], "react-native react \u00a0- native": ["React", "React Native"], ".NET": ["C#/.NET"], "x.NET C++11 Java2": [], "T-SQL": ["SQL (MySQL/Postgres)"],
+        "T - SQL": ["SQL (MySQL/Postgres)"], "Objective-C code": ["Swift"], "Objective C code": [], "": [], "A" * 500 + " Java": ["Java"],
+    }
+    want = {t: sorted(n, key=[s.name for s in S.DEFAULT].index) for t, n in hay.items()}
+    assert dict(zip(hay, matches(spark, list(hay)))) == want
+    assert matches(spark, [None, "Java", "Java"]) == [[], ["Java"], ["Java"]] and matches(spark, []) == []
+    assert each(spark, ["JS, reactjs, Node, Underwater Basket Weaving", "python.; ,PYTHON", None, "Node.js.", " , "], "string", S.canonical_string) == ["JavaScript, React, Node.js", "Python", "", "Node.js", ""]
+    assert each(spark, ["Python, Django, PostgreSQL", "Mongo, GCP, Advanced Excel, SQL (MySQL/Postgres)"], "string", S.canonical_string) == ["Python, SQL (MySQL/Postgres), Django", "SQL (MySQL/Postgres), MongoDB/NoSQL, Google Cloud (GCP), Excel (Advanced)"]
+
 
+def test_vocabulary_is_a_parameter(spark):
+    own = (S.Skill("Rock - n - Roll", requires_context=True), S.Skill("Ox", aliases=("..ox yoke",)), S.Skill("Odd (x)"))
+    df = spark.createDataFrame([(0, "rock - n - roll code"), (1, "rock-n-roll, the music"), (2, "an ..OX-yoke"), (3, "a..ox yoke"), (4, "ox")], "i int, t string")
+    assert [r.found for r in S.with_matches(df, F.col("t"), "found", own).orderBy("i").collect()] == [["Rock - n - Roll"], [], ["Ox"], ["Ox"], ["Ox"]]
+    assert [r.found for r in S.with_matches(df, F.col("t"), "found", ()).orderBy("i").collect()] == [[]] * 5
 
-def test_default_vocabulary_covers_the_reference(spark):
-    hay = ["Terraform and Selenium", "Spring Boot, Ruby on Rails", "MongoDB", "Postgres and ASP.NET Core", "go to market"]
-    assert each(spark, hay, "string", S.matched) == [["Terraform", "Selenium"], ["Spring Boot", "Ruby on Rails"], ["MongoDB/NoSQL"], ["SQL", ".NET"], []]
-    assert each(spark, ["Mongo, GCP, Advanced Excel, SQL (MySQL/Postgres)"], "string", S.canonical_string) == ["SQL, Excel, MongoDB/NoSQL, Google Cloud (GCP)"]
+
+def test_plan_does_not_grow_with_the_vocabulary(spark):
+    df = spark.createDataFrame([("x",)], "t string")
+    size = lambda n: len(S.with_matches(df, F.col("t"), vocabulary=tuple(S.Skill(f"s{i}") for i in range(n)))._jdf.queryExecution().analyzed().toString())
+    assert size(900) <= size(10) + 50
 
 
 def ads(spark, rows):
@@ -264,7 +286,7 @@ def test_skill_words_do_not_hide_matches(spark):
     """Every spelling of every skill is found by itself, in any case that its pattern allows, as by its pattern alone."""
     rows = [(i, s.name, t) for i, s in enumerate(S.DEFAULT) for t in S._terms(s)]
     texts = spark.createDataFrame([(i, n, f"We code with {t}, and more") for i, n, t in rows] + [(i, n, f"code ({t.upper()})") for i, n, t in rows], "i int, name string, text string")
-    got = {(r.i, r.text): set(r.found) for r in texts.select("i", "text", S.matched(F.col("text")).alias("found")).collect()}
+    got = {(r.i, r.text): set(r.found) for r in S.with_matches(texts.select("i", "text"), F.col("text"), "found").collect()}
     missed = [(n, t) for i, n, t in rows if n not in got[i, f"We code with {t}, and more"]]
     alone = texts.select("i", "text", *(F.col("text").rlike("(?iU)" + S.pattern(s)).alias(str(k)) for k, s in enumerate(S.DEFAULT) if S.pattern(s) and not s.requires_context)).collect()
     for row in alone:
@@ -274,6 +296,25 @@ def test_skill_words_do_not_hide_matches(spark):
     assert not missed
 
 
+def test_days_of_duplicates(spark):
+    """Days one behind the other leave what one run over all of them leaves, whatever comes again on which day."""
+    import random
+
+    r = random.Random(5)
+    rows = [(r.choice(["Dev", "Dev ", "QA", ""]), r.choice(["Acme", "Acme Ltd", "Blue", ""]), r.choice(["Cape Town", "Durban"]), (LONG * r.choice([0, 1, 1, 2])) + r.choice(["", "x", "y"]), r.choice(["", "", "u1", "u2", "u3", "u4 "]), r.choice(["2026-08-01", "2026-08-02", ""])) for _ in range(160)]
+    cols = "_seq long, title string, company string, city string, location string, description_snippet string, job_url string, date_posted string"
+    df = spark.createDataFrame([(i, t, c, p, p, d, u, day) for i, (t, c, p, d, u, day) in enumerate(rows)], cols)
+    whole = {tuple(x) for x in dedupe.left_of(df).select("_from", "_seq", "again").collect()}
+    for cuts in ((0, 50, 50, 160), (0, 1, 159, 160)):
+        kept = None
+        for low, high in zip(cuts, cuts[1:]):
+            kept = history.fed(kept, df.where(f"_seq >= {low} and _seq < {high}"))
+        assert {tuple(x) for x in history.left(kept).collect()} == whole
+    n = dedupe.counts(df).first()
+    assert n.input == 160 and n.output == len(whole) == n.input - n.by_url - n.by_title_company_city - n.by_same_advert_text
+    assert n.input - n.by_url == dedupe.first_by_url(df).count()
+
+
 def test_spans(spark):
     from vacantia.functions.patterns import spans
 

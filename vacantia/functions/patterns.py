@@ -23,12 +23,12 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def spans(c: Column, pattern: str) -> Column:
+def spans(c: Column, pattern: str | Column) -> Column:
     """array<struct<start, end, match>> of all matches, left to right, 0-based; for patterns that never match nothing.
 
     A match starts where the match before it ends, and the gap between them.
     """
-    found, gaps = F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
+    found, gaps = F.regexp_extract_all(c, pattern if isinstance(pattern, Column) else F.lit(pattern), F.lit(0)), F.split(c, pattern, -1)
     none = F.struct(F.lit(0).alias("at"), F.lit(None).cast("array<struct<start:int,end:int,match:string>>").alias("spans"))
 
     def further(so_far: Column, x: Column) -> Column:

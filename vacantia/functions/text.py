@@ -62,7 +62,8 @@ def as_date(c: Column) -> Column:
 
 
 def normalise(c: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(F.lower(text(c)), r"(?U)[^\w\s]", " "), r"(?U)\s+", " "))
+    """Lower case; whatever is no letter, digit or underscore becomes one space, and none stands at an end."""
+    return F.trim(F.regexp_replace(F.lower(text(c)), r"(?U)\W+", " "))
 
 
 def normalise_title(c: Column) -> Column:

@@ -105,8 +105,15 @@ def with_roles(ads: DataFrame) -> DataFrame:
 
 
 def with_keyword_skills(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT) -> DataFrame:
-    found = S.canonical(F.concat(split_list(F.col("must_have_skills")), S.matched(S.haystack("title", "description_snippet"), vocabulary)), vocabulary)
-    return ads.withColumn("_s", found).withColumns({"must_have_skills": F.array_join("_s", ", "), "skills_source": F.when(F.size("_s") > 0, "keyword").otherwise(""), "needs_ai_skills": F.size("_s") < R.FEWEST_SKILLS}).drop("_s")
+    """The feed's own skills and those that title and description name. ``ads`` is read twice (``skills.with_matches``)."""
+    matched = S.with_matches(ads, S.haystack("title", "description_snippet"), "_matched", vocabulary)
+    found = S.canonical(F.concat(split_list(F.col("must_have_skills")), F.col("_matched")), vocabulary)
+    out = matched.withColumn("_s", found).withColumns({
+        "must_have_skills": F.array_join("_s", ", "),
+        "skills_source": F.when(F.size("_s") > 0, "keyword").otherwise(""),
+        "needs_ai_skills": F.size("_s") < R.FEWEST_SKILLS,
+    })
+    return out.drop("_s", "_matched")
 
 
 def with_official_skills(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT) -> DataFrame:

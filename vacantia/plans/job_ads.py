@@ -22,10 +22,10 @@ AI_LEVELS = ("", "Junior", "Senior", "mid-level", "intern", "wizard", "Team Lead
 #: (phrase, years that it asks for, level that it names, skills in it)
 PHRASES = (
     ("We need at least 3 years' experience in Java.", 3, "", "Java"),
-    ("2-4 years of experience required with Python and SQL.", 2, "", "Python, SQL"),
+    ("2-4 years of experience required with Python and SQL.", 2, "", "Python, SQL (MySQL/Postgres)"),
     ("Join us on a 3 year contract.", None, "", ""),
     ("With over 100 years of rich history we hire a junior developer.", None, "junior", ""),
-    ("Minimum of five years working with C# and .NET.", 5, "", "C#, .NET"),
+    ("Minimum of five years working with C# and .NET.", 5, "", "C#/.NET"),
     ("A graduate programme for people who love React, JS and Node.js.", None, "entry level", "JavaScript, React, Node.js"),
     ("Three (3) years commercial experience; Docker and K8s a plus.", 3, "", "Docker, Kubernetes"),
     ("1 year experience. You will rest and it will go well.", 1, "", ""),

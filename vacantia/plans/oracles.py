@@ -20,9 +20,13 @@ _COMPANY_KEY = {"Acme (Pty) Ltd": "acme", "Blue Group": "blue", "Nova Holdings":
 _CITY = "lower(CASE WHEN city <> '' THEN city ELSE split_part(location, ',', 1) END)"
 
 
-SKILLS = ("JavaScript", "Python", "Java", "C#", "Go", "Swift", "SQL", "HTML/CSS", "React", "Node.js", ".NET", "Flutter", "iOS", "Docker", "Kubernetes", "Git", "REST APIs", "Power BI", "Excel", "Communication", "Business Analysis", "SOC Operations", "Data Analysis", "Machine Learning", "Salesforce")
-_TITLE_SKILLS = {"Senior Java Developer": "Java", "Graduate Data Analyst": "Data Analysis", "Business Analyst": "Business Analysis", "SOC Analyst": "SOC Operations", "Salesforce Developer": "Salesforce", "Machine Learning Engineer": "Machine Learning", "Flutter Developer - Cape Town": "Flutter", "Intermediate C# Developer": "C#", "Power BI Developer": "Power BI"}
-_FEED = {"JS, reactjs": "JavaScript, React", "python,  SQL ": "Python, SQL", "REST API;": "REST APIs", "Excel": "Excel"}
+#: The skills that phrases, titles and feeds name, in the vocabulary's order.
+SKILLS = (
+    "JavaScript", "HTML/CSS", "React", "Git", "REST APIs", "Python", "SQL (MySQL/Postgres)", "C#/.NET", "Node.js", "Java", "Docker", "Kubernetes", "Go", "Flutter", "Swift", "iOS",
+    "Business Analysis", "Power BI", "SOC Operations", "Data Analysis", "Machine Learning", "Communication", "Salesforce",
+)
+_TITLE_SKILLS = {"Senior Java Developer": "Java", "Graduate Data Analyst": "Data Analysis", "Business Analyst": "Business Analysis", "SOC Analyst": "SOC Operations", "Salesforce Developer": "Salesforce", "Machine Learning Engineer": "Machine Learning", "Flutter Developer - Cape Town": "Flutter", "Intermediate C# Developer": "C#/.NET", "Power BI Developer": "Power BI"}
+_FEED = {"JS, reactjs": "JavaScript, React", "python,  SQL ": "Python, SQL (MySQL/Postgres)", "REST API;": "REST APIs"}
 _TITLE_LEVEL = {"Junior Software Developer": "junior", "Senior Java Developer": "senior", "Graduate Data Analyst": "entry level", "Intermediate C# Developer": "mid", "Team Lead: Mobile Developer": "lead", "Principal Architect": "senior", "Learnership 2026": "entry level", "URGENT Junior Developer Ref: ABC123": "junior", "Trainee Programmer": "entry level", "Mid-level Backend Developer": "mid"}
 _TITLE_WORD = {"Junior Software Developer": "Junior", "Senior Java Developer": "Senior", "Graduate Data Analyst": "Graduate", "Intermediate C# Developer": "Intermediate", "Team Lead: Mobile Developer": "Lead", "Principal Architect": "Architect", "Learnership 2026": "Learnership", "URGENT Junior Developer Ref: ABC123": "Junior", "Trainee Programmer": "Trainee", "Mid-level Backend Developer": "Mid-level"}
 _S, _A = "Software development", "Business Analysis & Low-code (Power Platform)"

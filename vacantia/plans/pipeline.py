@@ -17,7 +17,8 @@ from vacantia.sources import sinks
 def labelled(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT, provider: enrich.Provider | None = None) -> DataFrame:
     """Deduplicated, then skills, enrichment, years, levels (which read years), roles, and official skill names."""
     missing = {c: F.lit("") for c in enrich.FIELDS if c not in ads.columns}  # feeds have no blurb; only enrichment writes one
-    found = extract.with_keyword_skills(dedupe.deduplicate(ads.withColumns(missing) if missing else ads), vocabulary)
+    unique = materialised(dedupe.deduplicate(ads.withColumns(missing) if missing else ads))
+    found = extract.with_keyword_skills(unique, vocabulary)
     found = enrich.enrich(found, provider)
     return extract.with_official_skills(extract.with_roles(extract.with_levels(extract.with_years(found))), vocabulary)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
 from vacantia.functions import text as T
-from vacantia.operators import board, dedupe, enrich, extract, quality, screen, search
+from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
 from vacantia.sources import feeds, html, sinks
 
 from .job_ads import TODAY, adverts
@@ -73,6 +73,18 @@ def dedupe_advert_text(spark, sf):
     return dedupe.deduplicate(adverts(spark, sf)).select("_seq", "doc_id", "duplicate_count")
 
 
+@query(q("SELECT _seq, doc_id, CAST(duplicate_count AS BIGINT) AS duplicate_count FROM d3"))
+def dedupe_days(spark, sf):
+    """Three days fed one behind the other, each against what is kept of those before: as one run over all of them."""
+    ads = adverts(spark, sf)
+    last = ads.agg(F.max("_seq")).first()[0] or 0
+    kept = None
+    for day in range(3):
+        kept = history.fed(kept, ads.where(f"_seq > {last * day // 3 if day else -1} and _seq <= {last * (day + 1) // 3}"))
+        kept = history.History(*map(materialised, kept))
+    return dedupe.whole_rows(ads, history.left(kept)).select("_seq", "doc_id", "duplicate_count")
+
+
 @query(q("SELECT a AS input, a - b AS by_url, b - c AS by_title_company_city, c - d AS by_same_advert_text, d AS output, a - d AS removed FROM (SELECT (SELECT count(*) FROM n) AS a, (SELECT count(*) FROM d1) AS b, (SELECT count(*) FROM d2) AS c, (SELECT count(*) FROM d3) AS d)"))
 def dedupe_counts(spark, sf):
     return dedupe.counts(adverts(spark, sf))
@@ -165,10 +177,10 @@ def tier_counts(spark, sf):
 
 @query(q("SELECT doc_id, must_have_skills, CASE WHEN must_have_skills <> '' THEN 'keyword' ELSE '' END AS skills_source, len(skills) < 3 AS needs_ai_skills FROM v"))
 def skills_matched(spark, sf):
-    return extract.with_keyword_skills(dedupe.deduplicate(adverts(spark, sf))).select("doc_id", "must_have_skills", "skills_source", "needs_ai_skills")
+    return extract.with_keyword_skills(materialised(dedupe.deduplicate(adverts(spark, sf)))).select("doc_id", "must_have_skills", "skills_source", "needs_ai_skills")
 
 
-@query(q("SELECT doc_id, CASE nice_to_have_skills WHEN 'docker, Excel' THEN 'Docker, Excel' ELSE nice_to_have_skills END AS nice, CASE must_have_skills WHEN 'JS, reactjs' THEN 'JavaScript, React' WHEN 'python,  SQL ' THEN 'Python, SQL' WHEN 'REST API;' THEN 'REST APIs' WHEN 'Excel' THEN 'Excel' ELSE '' END AS must FROM n"))
+@query(q("SELECT doc_id, CASE nice_to_have_skills WHEN 'docker, Excel' THEN 'Docker' ELSE nice_to_have_skills END AS nice, CASE must_have_skills WHEN 'JS, reactjs' THEN 'JavaScript, React' WHEN 'python,  SQL ' THEN 'Python, SQL (MySQL/Postgres)' WHEN 'REST API;' THEN 'REST APIs' ELSE '' END AS must FROM n"))
 def skills_canonical(spark, sf):
     return adverts(spark, sf).select("doc_id", S.canonical_string(F.col("nice_to_have_skills")).alias("nice"), S.canonical_string(F.col("must_have_skills")).alias("must"))
 
@@ -216,7 +228,7 @@ _PAID = "SELECT *, CAST(nullif(salary_min, 0) AS BIGINT) AS lo, CAST(nullif(sala
 
 
 @query(q(f"""SELECT '2026-08-22 00:00:00' AS "Date Added to Sheet", date_posted AS "Date Job Posted", title AS "Job Title", company AS "Company", primary_role AS "Role Category", location AS "Location", {_CASE.format('workplace_policy')} AS "Work Policy",
-  CASE WHEN must_have_skills = '' THEN '' ELSE '• ' || replace(must_have_skills, ', ', chr(10) || '• ') END AS "Required Skills", CASE nice_to_have_skills WHEN '' THEN '' WHEN 'docker, Excel' THEN '• Docker' || chr(10) || '• Excel' ELSE '• ' || nice_to_have_skills END AS "Nice-to-Have Skills",
+  CASE WHEN must_have_skills = '' THEN '' ELSE '• ' || replace(must_have_skills, ', ', chr(10) || '• ') END AS "Required Skills", CASE nice_to_have_skills WHEN '' THEN '' WHEN 'docker, Excel' THEN '• Docker' ELSE '• ' || nice_to_have_skills END AS "Nice-to-Have Skills",
   coalesce(CAST(years AS VARCHAR), '') AS "Years Exp", {_CASE.format('job_level')} AS "Level", {_CASE.format('employment_type')} AS "Type", {_PAY} AS "Salary", blurb AS "Summary", {_CASE.format('source')} AS "Source", job_url AS "Apply Link" FROM ({_PAID} fin WHERE kept)"""))
 def sheet_rows(spark, sf):
     return sinks.sheet_rows(_screened(spark, sf).where("kept"), f"{TODAY} 00:00:00")
@@ -235,7 +247,7 @@ def sheet_new_rows(spark, sf):
     return sinks.new_rows(dedupe.deduplicate(ads), sheet).select("_seq")
 
 
-@query(q("SELECT doc_id FROM fin WHERE role_type IN ('Software development', 'Mobile') AND job_level IN ('junior', 'unknown') AND workplace_policy IN ('remote', '') AND list_has_any(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker', 'Excel'] ELSE [nice_to_have_skills] END), ['Java', 'Docker', 'JavaScript', 'Git']) AND (years IS NULL OR years <= 3)"))
+@query(q("SELECT doc_id FROM fin WHERE role_type IN ('Software development', 'Mobile') AND job_level IN ('junior', 'unknown') AND workplace_policy IN ('remote', '') AND list_has_any(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker'] ELSE [nice_to_have_skills] END), ['Java', 'Docker', 'JavaScript', 'Git']) AND (years IS NULL OR years <= 3)"))
 def filter_jobs(spark, sf):
     f = search.Filters(role_types=("Software development", "Mobile"), levels=("junior", "unknown"), work_policies=("remote", ""), skills=("Java", "Docker", "JavaScript", "Git"), max_years=3)
     return search.filter_jobs(_screened(spark, sf), f).select("doc_id")
@@ -256,14 +268,14 @@ def facets_offered(spark, sf):
     return search.offered(search.facet_values(_screened(spark, sf))).where("facet in ('job_level', 'source')")
 
 
-@query(q("SELECT skill, count(*) AS n FROM (SELECT unnest(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker', 'Excel'] ELSE [nice_to_have_skills] END)) AS skill FROM fin) WHERE skill <> 'Communication' GROUP BY ALL"))
+@query(q("SELECT skill, count(*) AS n FROM (SELECT unnest(list_concat(skills, CASE nice_to_have_skills WHEN '' THEN [] WHEN 'docker, Excel' THEN ['Docker'] ELSE [nice_to_have_skills] END)) AS skill FROM fin) WHERE skill <> 'Communication' GROUP BY ALL"))
 def facet_skills_ranked(spark, sf):
     return search.facet_skills(_screened(spark, sf), R.SOFT_SKILLS).select("skill", "n")
 
 
-@query(q("SELECT doc_id, array_to_string(list_filter(['Python', 'Java', 'SQL'], lambda x: list_contains(skills, x)), ', ') AS overlap, CASE WHEN years IS NOT NULL THEN 'years' WHEN level_source = 'title' THEN 'title-only' ELSE 'unstated' END AS evidence FROM fin WHERE role_type IN ('Software development', 'Data & BI') AND (years IS NULL OR years <= 3)"))
+@query(q("SELECT doc_id, array_to_string(list_filter(['Python', 'Java', 'SQL (MySQL/Postgres)'], lambda x: list_contains(skills, x)), ', ') AS overlap, CASE WHEN years IS NOT NULL THEN 'years' WHEN level_source = 'title' THEN 'title-only' ELSE 'unstated' END AS evidence FROM fin WHERE role_type IN ('Software development', 'Data & BI') AND (years IS NULL OR years <= 3)"))
 def match_ranked(spark, sf):
-    found = search.search(_screened(spark, sf), search.Criteria(role_types=("Software development", "Data & BI"), levels=("entry level", "junior"), skills=("Python", "Java", "SQL")))
+    found = search.search(_screened(spark, sf), search.Criteria(role_types=("Software development", "Data & BI"), levels=("entry level", "junior"), skills=("Python", "Java", "SQL (MySQL/Postgres)")))
     return found.select("doc_id", F.array_join("overlap", ", ").alias("overlap"), "evidence")
 
 
