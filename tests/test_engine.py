@@ -12,7 +12,7 @@ from vacantia.functions import skills as S
 from vacantia.functions import text as T
 from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
 from vacantia.plans import pipeline, registry
-from vacantia.sources import feeds, html, sinks
+from vacantia.sources import cards, feeds, html, listing, quarantine, sinks
 from vacantia.streaming import daily
 
 AD = "_seq long, title string, company string, city string, location string, job_url string, description_snippet string, date_posted string, date_added string"
@@ -185,12 +185,108 @@ def test_feeds(spark, tmp_path):
     assert ids == sorted(set(ids))
 
 
-def test_html(spark):
-    listing = '<div class="job-card"><a href="/jobs/1">Junior Developer</a><div>Acme</div><p>Cape Town, remote</p><p>' + "long text " * 12 + '</p><span>3 days ago</span> Full Time</div><div class="job-card"><a href="/jobs/2">Tester</a></div>'
-    cards = html.parse_cards(spark.createDataFrame([(1, listing), (2, None), (3, "<a href='/job-9'>Nine</a> x")], "page_id long, html string"))
-    got = {(r.page_id, r.place): r for r in html.card_adverts(cards, F.to_date(F.lit("2026-08-22"))).collect()}
-    assert (got[1, 0].title, got[1, 0].company, got[1, 0].city, got[1, 0].date_posted, got[1, 0].workplace_policy, got[1, 0].employment_type) == ("Junior Developer", "Acme", "Cape Town", "2026-08-19", "remote", "full time")
-    assert got[1, 1].title == "Tester" and got[3, 0].title == "Nine" and len(got) == 3 and got[1, 0].description_snippet.startswith("long text")
+LISTING = """<html><body>
+<div class="listing"><a href="/jobs--Software-Engineer-CapeTown--123-inline.html">Software Engineer</a><div class="job-details"><img alt="Acme Corp" src="logo.png"/>
+ <div class="location">Cape Town, South Africa</div><div>We are looking for a software engineer...</div><div class="posted">2 days ago</div><div>Full time, Permanent</div><div>fully remote</div></div></div>
+<div class="listing"><a href="/jobs--Data-Scientist-Johannesburg--456-inline.html">Data Scientist</a><div class="job-details"><img alt="DataCorp" src="logo2.png"/>
+ <div>Johannesburg, Gauteng</div><div>Data science role with Python...</div><div>1 week ago</div><div>Contract</div><div>hybrid</div></div></div></body></html>"""
+
+
+def test_cards(spark):
+    long = "long text " * 60
+    pages = {
+        1: LISTING, 2: None, 3: "", 4: "<div>No results found</div>",
+        5: f'<article class="jobs"><a href="/jobs--x--9">More</a><img alt=" Acme "><h2>Junior <b>Dev</b></h2><p>{long}</p>Work from home, part-time<script>contract</script></article>',
+        6: '<section><a href="https://a.example/jobs--y--7-inline.html">Tester<br>Easy apply<br>Blue Ltd<br>fixed term</a></b></section><a href="https://a.example/jobs--y--7-inline.html">again</a>',
+        7: '<div class="my listing"><p><a href="/jobs--z">Only<br>this</a></p>Outside</div><div><a href="/jobs--no">no</a></div>',
+        8: '<a href="/jobs--q--1-inline.html"><img alt=""></a>',
+    }
+    facts = cards.card_facts(spark.createDataFrame(list(pages.items()), "page_id long, html string"))
+    got = {(r.page_id, r.place): r for r in cards.cards(facts, F.to_date(F.lit("2026-08-22")), "https://b.example").collect()}
+    show = {k: (r.title, r.company, r.city, r.date_posted, r.workplace_policy, r.employment_type, r.job_url) for k, r in got.items()}
+    assert show == {
+        (1, 0): ("Software Engineer", "Acme Corp", "Cape Town", "2026-08-20", "remote", "fulltime", "https://b.example/jobs--Software-Engineer-CapeTown--123-inline.html"),
+        (1, 1): ("Data Scientist", "DataCorp", "Johannesburg", "2026-08-15", "hybrid", "contract", "https://b.example/jobs--Data-Scientist-Johannesburg--456-inline.html"),
+        (5, 0): ("JuniorDev", "Acme", "", "", "remote", "parttime", "https://b.example/jobs--x--9"),
+        (6, 0): ("Tester", "Blue Ltd", "", "", "", "contract", "https://a.example/jobs--y--7-inline.html"),
+        (7, 0): ("Only", "this", "", "", "", "", "https://b.example/jobs--z"),
+    }
+    assert got[5, 0].description_snippet == long[:500].strip() and got[1, 0].is_remote and not got[1, 1].is_remote
+    assert cards.card_facts(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_trees_take_time_in_proportion():
+    import time
+
+    for html_ in ("<div>" * 60_000 + "x", "<a href='/jobs--a--1-inline.html'>" * 20_000 + "</b>" * 20_000 + "x", "<b>" * 30_000 + "</i>" * 30_000):
+        began = time.time()
+        list(cards.facts_of(html_))
+        assert time.time() - began < 5
+
+
+def walk(rows, oldest=None):
+    """Page by page, as someone who reads a term's pages one behind the other."""
+    by, kept = {}, []
+    for r in rows:
+        by.setdefault(r[0], {}).setdefault(r[1], []).append(r)
+    for pages in by.values():
+        seen, page = set(), 1
+        while page in pages:
+            new = [r for r in pages[page] if not r[2] or r[2] not in seen]
+            seen |= {r[2] for r in pages[page]}
+            if not new:
+                break
+            young = [r for r in new if not oldest or not r[3] or r[3] >= oldest]
+            kept += young
+            if len(young) < len(new):
+                break
+            page += 1
+    return kept
+
+
+def test_walks_stop(spark):
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for term in range(60):
+        for page in range(1, r.randint(2, 9)):
+            if r.random() < 0.9:
+                urls = r.sample(range(20), r.randint(0, 3))
+                rows += [(f"t{term}", page, f"u{u}", r.choice(["", "2026-08-20", "2026-08-20", "2026-07-01"])) for u in urls] + ([(f"t{term}", page, "", "2026-08-20")] if r.random() < 0.2 else [])
+    df = spark.createDataFrame(rows, "term string, page int, job_url string, date_posted string")
+    for oldest in (None, "2026-08-01"):
+        assert sorted(tuple(x) for x in listing.walked(df, oldest=oldest).collect()) == sorted(walk(rows, oldest))
+    assert listing.walked(df.where("false")).count() == 0
+
+
+def test_paged_source(spark, tmp_path):
+    for page, body in {1: '{"items": [1]}', 2: '{"items": [2]}', 3: '{"items": [3]}', 4: '{"items": []}', 5: '{"items": [5]}', 6: "no json"}.items():
+        (tmp_path / f"{page}.json").write_text(body)
+    read = lambda **o: sorted(r.page for r in listing.read_pages(spark, f"file://{tmp_path}/{{page}}.json", **o).collect())
+    assert read(field="items", pages=2) == [1, 2, 3] and read(pages=1) == [1, 2, 3, 4, 5] and read(field="items", most=2) == [1, 2]
+    assert listing.read_pages(spark, f"file://{tmp_path}/none{{page}}.json").count() == 0
+
+
+def test_quarantine(spark, tmp_path):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    schema = StructType([StructField("k", LongType()), StructField("s", StringType())])
+    (tmp_path / "a.jsonl").write_text('{"k": 1}\n{"k": 2, "s": "x", "more": 1}\n')
+    (tmp_path / "b.jsonl").write_text('{"k": 3}\n{"k"\n \n[1]\n{"z": 1}\n{"k": "x"}\nnull\n')
+    (tmp_path / "c.jsonl").write_text("<html>\n")
+    (tmp_path / "d.jsonl").write_text("\n\n")
+    judged = quarantine.judged(quarantine.read_lines(spark, f"{tmp_path}/*.jsonl"), schema)
+    good, bad = quarantine.apart(judged)
+    assert sorted((r.k, r.s) for r in good.collect()) == [(1, None), (2, "x"), (3, None)]
+    assert sorted((r.file[-7], r.reason, r.line) for r in bad.collect()) == [("b", "empty", " "), ("b", "no field", '{"z": 1}'), ("b", "no object", "[1]"), ("b", "no object", "null"), ("b", "not json", '{"k"'), ("b", "wrong type", '{"k": "x"}'), ("c", "not json", "<html>"), ("d", "empty", ""), ("d", "empty", "")]
+    assert {r.file[-7]: r.state for r in quarantine.files(judged).collect()} == {"a": "read", "b": "partly read", "c": "corrupt", "d": "empty"}
+    for _ in range(2):
+        quarantine.write_apart(judged, f"{tmp_path}/out", "1")
+    assert spark.read.json(f"{tmp_path}/out/good").count() == 3 and spark.read.json(f"{tmp_path}/out/quarantined").count() == 9
+
+
+def test_details(spark):
     details = html.parse_details(spark.createDataFrame([("u", '<div class="company-name">Big</div><img class="logo" src="l.png"><div class="job-description"><p>All of it</p></div><dt>Industry</dt><dd>Tech</dd>')], "job_url string, html string"))
     out = html.with_details(spark.createDataFrame([("u", "Old"), ("v", "Kept")], "job_url string, company string"), details).orderBy("job_url").collect()
     assert [(r.company, r.company_logo, r.description_snippet, r.company_industry) for r in out] == [("Big", "l.png", "All of it", "Tech"), ("Kept", "", "", "")]

@@ -23,19 +23,25 @@ def labelled(ads: DataFrame, vocabulary: tuple[S.Skill, ...] = S.DEFAULT, provid
     return extract.with_official_skills(extract.with_roles(extract.with_levels(extract.with_years(found))), vocabulary)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one only where that is unset and the session is local."""
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir", None)
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="vacantia-")
+        sc.setCheckpointDir(folder)
+    return folder or sc._jsc.sc().getCheckpointDir().get()
+
+
 def materialised(df: DataFrame) -> DataFrame:
-    """``df`` computed once, into the folder of spark.checkpoint.dir (a temporary one only where that is unset and the session local).
+    """``df`` computed once, into the shared folder.
 
     Screens and searches read labels many times over; a filter on them must not be pushed through the rules that make them.
     """
-    sc = df.sparkSession.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir", None)
-    if folder is None and not sc._jsc.sc().getCheckpointDir().isDefined():
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vacantia-"))
-    elif folder is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(folder)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import datetime
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
 from vacantia.functions import text as T
 from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
-from vacantia.sources import feeds, html, sinks
+from vacantia.sources import cards, feeds, listing, quarantine, sinks
 
 from .job_ads import TODAY, adverts
 from .oracles import BOARD, NORM, SKILLS, q
-from .pipeline import labelled, materialised
+from .pipeline import labelled, materialised, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -378,9 +381,59 @@ def qa_sample(spark, sf):
     return quality.sample(_screened(spark, sf).where("kept"), 60, seed=7).select("doc_id", quality.needs_a_look().alias("look"))
 
 
-@query()
+@query("""SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY nth) - 1 AS INT) AS place, title, job_url FROM (
+  SELECT page_id, job_url, min(k) AS nth, arg_min(title, k) AS title FROM (SELECT page_id, k, regexp_extract(a, '"(/[^"]*)"', 1) AS job_url, trim(regexp_extract(a, '>([^<]*)$', 1)) AS title
+    FROM (SELECT page_id, unnest(found) AS a, unnest(range(len(found))) AS k FROM (SELECT page_id, regexp_extract_all(html, '<a href="/[^"]*">[^<]*') AS found FROM pages))) GROUP BY page_id, job_url) WHERE title <> ''""")
 def html_cards(spark, sf):
-    return html.parse_cards(spark.read.parquet(f"{sf}/pages.parquet")).select("page_id", "place", "title", "job_url")
+    """Cards around the given pages' inner links, which stand in lists."""
+    facts = cards.card_facts(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), links=((("/",), "li", ""),))
+    return cards.cards(facts, F.to_date(F.lit(TODAY))).select("page_id", "place", "title", "job_url")
+
+
+_HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
+
+
+@query(f"""WITH c AS (SELECT page_id, term, CAST(1 + (r - 1) // 3 AS INT) AS page, job_url, date_posted FROM (
+    SELECT page_id, {_HOST} AS term, row_number() OVER (PARTITION BY {_HOST} ORDER BY page_id) AS r, CASE WHEN page_id % 11 = 0 THEN '' ELSE 'u' || page_id % 7 END AS job_url,
+      CASE WHEN page_id % 5 = 0 THEN '' ELSE strftime(DATE '{TODAY}' - CAST(page_id % 33 AS INT), '%Y-%m-%d') END AS date_posted FROM pages) WHERE r % 19 <> 0),
+n AS (SELECT *, job_url = '' OR page = min(page) OVER (PARTITION BY term, job_url) AS is_new, coalesce(try_cast(nullif(date_posted, '') AS DATE) >= DATE '{TODAY}' - 30, true) AS young FROM c),
+p AS (SELECT term, page, count(*) FILTER (is_new) AS news, count(*) FILTER (is_new AND young) AS recents FROM n GROUP BY ALL),
+e AS (SELECT *, page <> row_number() OVER w OR news = 0 AS stop, recents < news AS last FROM p WINDOW w AS (PARTITION BY term ORDER BY page)),
+k AS (SELECT term, page, bool_or(stop) OVER w AS stopped, coalesce(bool_or(last) OVER (PARTITION BY term ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS ended FROM e WINDOW w AS (PARTITION BY term ORDER BY page))
+SELECT page_id, n.term, n.page, job_url, date_posted FROM n JOIN k ON n.term = k.term AND n.page = k.page WHERE NOT stopped AND NOT ended AND is_new AND young""")
+def listing_walk(spark, sf):
+    """Pages of a host in threes are the listing pages of a term: what a walk with loop detection and a cut-off keeps."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", F.expr(_HOST).alias("term"))
+    placed = pages.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy("page_id"))).where("r % 19 != 0")
+    link = F.when(F.col("page_id") % 11 == 0, "").otherwise(F.concat(F.lit("u"), (F.col("page_id") % 7).cast("string")))
+    day = F.when(F.col("page_id") % 5 == 0, "").otherwise(F.date_format(F.date_sub(F.to_date(F.lit(TODAY)), (F.col("page_id") % 33).cast("int")), "yyyy-MM-dd"))
+    rows = placed.select("page_id", "term", F.expr("cast(1 + (r - 1) div 3 as int)").alias("page"), link.alias("job_url"), day.alias("date_posted"))
+    return listing.walked(rows, oldest=str(datetime.date.fromisoformat(TODAY) - datetime.timedelta(days=30)))
+
+
+@query("""WITH e AS (SELECT event_id, CAST(1 + event_id // 50 AS INT) AS page, props FROM events WHERE event_id % 50 < 40),
+last AS (SELECT min(n) AS n FROM (SELECT unnest(range(1, (SELECT max(page) + 2 FROM e))) AS n) WHERE n NOT IN (SELECT page FROM e WHERE page <> 37))
+SELECT page, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM e, last WHERE page < last.n""")
+def paged_source(spark, sf):
+    """Events landed as pages of a feed, one of them empty, read by the paged source up to there."""
+    events = spark.read.parquet(f"{sf}/events.parquet").where("event_id % 50 < 40").select("event_id", F.expr("cast(1 + event_id div 50 as int)").alias("page"), "props")
+    folder = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
+    items = events.groupBy("page").agg(F.collect_list(F.struct("event_id", "props")).alias("items"))  # 40 a page
+    landed = items.select("page", F.when(F.col("page") != 37, F.to_json(F.struct("items"))).otherwise('{"items": []}').alias("value"))
+    landed.write.partitionBy("page").text(folder)
+    found = listing.read_pages(spark, f"{folder}/page={{page}}", most=events.agg(F.max("page")).first()[0] + 1, pages=20, field="items")
+    rows = found.select("page", F.inline(F.from_json("json", "items array<struct<event_id long, props string>>")["items"]))
+    return rows.select("page", "event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+_DAMAGED = "CASE CAST(event_id % 10 AS INT) WHEN 3 THEN left(props, length(props) - 1) WHEN 5 THEN ' ' WHEN 7 THEN '[' || props || ']' WHEN 8 THEN '{\"other\": 1}' WHEN 9 THEN '{\"k\": \"x\"}' ELSE props END"
+
+
+@query(f"""SELECT event_id, CASE WHEN event_id % 10 IN (3, 5, 7, 8, 9) THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+  CASE CAST(event_id % 10 AS INT) WHEN 3 THEN 'not json' WHEN 5 THEN 'empty' WHEN 7 THEN 'no object' WHEN 8 THEN 'no field' WHEN 9 THEN 'wrong type' END AS reason FROM events""")
+def quarantined_lines(spark, sf):
+    lines = spark.read.parquet(f"{sf}/events.parquet").select("event_id", F.expr(_DAMAGED).alias("line"))
+    return quarantine.judged(lines, StructType([StructField("k", LongType())])).select("event_id", "parsed.k", "reason")
 
 
 @query()

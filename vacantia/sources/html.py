@@ -1,4 +1,4 @@
-"""HTML feeds: listing cards and detail pages, parsed with the standard library in Arrow batches."""
+"""Detail pages of HTML feeds, parsed with the standard library in Arrow batches. Listing cards: ``cards``."""
 
 from __future__ import annotations
 
@@ -10,13 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacantia.functions import text as X
 
-CARD = "page_id long, place int, title string, job_url string, lines array<string>, posted string, policy string, employment string"
 DETAIL = "job_url string, company string, logo string, location string, description string, industry string, size string, about string, policy string, employment string"
 _POLICIES, _EMPLOYMENTS = ("remote", "hybrid", "on-site"), ("full time", "part time", "contract", "permanent", "internship", "temporary")
-_POSTED = re.compile(r"\b\d+\s*(?:minute|hour|day|week|month)s?\s+ago\b", re.I)
-_CARD_MARKS = ("job-card", "job-item", "res-item")
 
 
 class _Blocks(HTMLParser):
@@ -30,9 +26,6 @@ class _Blocks(HTMLParser):
         self.open: list[tuple[str, str]] = []
         self.out: list[dict] = []
         self.hidden = 0
-        self.card = -1
-        self.cards = 0
-        self.inside: list[int] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
@@ -40,16 +33,12 @@ class _Blocks(HTMLParser):
         if tag not in self.VOID:
             self.open.append((tag, mark))
             self.hidden += tag in self.HIDDEN
-            if any(m in mark for m in _CARD_MARKS) and not self.inside:
-                self.inside.append(len(self.open))
-                self.card = self.cards
-                self.cards += 1
         if tag == "img" and a.get("src"):
-            self.out.append({"kind": "image", "text": a["src"], "mark": mark, "card": self.card})
+            self.out.append({"kind": "image", "text": a["src"], "mark": mark})
         elif tag == "a" and a.get("href"):
-            self.out.append({"kind": "link", "text": a["href"], "mark": mark, "card": self.card})
+            self.out.append({"kind": "link", "text": a["href"], "mark": mark})
         elif tag in self.BLOCK:
-            self.out.append({"kind": "break", "text": "", "mark": mark, "card": self.card})
+            self.out.append({"kind": "break", "text": "", "mark": mark})
 
     def handle_endtag(self, tag: str) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -57,15 +46,12 @@ class _Blocks(HTMLParser):
                 self.hidden -= sum(t in self.HIDDEN for t, _ in self.open[i:])
                 del self.open[i:]
                 break
-        while self.inside and len(self.open) < self.inside[-1]:
-            self.inside.pop()
-            self.card = -1
         if tag in self.BLOCK:
-            self.out.append({"kind": "break", "text": "", "mark": "", "card": self.card})
+            self.out.append({"kind": "break", "text": "", "mark": ""})
 
     def handle_data(self, data: str) -> None:
         if not self.hidden and data.strip():
-            self.out.append({"kind": "text", "text": " ".join(data.split()), "mark": " ".join(m for _, m in self.open if m), "card": self.card})
+            self.out.append({"kind": "text", "text": " ".join(data.split()), "mark": " ".join(m for _, m in self.open if m)})
 
 
 def _parsed(html: str | None) -> list[dict]:
@@ -79,51 +65,6 @@ def _one_of(lines: list[str], words: tuple[str, ...]) -> str:
     return next((w for line in lines for w in words if re.search(rf"\b{w.replace(' ', '[ -]?').replace('-', '[ -]?')}\b", line, re.I)), "")
 
 
-def cards_of(html: str | None) -> list[tuple]:
-    """(title, link, lines, posted, policy, employment) of marked cards; on a page without marks, of its links to adverts."""
-    blocks = _parsed(html)
-    groups: dict[int, list[dict]] = {}
-    for b in blocks:
-        if b["card"] >= 0:
-            groups.setdefault(b["card"], []).append(b)
-    if not groups:
-        at = -1
-        for b in blocks:
-            if b["kind"] == "link" and re.search(r"/jobs?[/-]", b["text"]):
-                at += 1
-            if at >= 0:
-                groups.setdefault(at, []).append(b)
-    out = []
-    for held in groups.values():
-        lines = [b["text"] for b in held if b["kind"] == "text"]
-        link = next((b["text"] for b in held if b["kind"] == "link"), "")
-        if lines:
-            joined = " \n ".join(lines)
-            posted = m[0] if (m := _POSTED.search(joined)) else ""
-            out.append((lines[0], link, lines, posted, _one_of(lines, _POLICIES), _one_of(lines, _EMPLOYMENTS)))
-    return out
-
-
-def parse_cards(pages: DataFrame) -> DataFrame:
-    """Cards of landed pages (page_id, html). Null or broken html gives none."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame([(i, k, *c) for i, h in zip(f["page_id"], f["html"]) for k, c in enumerate(cards_of(h))], columns=["page_id", "place", "title", "job_url", "lines", "posted", "policy", "employment"])
-
-    return pages.select("page_id", "html").mapInPandas(run, CARD)
-
-
-def card_adverts(cards: DataFrame, today) -> DataFrame:
-    """Cards as adverts: the line after the title names the company, one with a known city the place, the first long one the text."""
-    line = lambda test: F.get(F.filter(F.slice("lines", 2, 1000), test), F.lit(0))
-    place = F.coalesce(line(lambda x: X.at_home(x)), F.lit(""))
-    return cards.select(
-        F.lit("html").alias("source"), X.clean_text(F.col("title")).alias("title"), F.coalesce(F.get("lines", F.lit(1)), F.lit("")).alias("company"), place.alias("location"), X.known_city(place).alias("city"), "job_url",
-        X.clean_text(line(lambda x: F.length(x) > 80), 3000).alias("description_snippet"), X.relative_date(F.col("posted"), today).alias("date_posted"), F.col("policy").alias("workplace_policy"), F.col("employment").alias("employment_type"), "page_id", "place",
-    )
-
-
 def detail_of(html: str | None) -> tuple:
     blocks = _parsed(html)
     marked = lambda *names: " ".join(b["text"] for b in blocks if b["kind"] == "text" and any(n in b["mark"] for n in names))
