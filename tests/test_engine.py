@@ -313,7 +313,8 @@ def test_daily_run_is_idempotent(spark, tmp_path):
     size = lambda n: (pipeline.current_board(spark, str(tmp_path)) if n == "board" else spark.read.parquet(f"{tmp_path}/{n}")).count()
     first = {n: size(n) for n in ("sheet", "excluded", "board")}
     assert pipeline.run(rows, TODAY, str(tmp_path)) == 0
-    again = {n: size(n) for n in ("sheet", "board")}
+    again = {n: size(n) for n in ("sheet", "excluded", "board")}
+    assert again == first  # the same part of the day, rows without a link included
     (tmp_path / "board" / "99999999999999999999").mkdir()  # a version that was never finished
     assert size("board") == again["board"]
     assert first["sheet"] > 0 and again["board"] >= first["board"] and again["sheet"] >= first["sheet"]
@@ -324,6 +325,87 @@ def test_daily_run_is_idempotent(spark, tmp_path):
     assert [r.n for r in quality.funnel({"a": done, "b": None}).orderBy("place").collect()] == [done.count(), None]
 
 
+def test_a_failed_sink_is_made_good(spark, tmp_path, monkeypatch):
+    """A run that breaks off between the sinks, and is run again, leaves what one whole run leaves."""
+    from vacantia.plans.job_ads import TODAY, adverts
+
+    rows = pipeline.materialised(adverts(spark, "/root/testdata/sf0.001").where("doc_id < 60"))
+    halves = [(rows.where("_seq < 30"), "0"), (rows.where("_seq >= 30"), "1")]
+    out = lambda n: sorted(map(str, (pipeline.current_board(spark, f"{tmp_path}/b").drop("_seq") if n == "board" else spark.read.parquet(f"{tmp_path}/b/{n}")).collect()))
+    for part, name in halves:
+        assert pipeline.failures(part, TODAY, f"{tmp_path}/b", part=name)[0] == []
+    whole = {n: out(n) for n in ("sheet", "excluded", "board")}
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "new_excluded", lambda *_: 1 / 0)
+        assert pipeline.failures(halves[1][0], TODAY, f"{tmp_path}/b", part="1")[0] == ["excluded"]
+    assert pipeline.failures(halves[1][0], TODAY, f"{tmp_path}/b", part="1")[0] == []
+    assert {n: out(n) for n in whole} == whole
+
+
+def test_a_part_that_keeps_nothing_still_excludes(spark, tmp_path):
+    row = spark.createDataFrame([(0, "Mining Engineer", "C", "u", "d", "")], "_seq long, title string, company string, job_url string, description_snippet string, date_added string")
+    full = feeds.conform(row).withColumn("date_added", F.lit(""))
+    failed, some = pipeline.failures(full, "2026-08-22", str(tmp_path))
+    assert (failed, some) == ([], False) and spark.read.parquet(f"{tmp_path}/excluded").count() == 1
+    assert pipeline.run(full, "2026-08-22", str(tmp_path)) == 1
+
+
+def test_a_stream_batch_with_a_failed_sink_fails(spark, tmp_path, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text(json.dumps({"title": "Junior Java Developer", "company": "C", "job_url": "https://x.example/0", "description_snippet": "d"}) + "\n")
+    go = lambda: daily.start(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2026-08-22", str(tmp_path / "at"), files=1).awaitTermination()
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "append", lambda *_: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            go()
+    go()
+    assert spark.read.parquet(f"{tmp_path}/out/sheet").count() == 1 and pipeline.current_board(spark, f"{tmp_path}/out").count() == 1
+
+
+@pytest.mark.parametrize("bits", [8, 1 << 16, 1 << 24])
+def test_keys_that_a_table_has(spark, monkeypatch, bits):
+    """Whatever the filter passes by, what is left is what an anti-join leaves."""
+    monkeypatch.setattr(sinks, "FILTER_BITS", bits)
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else "" if i % 10 == 1 else f"k{i % 400}") for i in range(600)], "i int, key string")
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(0, 500, 3)] * 2 + [("",), (None,)], "_k string")
+    want = {i for i in range(600) if i % 10 < 2 or not (i % 400) % 3 == 0}
+    got = [r.i for r in sinks.without_keys(rows, F.col("key"), keys).collect()]
+    assert sorted(got) == sorted(want)
+    assert sinks.without_keys(rows, F.col("key"), keys.where("false")).count() == 600
+
+
+def test_kept_replies(spark, tmp_path):
+    cols = "_seq long, title string, company string, description_snippet string, primary_role string, must_have_skills string, nice_to_have_skills string, job_level string, experience_years string, blurb string"
+    rows = [(0, "A", "C", "d", "", "", "", "", None, ""), (1, "A", "C", "d", "", "", "", "", None, ""), (2, "B", None, None, "", "", "", "", None, ""), (3, "E", "C", "d", "", "old", "", "", None, ""), (4, "Done", "C", "d", "r", "s", "", "mid", None, "b")]
+    df = spark.createDataFrame(rows, cols).coalesce(1)
+    log = tmp_path / "asked"
+
+    def provider(rows):
+        with log.open("a") as f:
+            f.write("".join(r["title"] for r in rows))
+        found = [{"job_id": r["job_id"], "blurb": "about " + r["title"], "must_have_skills": ["X", "Y"]} for r in rows if r["title"] != "E"]
+        return "```json\n" + json.dumps({"jobs": [*found, {"job_id": 77, "blurb": "?"}]}) + "\n```"
+
+    for asked in ("ABE", "ABEE", "ABEEE"):
+        got = {r._seq: (r.blurb, r.must_have_skills) for r in enrich.enrich_kept(df, provider, f"{tmp_path}/replies").collect()}
+        assert got == {0: ("about A", "X, Y"), 1: ("about A", "X, Y"), 2: ("about B", "X, Y"), 3: ("", "old"), 4: ("b", "s")}
+        assert sorted(log.read_text()) == sorted(asked)
+    assert enrich.parse_reply('{"jobs": [{"job_id": 1}]}') == [{"job_id": 1}] and enrich.parse_reply('{"jobs": 3}') == []
+    told = enrich.prompt([{"job_id": 1, "title": "Dev", "company": "Acme", "snippet": "text"}])
+    assert "[1] Dev at Acme" in told and "job_id" in told and "none" in told
+
+
+def test_small_helpers(spark):
+    """First by identity, newest first, level labels from elsewhere, clean descriptions, the board as a file."""
+    rows = ads(spark, [("A", "X", "", "", "l1", "d", "2026-08-01", ""), ("B", "X", "", "", "l1", "d", "2026-08-03", ""), ("A", "X", "", "", "", "d", "2026-08-02", ""), ("A", "X", "", "", "", "d", "", "")])
+    assert sorted(r._seq for r in dedupe.first_by_identity(rows).collect()) == [0, 2]
+    assert [r._seq for r in feeds.newest_first(rows.withColumn("time_posted", F.lit(""))).collect()] == [1, 2, 0, 3]
+    levels = spark.createDataFrame([("ai",), ("title",), ("ai",)], "level_source string")
+    assert quality.bad_level_sources(levels).first()[0] == 2
+
+
 def test_stream_keeps_every_batch(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for day in range(3):

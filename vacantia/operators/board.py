@@ -7,6 +7,8 @@ Whoever replaces a row keeps the row's place and date_added; others are added at
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,8 @@ def _found(board: DataFrame, incoming: DataFrame) -> DataFrame:
     return hits.groupBy("_seq").agg(F.min_by("_row", "by").alias("_row"))
 
 
-def merge(board: DataFrame, incoming: DataFrame, today: str) -> DataFrame:
-    """Both have the same columns, _seq and date_added among them."""
+def merge(board: DataFrame, incoming: DataFrame, today: str, origin: bool = False) -> DataFrame:
+    """Both have the same columns, _seq and date_added among them. ``origin``: adds _origin, kept, replaced or added."""
     columns = board.columns
     found = _found(board, incoming)
     winners = found.groupBy("_row").agg(F.min("_seq").alias("_seq"))
@@ -44,14 +46,20 @@ def merge(board: DataFrame, incoming: DataFrame, today: str) -> DataFrame:
     placed = incoming.join(winners.join(kept_date, "_row"), "_seq", "left")
     replaced = own(placed.where("_row is not null"), "_added").withColumn("_seq", F.col("_row")).select(columns)
     added = own(placed.where("_row is null"), "date_added").withColumn("_seq", F.col("_seq") + last + 1).select(columns)
-    return board.join(winners.select(F.col("_row").alias("_seq")), "_seq", "left_anti").select(columns).unionByName(replaced).unionByName(added)
+    kept = board.join(winners.select(F.col("_row").alias("_seq")), "_seq", "left_anti").select(columns)
+    parts = {"kept": kept, "replaced": replaced, "added": added}
+    return reduce(DataFrame.unionByName, (df.withColumn("_origin", F.lit(name)) if origin else df for name, df in parts.items()))
 
 
-def prune(board: DataFrame, today: str, days: int = R.BOARD_DAYS, floor: int = R.BOARD_DAYS_FLOOR) -> DataFrame:
-    """Without those whose stated date is over ``days`` old and that were found over ``floor`` days ago; undated ones stay."""
+def is_fresh(today: str, days: int = R.BOARD_DAYS, floor: int = R.BOARD_DAYS_FLOOR) -> Column:
+    """Not those whose stated date is over ``days`` old and that were found over ``floor`` days ago; undated ones are."""
     posted, found, now = as_date(F.col("date_posted")), as_date(F.col("date_added")), F.to_date(F.lit(today))
     fresh = (F.coalesce(posted, found) >= F.date_sub(now, days)) | (found >= F.date_sub(now, floor))
-    return board.where(F.coalesce(posted, found).isNull() | F.coalesce(fresh, F.lit(False)))
+    return F.coalesce(posted, found).isNull() | F.coalesce(fresh, F.lit(False))
+
+
+def prune(board: DataFrame, today: str, days: int = R.BOARD_DAYS, floor: int = R.BOARD_DAYS_FLOOR) -> DataFrame:
+    return board.where(is_fresh(today, days, floor))
 
 
 def ordered(board: DataFrame) -> DataFrame:
@@ -60,7 +68,7 @@ def ordered(board: DataFrame) -> DataFrame:
 
 
 def publish_counts(board: DataFrame, incoming: DataFrame, today: str) -> DataFrame:
-    merged = merge(board, incoming, today)
-    size = lambda df, n: df.agg(F.count(F.lit(1)).alias(n)).withColumn("_one", F.lit(1))
-    row = size(board, "a").join(size(incoming, "b"), "_one").join(size(merged, "c"), "_one").join(size(prune(merged, today), "d"), "_one")
+    """One row, from one merge: each row of it tells where it comes from."""
+    merged = merge(board, incoming, today, origin=True)
+    row = merged.agg(F.expr("count_if(_origin != 'added')").alias("a"), F.expr("count_if(_origin != 'kept')").alias("b"), F.count(F.lit(1)).alias("c"), F.count_if(is_fresh(today)).alias("d"))
     return row.selectExpr("a as carried_over", "b as from_today", "c - d as pruned", "d as published")

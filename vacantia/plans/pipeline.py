@@ -49,45 +49,55 @@ def screened(ads: DataFrame, **options) -> DataFrame:
     return screen.screened(materialised(labelled(ads, **options)))
 
 
-def current_board(spark: SparkSession, folder: str) -> DataFrame | None:
-    """The newest whole version of the board; None before the first. Versions without _SUCCESS were never finished."""
+def current_board(spark: SparkSession, folder: str, but: str | None = None) -> DataFrame | None:
+    """The newest whole version of the board, not made by the batch ``but``; None before the first.
+
+    Versions without _SUCCESS were never finished.
+    """
     ended = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/board/*/_SUCCESS")
     found = ended.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(ended)
     versions = [x.getPath().getParent().getName() for x in found or ()]
+    versions = [v for v in versions if but is None or v.partition(".")[2] != but]
     return spark.read.parquet(f"{folder}/board/{max(versions)}") if versions else None
 
 
-def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None, part: str = "0") -> int:
-    """One day, or one part of a day: every sink is tried. Returns the exit code.
+def failures(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None, part: str = "0") -> tuple[list[str], bool]:
+    """One day, or one part of a day: every sink is tried. Returns the sinks that failed, and whether an advert was kept.
 
-    The labelled stage is written once and read by all that follow. Parts have folders of their own, so that none
-    overwrites another's rows; a part that runs again replaces only its own. The board is a new version each time, made
-    from the last whole one: a run that breaks off leaves that as it is.
+    The labelled stage is written once and read by all that follow. Sheets and board hold each part as a batch of its own:
+    a part that runs again, after a failure between the sinks or behind them, replaces its own rows and no others. The board
+    is a new version each time, made from the last whole one of another part.
     """
     spark = ads.sparkSession
-    stamp = f"{today} 00:00:00"
+    stamp, batch = f"{today} 00:00:00", f"{today}-{part}"
     labels, screens = f"{folder}/labelled/{today}/part={part}", f"{folder}/screened/{today}/part={part}"
     labelled(ads, provider=provider).write.mode("overwrite").parquet(labels)
     screen.screened(spark.read.parquet(labels)).write.mode("overwrite").parquet(screens)
     rows = spark.read.parquet(screens)
     kept, excluded = rows.where("kept"), rows.where("not kept")
-    if kept.isEmpty():
-        return quality.verdict(["no advert was kept"])
 
     def sheet() -> None:
-        have = sinks.existing(spark, f"{folder}/sheet", R.SHEET_COLUMNS)
-        sinks.append(sinks.sheet_rows(sinks.new_rows(kept, have), stamp), f"{folder}/sheet", R.SHEET_COLUMNS)
+        have = sinks.existing(spark, f"{folder}/sheet", R.SHEET_COLUMNS, but=batch)
+        sinks.append(sinks.sheet_rows(sinks.new_rows(kept, have), stamp), f"{folder}/sheet", R.SHEET_COLUMNS, batch)
 
     def exclude() -> None:
-        have = sinks.existing(spark, f"{folder}/excluded", R.EXCLUDE_COLUMNS)
-        sinks.append(sinks.exclude_rows(sinks.new_excluded(excluded, have), stamp), f"{folder}/excluded", R.EXCLUDE_COLUMNS)
+        have = sinks.existing(spark, f"{folder}/excluded", R.EXCLUDE_COLUMNS, but=batch)
+        sinks.append(sinks.exclude_rows(sinks.new_excluded(excluded, have), stamp), f"{folder}/excluded", R.EXCLUDE_COLUMNS, batch)
 
     def publish() -> None:
         incoming = kept if "date_added" in kept.columns else kept.selectExpr("*", "'' as date_added")
-        old = current_board(spark, folder)
+        old = current_board(spark, folder, but=batch)
         old = incoming.limit(0) if old is None else old.select(incoming.columns)
         merged = board.prune(board.merge(old, incoming, today), today)
-        merged.write.parquet(f"{folder}/board/{time.time_ns():020d}")
+        merged.write.parquet(f"{folder}/board/{time.time_ns():020d}.{batch}")
 
-    failed = sinks.isolated({"sheet": sheet, "excluded": exclude, "board": publish}, {"sheet": lambda: sinks.save_json(kept, f"{folder}/rescue/{today}/part={part}")})
-    return quality.verdict([x for x in failed if x == "sheet"])
+    some = not kept.isEmpty()
+    wanted = {"sheet": sheet, "excluded": exclude, "board": publish} if some else {"excluded": exclude}
+    failed = sinks.isolated(wanted, {"sheet": lambda: sinks.save_json(kept, f"{folder}/rescue/{today}/part={part}")})
+    return failed, some
+
+
+def run(ads: DataFrame, today: str, folder: str, provider: enrich.Provider | None = None, part: str = "0") -> int:
+    """The exit code of a day: a failed sheet and a day without a kept advert are faults."""
+    failed, some = failures(ads, today, folder, provider, part)
+    return quality.verdict([x for x in failed if x == "sheet"] + ([] if some else ["no advert was kept"]))

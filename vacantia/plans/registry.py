@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import json
 import uuid
 from collections.abc import Callable
 
@@ -313,7 +314,7 @@ def reconcile(spark, sf):
     return quality.reconcile(rows, rows.where("kept"), rows.where("not kept"))
 
 
-@query(q("SELECT doc_id, blurb = '' AND must_have_skills = '' OR primary_role = '' AND must_have_skills = '' AS needs FROM n WHERE true").replace("blurb = '' AND must_have_skills = '' OR primary_role = '' AND must_have_skills = ''", "NOT (blurb <> '' AND primary_role <> '') AND (must_have_skills = '' OR job_level = '')"))
+@query(q("SELECT doc_id, NOT (blurb <> '' AND primary_role <> '') AND (must_have_skills = '' OR job_level = '') AS needs FROM n"))
 def needs_enrichment(spark, sf):
     return adverts(spark, sf).select("doc_id", enrich.needs_enrichment().alias("needs"))
 
@@ -436,9 +437,23 @@ def quarantined_lines(spark, sf):
     return quarantine.judged(lines, StructType([StructField("k", LongType())])).select("event_id", "parsed.k", "reason")
 
 
-@query()
-def enrich_passthrough(spark, sf):
-    return enrich.enrich(adverts(spark, sf), lambda rows: "[]").select("doc_id", "blurb", "primary_role")
+_NEEDS = "NOT (blurb <> '' AND primary_role <> '') AND (must_have_skills = '' OR job_level = '')"
+
+
+@query(q(f"SELECT doc_id, CASE WHEN {_NEEDS} THEN 'Role of ' || title ELSE primary_role END AS primary_role, CASE WHEN {_NEEDS} THEN 'At ' || company ELSE blurb END AS blurb, must_have_skills FROM n"))
+def enrichment_kept(spark, sf):
+    """Replies of a provider that goes by rules; a second run finds them kept and asks a provider that fails."""
+
+    def by_rules(rows):
+        return json.dumps({"jobs": [{"job_id": r["job_id"], "primary_role": f"Role of {r['title']}", "blurb": f"At {r['company']}"} for r in rows]})
+
+    def refuses(rows):
+        raise RuntimeError("asked again")
+
+    folder = f"{shared_folder(spark)}/replies-{uuid.uuid4().hex}"
+    ads = adverts(spark, sf).select("_seq", "doc_id", "title", "company", "description_snippet", *enrich.FIELDS)
+    enrich.enrich_kept(ads, by_rules, folder)
+    return enrich.enrich_kept(ads, refuses, folder).select("doc_id", "primary_role", "blurb", "must_have_skills")
 
 
 assert NORM and set(SKILLS) <= {s.name for s in S.DEFAULT}

@@ -57,18 +57,51 @@ def exclude_rows(ads: DataFrame, stamp: str) -> DataFrame:
     return ads.select(*(v.alias(n) for v, n in zip(values, R.EXCLUDE_COLUMNS)))
 
 
+#: Bits of a sheet's filter: 2 MiB, whatever the sheet's size.
+FILTER_BITS = 1 << 24
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS)) + 1  # bitmap functions count from 1
+
+
+def _seen(keys: DataFrame) -> DataFrame:
+    """A Bloom filter of a column ``_k``: bitmaps of 32,768 bits by bucket, FILTER_BITS bits together at most."""
+    at = keys.select(_bit(F.col("_k")).alias("bit"))
+    return at.groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_bits"))
+
+
+def without_keys(rows: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """Rows whose key (a string) is not among ``keys`` (a column ``_k``).
+
+    Most of a day's rows are new to a large table: a filter of fixed size tells which are so for sure, and these are
+    neither shuffled nor compared. Only rows that the filter may have seen meet the keys. A full filter passes none by,
+    and every row is compared. Rows with a null or empty key all stay.
+    """
+    keyed = rows.withColumn("_k", key)
+    bit = _bit(F.col("_k"))
+    probed = keyed.where("_k != ''").withColumn("_bucket", F.bitmap_bucket_number(bit)).withColumn("_at", F.bitmap_bit_position(bit))
+    told = probed.join(F.broadcast(_seen(keys.where("_k != ''"))), "_bucket", "left")  # FILTER_BITS / 8 bytes at most
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_at").cast("int") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    told = told.withColumn("_maybe", F.coalesce(F.getbit(byte, F.col("_at").cast("int") % 8) == 1, F.lit(False)))
+    maybe = told.where("_maybe").join(keys.select("_k").where("_k != ''").distinct(), "_k", "left_anti")
+    return maybe.select(rows.columns).unionByName(told.where("not _maybe").select(rows.columns)).unionByName(keyed.where("coalesce(_k, '') = ''").select(rows.columns))
+
+
 def _unlinked(ads: DataFrame, sheet: DataFrame) -> DataFrame:
-    """Adverts whose link the sheet does not have; those without a link are not shuffled by it and all stay."""
-    links = sheet.select(F.col("Apply Link").alias("job_url")).where("job_url != ''").distinct()
-    return ads.where("job_url != ''").join(links, "job_url", "left_anti").unionByName(ads.where("coalesce(job_url, '') = ''"))
+    """Adverts whose link the sheet does not have; those without a link all stay."""
+    return without_keys(ads, F.col("job_url"), sheet.select(F.col("Apply Link").alias("_k")))
+
+
+def _comparable(key: Column) -> Column:
+    return F.when((key["t"] != "") & (key["c"] != ""), F.concat_ws("\n", key["t"], key["c"], key["p"])).otherwise("")
 
 
 def new_rows(ads: DataFrame, sheet: DataFrame) -> DataFrame:
     """Adverts whose link, and whose comparable key, the sheet does not have; first per link, newest first."""
-    keys = dedupe.key_from_row(sheet).where("_key.t != '' and _key.c != ''").select("_key").distinct()
-    left = _unlinked(dedupe.first_by_url(ads, trimmed=False), sheet).withColumn("_key", dedupe.duplicate_key())
-    out = left.where("_key.t != '' and _key.c != ''").join(keys, "_key", "left_anti").unionByName(left.where("_key.t = '' or _key.c = ''")).drop("_key")
-    return out.orderBy(F.desc(text("date_posted")), "_seq")
+    keys = dedupe.key_from_row(sheet).select(_comparable(F.col("_key")).alias("_k"))
+    left = _unlinked(dedupe.first_by_url(ads, trimmed=False), sheet)
+    return without_keys(left, _comparable(dedupe.duplicate_key()), keys).orderBy(F.desc(text("date_posted")), "_seq")
 
 
 def new_excluded(ads: DataFrame, tab: DataFrame) -> DataFrame:
@@ -86,23 +119,24 @@ def migrated(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return rows.select(*(text(F.col(f"`{c}`").cast("string")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns))
 
 
-def append(rows: DataFrame, path: str, columns: tuple[str, ...]) -> None:
-    """Append to a Parquet table of strings; created on the first run."""
-    migrated(rows, columns).write.mode("append").parquet(path)
+def append(rows: DataFrame, path: str, columns: tuple[str, ...], batch: str) -> None:
+    """Append a batch to a Parquet table of strings; created on the first run. A batch that is appended again replaces itself."""
+    migrated(rows, columns).write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def existing(spark, path: str, columns: tuple[str, ...]) -> DataFrame:
-    """The table, or an empty one if there is none yet; any other fault is raised."""
+def existing(spark, path: str, columns: tuple[str, ...], but: str | None = None) -> DataFrame:
+    """The table without the batch ``but``, or an empty one if there is none yet; any other fault is raised."""
     try:
-        return migrated(spark.read.parquet(path), columns)
+        found = spark.read.parquet(path)
     except AnalysisException as error:
         if not is_missing(error):
             raise
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
+    return migrated(found if but is None or "batch" not in found.columns else found.where(F.col("batch").cast("string") != but), columns)
 
 
 def isolated(sinks: dict[str, Callable[[], None]], rescue: dict[str, Callable[[], None]] | None = None) -> list[str]:

@@ -21,6 +21,8 @@ def start(spark: SparkSession, landing: str, folder: str, today: str, checkpoint
     def each(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
             ads = numbered(batch.withColumn("date_added", F.lit("")), "job_url", "title", "company", "description_snippet")
-            pipeline.run(pipeline.materialised(ads), today, folder, part=str(number))
+            failed, _ = pipeline.failures(pipeline.materialised(ads), today, folder, part=str(number))
+            if failed:  # the batch is not committed, and is run again as the same part
+                raise RuntimeError(f"batch {number}: {', '.join(failed)} failed")
 
     return stream_adverts(spark, landing, files).writeStream.option("checkpointLocation", checkpoint).foreachBatch(each).trigger(availableNow=True).start()
