@@ -13,9 +13,11 @@ columns of the input are not read, so their names can't clash.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import pyarrow as pa
@@ -79,9 +81,24 @@ def _searcher():
 
 
 def _inexact(pattern, joined: str, i: int, a: int, b: int) -> list[tuple[int, int, int, int]]:
-    if b - a < len(NOTICES[i][1]) - edits_of(NOTICES[i][1]):
-        return []
-    return [(i, m.start(), m.end(), sum(m.fuzzy_counts)) for m in pattern.finditer(joined, pos=a, endpos=b + 1)]  # with what stands behind
+    """Matches between a and b, in order, each the best of a window that holds any match beginning in its first half.
+
+    What a window's best match leaves before it is searched again, so that a better match takes no other one away; the
+    windows' size depends on the notice alone, so that time is in proportion to the stretch.
+    """
+    least, longest = (len(NOTICES[i][1]) + sign * edits_of(NOTICES[i][1]) for sign in (-1, 1))
+    out, todo = [], [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if b - a < least:
+            continue
+        m = pattern.search(joined, pos=a, endpos=min(b, a + 2 * longest) + 1)  # with what stands behind
+        if m is None:
+            todo.append((a + longest, b))
+        else:
+            out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+            todo += [(a, m.start() - 1), (m.end(), b)]  # a match before it ends before a space of its own
+    return sorted(out, key=lambda x: x[1])
 
 
 def fuzzy_spans(joined: str) -> list[tuple[int, int, int, int]]:
@@ -134,9 +151,12 @@ def scan(text: str | None) -> tuple:
             places += found
             base.add(label)
     spans, labels, score = [], set(base), 1.0 if base else 0.0
-    for i, a, b, edits in fuzzy_spans(joined):
+    found = fuzzy_spans(joined)
+    ends = list(accumulate((len(w) + 1 for w in words), initial=-1))[1:] if found else []  # where the words end, in joined
+    for i, a, b, edits in found:
         label, notice = NOTICES[i]
-        spans.append({"label": label, "first_word": joined.count(" ", 0, a), "n_words": joined.count(" ", a, b) + 1, "edits": edits})
+        first = bisect.bisect_left(ends, a)
+        spans.append({"label": label, "first_word": first, "n_words": bisect.bisect_left(ends, b) - first + 1, "edits": edits})
         labels.add(label)
         score = max(score, 1 - edits / len(notice))
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score, spans
