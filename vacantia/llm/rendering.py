@@ -10,17 +10,22 @@ styles and, below these, in style sheets of the page whose selectors are an elem
 one element; rules within @media and the like are left aside. Of a select the chosen options show, else its first.
 
 Rendering: white space collapses but for pre and textarea; blocks start a line, those with margins leave a blank line;
-list items get a bullet or their number, two more columns for each nested list; tables become rows whose cells stand in
-columns of equal width, with colspan, rowspan and nested blocks kept.
+list items get a bullet or their number, two more columns for each nested list, up to DEEPEST columns, where all further
+ones stand; tables become rows whose cells stand in columns of equal width, with colspan, rowspan and nested blocks kept.
+Tables more than TABLES_DEEP in one another are read as blocks, a cell below the other. A table is written without
+alignment (rows of one line a cell joined by bars, other rows a cell below the other) where its spans take more than
+SPANS_HELD places for each cell, or where the blanks that align all tables of a page up to it come to more than PADDING
+times the page and a MiB.
 
 Null or empty html renders as empty text; an empty table of pages gives an empty one. Broken markup never raises: a tag
 that never ends makes what is left of the page text. Repeated rows give repeated results; only the id and html columns
-are read, so that others can't clash. The scan and the walk are iterative and linear: neither depth of nesting nor length
-is bounded by more than memory.
+are read, so that others can't clash. The scan and the walk are iterative; time and text grow in proportion to the page (with
+the bounds above as factors), whatever its depth.
 """
 
 from __future__ import annotations
 
+import bisect
 import collections
 import html as entities
 import itertools
@@ -57,6 +62,7 @@ IMPLIED = {
     "body": ({"head"}, {"html"}),
 }
 SCOPE = frozenset(("table", "td", "th", "caption", "html", "template", "button", "object"))
+DEEPEST, TABLES_DEEP, SPANS_HELD, PADDING = 80, 8, 64, 16
 SCHEMA = "page_id long, text string, n_lines long, n_words long"
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
@@ -190,8 +196,10 @@ class Styles:
     RULE = re.compile(r"([a-z][\w-]*|\*)?((?:[.#][\w-]+)*)")
 
     def __init__(self) -> None:
-        #: element, id or class -> rules that name it: (element or None, classes, ids, whether there is a box, visible)
-        self.rules: dict[str, list[tuple]] = collections.defaultdict(list)
+        #: element, id or class -> selectors that name it: (element or None, classes and ids) -> [no box, (rule, visible)]
+        self.rules: dict[str, dict[tuple, list]] = collections.defaultdict(dict)
+        self.known: dict[tuple, list] = {}
+        self.count = 0
 
     def read(self, sheet: str) -> None:
         sheet = re.sub(r"/\*.*?(?:\*/|\Z)", " ", sheet.lower(), flags=re.S)
@@ -217,19 +225,26 @@ class Styles:
             if m and m[0]:
                 parts = re.findall(r"[.#][\w-]+", m[2])
                 tag = None if m[1] in (None, "*") else m[1]
-                self.rules[parts[0] if parts else tag or "*"].append((tag, frozenset(parts), gone, says))
+                key = (tag, frozenset(parts))
+                if key not in self.known:  # filed under the part that the fewest others are filed under
+                    name = min(parts, key=lambda x: len(self.rules.get(x, ()))) if parts else tag or "*"
+                    self.known[key] = self.rules[name][key] = [False, (0, None)]
+                self.count += 1
+                self.known[key][0] |= gone
+                if says is not None:
+                    self.known[key][1] = (self.count, says)
 
     def of(self, tag: str, attrs: dict[str, str]) -> tuple[bool, bool | None]:
         if not self.rules:
             return False, None
         own = {f".{x}" for x in attrs.get("class", "").lower().split()} | ({f"#{attrs['id'].lower()}"} if attrs.get("id") else set())
-        gone, says = False, None
-        for name in ("*", tag, *own):
-            for element, parts, no_box, visible in self.rules.get(name, ()):
+        gone, last = False, (0, None)
+        for name in {"*", tag} | own:
+            for (element, parts), (no_box, visible) in self.rules.get(name, {}).items():
                 if (element is None or element == tag) and parts <= own:
                     gone |= no_box
-                    says = visible if visible is not None else says
-        return gone, says
+                    last = max(last, visible, key=lambda x: x[0])
+        return gone, last[1]  # of rules that differ on visibility the last holds
 
 
 def declared(style: str) -> tuple[bool, bool | None]:
@@ -267,7 +282,7 @@ class Page:
         if self.margin and self.lines and self.lines[-1]:
             self.lines.append("")
         self.margin = False
-        self.lines.append(" " * (self.indent - len(self.marker)) + self.marker + line)
+        self.lines.append(" " * (min(self.indent, DEEPEST) - len(self.marker)) + self.marker + line)
         self.marker = ""
 
     def block(self, spaced: bool) -> None:
@@ -321,11 +336,18 @@ def chosen(select: Node) -> list[Node]:
     return [x for x in options if "selected" in x.attrs.lower() and "selected" in x.attributes()] or options[:1]
 
 
-def placed(rows: list[list[tuple[int, int, list[str]]]]) -> list[list[tuple[int, int, list[str]]]]:
-    """Rows of (colspan, rowspan, lines) as rows of (first column, column behind, lines), columns without an edge left out."""
+def placed(rows: list[list[tuple[int, int, list[str]]]]) -> list[list[tuple[int, int, list[str]]]] | None:
+    """Rows of (colspan, rowspan, lines) as rows of (first column, column behind, lines), columns without an edge left out.
+
+    None if spans reach so far down that more than SPANS_HELD of them are held for each cell.
+    """
     out, busy = [], []  # busy: (first column, column behind, row behind) of cells from rows above
+    left = SPANS_HELD * (1000 + sum(map(len, rows)))
     for r, row in enumerate(rows):
         busy = sorted(x for x in busy if x[2] > r)
+        left -= len(busy)
+        if left < 0:
+            return None
         cells, at, i, below = [], 0, 0, []
         for columns, deep, lines in row:
             while i < len(busy) and busy[i][0] <= at:
@@ -341,9 +363,28 @@ def placed(rows: list[list[tuple[int, int, list[str]]]]) -> list[list[tuple[int,
     return [[(edges[a], edges[b], lines) for a, b, lines in row] for row in out]
 
 
-def lay_out(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
-    """Rows of (colspan, rowspan, lines) cells as lines whose columns have equal widths."""
+def unaligned(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    out = []
+    for row in rows:
+        texts = [[x for x in lines if x.strip()] for *_, lines in row]
+        out += [" | ".join(x[0].strip() for x in texts if x)] if max(map(len, texts), default=0) <= 1 else itertools.chain(*texts)
+    return [x for x in out if x]
+
+
+def lines_of(row: list[tuple[int, int, list[str]]]) -> Iterator[list[tuple[int, str]]]:
+    """(first column, text) of the cells of a row that say something, line for line."""
+    at = 0
+    while row:
+        yield [(a, lines[at]) for a, _, lines in row if lines[at].strip()]
+        at += 1
+        row = [x for x in row if len(x[2]) > at]
+
+
+def lay_out(rows: list[list[tuple[int, int, list[str]]]], room: list[int]) -> list[str]:
+    """Rows of (colspan, rowspan, lines) cells as lines whose columns have equal widths; takes what they need off ``room``."""
     grid = placed(rows)
+    if grid is None:
+        return unaligned(rows)
     width = [0] * max([0, *(b for row in grid for _, b, _ in row)])
     have = lambda a, b: sum(width[a:b]) + 3 * (b - a - 1)
     for row in grid:
@@ -355,16 +396,20 @@ def lay_out(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
             if b - a > 1:
                 width[b - 1] += max(0, max([0, *map(len, lines)]) - have(a, b))
     left = [0, *itertools.accumulate(w + 3 for w in width)]  # where each column begins
+    rest = [[x for x in row if x[2]] for row in grid]
+    need = sum(left[shown[-1][0]] for row in rest for shown in lines_of(row) if shown)
+    if need > room[0]:
+        return unaligned(rows)
+    room[0] -= need
     out = []
-    for row in grid:
-        for i in range(max([1, *(len(lines) for *_, lines in row)])):
-            shown = [(a, lines[i]) for a, _, lines in row if i < len(lines) and lines[i].strip()]
+    for row, full in zip(rest, grid):
+        starts = sorted({a for a, *_ in full if a})
+        for shown in lines_of(row):
             if not shown:
                 continue
-            edges = sorted({a for a, *_ in row if 0 < a <= shown[-1][0]} | {shown[-1][0]} - {0})
-            line, texts = [], dict(shown)
+            line, texts, last = [], dict(shown), shown[-1][0]
             at = 0
-            for a in [0, *edges]:
+            for a in [0, *starts[: bisect.bisect_right(starts, last)]]:
                 if a:
                     line.append(" " * (left[a] - 3 - at) + " | ")
                     at = left[a]
@@ -378,6 +423,7 @@ def render(source: str | None) -> str:
     root = build_tree(source or "")
     page, styles = Page(), Styles()
     pages, tables, lists = [page], [], []
+    room = [PADDING * len(source or "") + (1 << 20)]
     todo: list[tuple] = [("in", root, True, False)]
     while todo:
         step, node, shown, pre = todo.pop()
@@ -407,7 +453,7 @@ def render(source: str | None) -> str:
                 if shown and (alt := node.attributes().get("alt", "").strip()):
                     page.inline(alt)
                 continue
-            if tag in ("td", "th") and tables:
+            if tag in ("td", "th") and 0 < len(tables) <= TABLES_DEEP:
                 pages.append(Page())
             elif tag == "table":
                 page.block(True)
@@ -438,7 +484,7 @@ def render(source: str | None) -> str:
         elif step == "unindent":
             page.end_line()
             page.indent, page.marker = page.indent - shown, ""
-        elif tag in ("td", "th") and tables:
+        elif tag in ("td", "th") and 0 < len(tables) <= TABLES_DEEP:
             lines = pages.pop().done()
             if not tables[-1]:
                 tables[-1].append([])
@@ -447,7 +493,7 @@ def render(source: str | None) -> str:
             tables[-1][-1].append((number("colspan", 1, 1000), number("rowspan", 0, 65534), lines))
         elif tag == "table":
             page.block(True)
-            for line in lay_out(tables.pop()):
+            for line in lay_out(tables.pop(), room):
                 page.put(line)
             page.margin = True
         elif tag in BLOCK and tag not in ("tr", "li"):
