@@ -4,8 +4,9 @@ A mask fixes which of SPAN consecutive words a seed looks at; the others may dif
 place does not break the seed. Seeds of all benchmark items are the build side of a hash join, whose probe side is every
 position of every whole document. A hit fixes an alignment (document place, item place); verification walks the item
 along that diagonal and keeps the alignment if a window of WINDOW words (the item, if it is shorter) has at least
-AGREE of its words equal. An item of fewer than SPAN words has no seed: it matches where all its words stand
-consecutively, if it has SHORT words or more; still shorter items match nothing.
+AGREE of its words equal; of equally good windows the first of the first alignment is told. An item of SHORT to SPAN - 1
+words has two seeds, of its even and of its odd places, so that one substitution, which is all that AGREE leaves it, keeps
+one of them. A still shorter item stands in all sorts of running text: it matches a text that consists of its words alone.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
 
@@ -37,8 +38,13 @@ _TABLE_BITS = 20
 OVERLAP = "array<struct<item_id:long, doc_word:long, item_word:long, n_words:long, n_equal:long>>"
 
 
-def seeds(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
-    m = len(words) - SPAN + 1
+def masks_of(span: int) -> tuple[tuple[int, ...], ...]:
+    """The masks for items that have ``span`` words (SPAN: or more)."""
+    return MASKS if span == SPAN else (tuple(range(0, span, 2)), tuple(range(1, span, 2)))
+
+
+def seeds(words: np.ndarray, mask: tuple[int, ...], salt: int, span: int = SPAN) -> np.ndarray:
+    m = len(words) - span + 1
     if m <= 0:
         return np.zeros(0, np.uint64)
     out = np.full(m, np.uint64(salt + 1))
@@ -65,43 +71,49 @@ class Build:
         self.ids = [i for i, _ in items]
         hashes, at = W.word_hashes([W.lowered(t) for _, t in items], punctuation=True)
         self.words = [hashes[at[k] : at[k + 1]] for k in range(len(items))]
-        self.short: dict[int, list[tuple[int, int]]] = {}
-        found: list[np.ndarray] = []
-        owner: list[np.ndarray] = []
-        place: list[np.ndarray] = []
+        #: words -> hash of all of them -> items, of items too short for seeds
+        self.tiny: dict[int, dict[int, list[int]]] = {}
+        spans: dict[int, list[int]] = {}
         for k, words in enumerate(self.words):
-            if SHORT <= len(words) < SPAN:
-                self.short.setdefault(len(words), []).append((int(W.ngram_hashes(words, len(words))[0]), k))
-            for salt, mask in enumerate(MASKS):
-                h = seeds(words, mask, salt)
+            if len(words) >= SHORT:
+                spans.setdefault(min(len(words), SPAN), []).append(k)
+            elif len(words):
+                self.tiny.setdefault(len(words), {}).setdefault(int(W.ngram_hashes(words, len(words))[0]), []).append(k)
+        self.seeds = {span: self._sorted(owners, span) for span, owners in sorted(spans.items())}
+
+    def _sorted(self, owners: list[int], span: int) -> tuple[np.ndarray, ...]:
+        """Seeds of the items, in order, with their items and places, and the bit table before them."""
+        found, owner, place = [], [], []
+        for k in owners:
+            for salt, mask in enumerate(masks_of(span)):
+                h = seeds(self.words[k], mask, salt, span)
                 found.append(h)
                 owner.append(np.full(len(h), k))
                 place.append(np.arange(len(h)))
-        keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        keys = np.concatenate(found)
         order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.owner = (np.concatenate(owner) if owner else keys.astype(np.int64))[order]
-        self.place = (np.concatenate(place) if place else keys.astype(np.int64))[order]
-        self.table = np.zeros(1 << _TABLE_BITS, bool)
-        self.table[(self.keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
+        table = np.zeros(1 << _TABLE_BITS, bool)
+        table[(keys >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
+        return keys[order], np.concatenate(owner)[order], np.concatenate(place)[order], table
 
     def hits(self, words: np.ndarray) -> list[tuple[int, int]]:
         """(item, diagonal) of all seed hits, each once; the diagonal is the document place of the item's first word."""
         longest = max(map(len, self.words), default=0)
         width = len(words) + longest + 1  # of the range of diagonals
         out = np.zeros(0, np.int64)
-        for salt, mask in enumerate(MASKS):
-            h = seeds(words, mask, salt)
-            at = np.flatnonzero(self.table[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
-            left, right = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
-            found = np.flatnonzero(right > left)
-            at, left, many = at[found], left[found], (right - left)[found]
-            ends = np.cumsum(many)
-            for a, b in _slices(ends):
-                first = np.repeat(left[a:b] - (ends[a:b] - many[a:b]), many[a:b])
-                x = first + np.arange(ends[a] - many[a], ends[b - 1])
-                diagonal = np.repeat(at[a:b], many[a:b]) - self.place[x]
-                out = np.union1d(out, self.owner[x] * width + diagonal + longest)
+        for span, (keys, owner, place, table) in self.seeds.items():
+            for salt, mask in enumerate(masks_of(span)):
+                h = seeds(words, mask, salt, span)
+                at = np.flatnonzero(table[(h >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
+                left, right = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+                found = np.flatnonzero(right > left)
+                at, left, many = at[found], left[found], (right - left)[found]
+                ends = np.cumsum(many)
+                for a, b in _slices(ends):
+                    first = np.repeat(left[a:b] - (ends[a:b] - many[a:b]), many[a:b])
+                    x = first + np.arange(ends[a] - many[a], ends[b - 1])
+                    diagonal = np.repeat(at[a:b], many[a:b]) - place[x]
+                    out = np.union1d(out, owner[x] * width + diagonal + longest)
         return list(zip((out // width).tolist(), (out % width - longest).tolist()))
 
     def overlaps(self, words: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -118,11 +130,10 @@ class Build:
             top = int(sums.argmax())
             if sums[top] >= AGREE * size and (k not in best or sums[top] > best[k][-1]):
                 best[k] = (self.ids[k], at + a + top, a + top, size, int(sums[top]))
-        for n, held in self.short.items():
-            h = W.ngram_hashes(words, n)
-            for key, k in held:
-                if len(found := np.flatnonzero(h == np.uint64(key))):
-                    best[k] = (self.ids[k], int(found[0]), 0, n, n)
+        if len(words) in self.tiny:
+            n = len(words)
+            for k in self.tiny[n].get(int(W.ngram_hashes(words, n)[0]), ()):
+                best[k] = (self.ids[k], 0, 0, n, n)
         return [best[k] for k in sorted(best)]
 
 
