@@ -7,8 +7,9 @@ words and at the last place that fits, so that the whole text is covered and eve
 
 Training is learning from documents' labels with windows as instances: a positive document teaches through the window
 that scores highest so far (at first by log odds of its words' features, then by the model), a negative one through
-random windows. The sample is bounded: POSITIVES and NEGATIVES documents at most, of at most SAMPLE_CHARS characters,
-taken in the order of a hash of the id. All else covers every row and the whole of every text.
+random windows. The sample is bounded: POSITIVES and NEGATIVES documents at most, with their whole texts, taken in the
+order of a hash of the id as long as the texts of a label hold SAMPLE_CHARS characters at most (the first is always taken).
+All else covers every row and the whole of every text.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Null and empty texts get the network's score
 of an empty window. Without labels the score is 0 everywhere. Repeated rows get equal scores; of labels that contradict
@@ -22,14 +23,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 12, 12
 SIZES, BUCKETS, WORDS, DOCS_OF_WORD = (3, 4, 5, 6), 1 << 15, 20_000, 3
-POSITIVES, NEGATIVES, SAMPLE_CHARS = 1000, 1500, 40_000
+POSITIVES, NEGATIVES, SAMPLE_CHARS = 1000, 1500, 12_000_000
 ROUNDS, STEPS, BATCH, RATE, THRESHOLD = 5, 140, 192, 0.01, 0.3
 _CHUNK = 2048
 
@@ -284,10 +285,11 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     some = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, POSITIVES), (0, NEGATIVES))]
     picked = some[0].unionAll(some[1])
-    start = F.expr(f"1 + pmod(xxhash64(doc_id), greatest(1, length(text) - {SAMPLE_CHARS} + 1))")  # of a longer text a stretch counts, anywhere in it
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    texts = texts.withColumn("text", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)))
     one = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # at most POSITIVES + NEGATIVES rows are sent
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    size = F.length("text").cast("long")
+    one = one.withColumn("held", F.sum(size).over(order)).where((F.col("held") <= SAMPLE_CHARS) | (F.col("held") == size)).drop("held")
     return [(W.lowered(r.text), r.toxic) for r in sorted(one.collect(), key=lambda r: r.doc_id)]
 
 
