@@ -199,7 +199,7 @@ def test_decontamination(spark):
             v = list(w)
             for at in r.choice(len(v), edits, replace=False):
                 v[at] = f"zz{at}"
-            expected[len(texts)] = [k] if reach and len(w) >= (5 if not edits else 9) and (edits == 0 or len(w) >= 15) else []
+            expected[len(texts)] = [k] if reach and len(w) >= 5 and (edits == 0 or len(w) != 9) else []
             texts.append(" ".join([*some_words(k, 30, 9000), *v, *some_words(k + 50, 30, 9000)]).upper())
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {x.doc_id: list(x["items"]) for x in decontamination.contaminated(documents(spark, texts), bench).collect()}
@@ -246,7 +246,9 @@ def test_overlaps_against_all_alignments(monkeypatch):
         want = set()
         for k, item in items:
             w = words_of(item)
-            if decontamination.SHORT <= len(w) < decontamination.SPAN and any((doc[a : a + len(w)] == w).all() for a in range(len(doc) - len(w) + 1)):
+            if decontamination.SHORT <= len(w) < decontamination.SPAN and any((doc[a : a + len(w)] == w).sum() >= len(w) - 1 for a in range(len(doc) - len(w) + 1)):
+                want.add(k)
+            if 0 < len(w) < decontamination.SHORT and w.tolist() == doc.tolist():
                 want.add(k)
             size_of = min(decontamination.WINDOW, len(w))
             for at in range(-len(w), len(doc) + 1):
@@ -260,6 +262,13 @@ def test_overlaps_against_all_alignments(monkeypatch):
         assert {x[0] for x in decontamination.Build(items).overlaps(doc)} == want
 
 
+def test_tiny_items_match_whole_texts_alone():
+    words_of = lambda t: words.word_hashes([t.encode()], punctuation=True)[0]
+    build = decontamination.Build([(1, "yes"), (2, "What, again?"), (3, "a b c d e"), (4, "")])
+    found = {t: [x[0] for x in build.overlaps(words_of(t))] for t in ("yes", "yes it is", "what again", "what is it again", "so a b x d e", "so a b x y e", "")}
+    assert found == {"yes": [1], "yes it is": [], "what again": [2], "what is it again": [], "so a b x d e": [3], "so a b x y e": [], "": []}
+
+
 def test_overlaps_of_repeated_words():
     began = time.monotonic()
     found = decontamination.Build([(1, "x " * 200)]).overlaps(words.word_hashes([b"x " * 32000], punctuation=True)[0])
@@ -378,6 +387,17 @@ def test_licenses_against_a_search_without_seeds():
     assert licenses.scan("released under the mit licensexxxxxx")[5] == ""
 
 
+def test_licenses_in_long_texts():
+    """Many notices, exact and not, in time that follows the text; a better one takes none away."""
+    began = time.monotonic()
+    for notice, edits in (("all rights reserved ", 0), ("all rihts reserved ", 1)):
+        spans = licenses.scan(notice * 30_000)[-1]
+        assert [(s["first_word"], s["n_words"], s["edits"]) for s in spans] == [(3 * i, 3, edits) for i in range(30_000)]
+    assert time.monotonic() - began < 10
+    mixed = "relesed under the mit license x released under the mit license relased undr the mit license"
+    assert [(s["first_word"], s["edits"]) for s in licenses.scan(mixed)[-1]] == [(0, 1), (6, 0), (11, 2)]
+
+
 def test_license_pieces_cover_all_small_edits():
     """Any notice with as many edits as are allowed keeps a piece, and is found."""
     r = np.random.Generator(np.random.PCG64(6))
@@ -412,7 +432,7 @@ def test_urls_that_training_has_not_seen(monkeypatch):
         for label, url in rows[fold::8]:
             hits[label].append(urls.score(*urls.split_url(url)) >= urls.THRESHOLD)
     urls.model.cache_clear()
-    assert sum(hits[1]) >= 0.7 * len(hits[1]) and sum(hits[0]) <= 0.1 * len(hits[0])
+    assert sum(hits[1]) >= 0.9 * len(hits[1]) and sum(hits[0]) <= 0.1 * len(hits[0])
 
 
 def test_rendering(spark):
@@ -435,6 +455,28 @@ def test_rendering_takes_time_in_proportion(html):
     assert time.monotonic() - began < 10
 
 
+@pytest.mark.parametrize(
+    "html", ["<ul><li>a" * 110_000, "<table>" + "<tr><td rowspan=60000>a" * 43_000, "<table><tr><td>a" * 62_000, "<blockquote>a" * 80_000, "<style>" + "div{visibility:hidden}" * 22_000 + "</style>" + "<div>a</div>" * 45_000, "<style>" + "".join(f".x.a{i}{{display:none}}" for i in range(22_000)) + "</style>" + "<div class=x>a</div>" * 25_000, "<table><tr>" + "<td>a" * 50_000 + "<td>" + "b<br>" * 100_000, "<table><tr><td>" + "w" * 300_000 + "<td>z" + "<tr><td>a<td>b" * 45_000]
+)
+def test_a_page_of_a_megabyte(html):
+    """Text and time stay in proportion to the page, and no text is lost."""
+    began = time.monotonic()
+    text = rendering.render(html)
+    assert time.monotonic() - began < 10 and len(text) <= 20 * len(html)
+    if "<style>" not in html:
+        assert all(text.count(c) == re.sub("<[^>]*>", "", html).count(c) for c in "abwz")
+
+
+def test_deep_lists_and_tables_stay_in_bounds():
+    lines = rendering.render("<ul><li>a" * 60).split("\n")
+    assert [len(x) - 3 for x in lines] == [min(2 * i, 78) for i in range(60)]
+    assert rendering.render("<table><tr><td>a<td>" * 10 + "x").split("\n")[0] == "a | " * 8 + "a" and rendering.render("<table><tr><td>a<td>" * 10 + "x").endswith("x")
+    assert rendering.Styles().of("p", {}) == (False, None)
+    styles = rendering.Styles()
+    styles.read("p{visibility:hidden} .a{visibility:visible} .b{visibility:hidden} p.a.b{display:none}")
+    assert [styles.of("p", {"class": c}) for c in ("", "a", "b", "b a")] == [(False, False), (False, True), (False, False), (True, False)]
+
+
 def test_tables_are_aligned():
     """Random tables with spans against a grid filled cell by cell."""
     r = np.random.Generator(np.random.PCG64(20))
@@ -548,6 +590,17 @@ def test_toxicity_learns(spark):
     assert {r.score for r in toxicity.toxicity(df.limit(3), known.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_whole_texts(spark, monkeypatch):
+    """Long labelled texts are taken whole, or (behind the bound of all texts together) not at all; the first always is."""
+    texts = [" ".join(some_words(i, n, 600)) for i, n in enumerate([40_000, 10, 20, 30, 40, 50, 60, 70])] + [None]
+    known = spark.createDataFrame([(i, 1, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    learnt = {i for i in range(8) if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sorted(toxicity.sample(documents(spark, texts), known)) == sorted((texts[i].encode(), i % 2) for i in learnt)
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 1)
+    few = toxicity.sample(documents(spark, texts), known)
+    assert sorted(k for _, k in few) == [0, 1] and {t.decode() for t, _ in few} <= {texts[i] for i in learnt}
+
+
 def test_toxicity_gradients():
     texts, labels = toxic_corpus()
     net = toxicity.train([t.encode() for t in texts[:20]], labels[:20])
@@ -634,4 +687,4 @@ def test_repeated_rows_long_texts_and_no_rows(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES if k.startswith("op")) == list(range(1, 14))
