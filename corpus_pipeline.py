@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from vacantia.llm import decontamination, line_dedup, ngram_join, packing, toxicity
-from vacantia.llm.tables import table, through_table
+from vacantia.llm.tables import discard, table, through_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +69,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each written as Parquet and read by the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = through_table(stage(spark, docs, sf_dir), name)
+        if last is not None:  # nothing reads it any more
+            discard(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
