@@ -10,7 +10,7 @@ import __spark_entry__
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
 from vacantia.functions import text as T
-from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
+from vacantia.operators import board, dedupe, enrich, extract, history, postings, quality, screen, search
 from vacantia.plans import pipeline, registry
 from vacantia.sources import cards, feeds, html, listing, quarantine, sinks
 from vacantia.streaming import daily
@@ -133,6 +133,23 @@ def test_dedupe(spark):
     assert dedupe.first_by_url(df, drop_blank=True).count() == 3 and quality.duplicates_left(out).first()["duplicates_left"] == 0
 
 
+def test_keyword_postings(spark, tmp_path):
+    """Postings find what a scan finds: nulls, line ends, short and blank keywords, characters of any kind, a part run again."""
+    words = ["Java", "C#", None, "", "a\nb", "naïve ÉCOLE", "日本語の仕事", "50% \\d+ [x]", "x" * 5000 + "java", "\U0001f600\U0001f601\U0001f602", "jav a"]
+    rows = [(i, w, words[-i], None if i % 3 else "Blurb", f"{w} and {words[i // 2]}", "k", "g") for i, w in enumerate(words)]
+    jobs = spark.createDataFrame(rows, "_seq long, title string, company string, blurb string, description_snippet string, keyword string, gram string")
+    folder = f"{tmp_path}/postings"
+    for part, wanted in (("0", "_seq < 4"), ("1", "_seq >= 4"), ("1", "_seq >= 4")):
+        postings.post(jobs.where(wanted), folder, part)
+    index = postings.postings(spark, folder)
+    asked = ["Java", " java ", "JAV", "C#", "", None, "naïve école", "日本語", "\\d+ [", "a\nb", "\U0001f600\U0001f601\U0001f602", "absent", "and", "xxxxjava", "None and Java"]
+    got = {(r.keyword, r._seq) for r in postings.found(jobs, index, asked).collect()}
+    assert got == {((k or "").strip().lower(), r._seq) for k in asked for r in jobs.where(search.mentions(k)).collect()} and ("java", 8) in got
+    plan = postings.candidates(index, ["java"])._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "In(gram, [ava,jav])" in plan
+    assert postings.found(jobs.limit(0), index, ["java", "5"]).count() == 0 and postings.found(jobs, index, []).count() == 0
+
+
 def test_board(spark):
     old = ads(spark, [("A", "X", "", "", "l1", "old", "2026-08-01", "2026-08-01"), ("B", "Y", "", "", "", "old", "", "2026-08-20"), ("C", "Z", "", "", "l3", "old", "", "")])
     new = ads(spark, [("A2", "X", "", "", "l1", "new", "2026-08-21", ""), ("b", "Y Ltd", "", "", "l9", "new", "", ""), ("B", "Y", "", "", "", "second", "", ""), ("D", "W", "", "", "l4", "new", "2026-08-22", "")])

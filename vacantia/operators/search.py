@@ -15,6 +15,10 @@ from vacantia.functions.text import split_list
 from .board import best_date
 
 
+#: What a keyword is looked for in.
+SEARCHED = ("title", "company", "blurb", "description_snippet")
+
+
 @dataclass(frozen=True)
 class Filters:
     search: str = ""
@@ -53,7 +57,7 @@ def mentions(keyword: str) -> Column:
     if not q:
         return F.lit(True)
     hit = F.lit(False)
-    for c in ("title", "company", "blurb", "description_snippet"):
+    for c in SEARCHED:
         hit = hit | F.lower(text(c)).contains(q)
     return hit
 

@@ -14,7 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from vacantia.functions import rules as R
 from vacantia.functions import skills as S
 from vacantia.functions import text as T
-from vacantia.operators import board, dedupe, enrich, extract, history, quality, screen, search
+from vacantia.operators import board, dedupe, enrich, extract, history, postings, quality, screen, search
 from vacantia.sources import cards, feeds, listing, quarantine, sinks
 
 from .job_ads import TODAY, adverts
@@ -262,6 +262,20 @@ def keyword_search(spark, sf):
     return adverts(spark, sf).where(search.mentions(" Java ")).select("doc_id")
 
 
+_KEYWORDS = ("java", "machine learning", "c#", "zeta recruitment", "a short blurb", "docker and k8s", "no such words", "5")
+
+
+@query(q(f"""SELECT keyword, doc_id FROM n, (SELECT unnest([{', '.join(f"'{k}'" for k in _KEYWORDS)}]) AS keyword)
+  WHERE contains(lower(title), keyword) OR contains(lower(company), keyword) OR contains(lower(blurb), keyword) OR contains(lower(description_snippet), keyword)"""))
+def keyword_postings(spark, sf):
+    """Several keywords, two of them too short for a gram, by postings that are written in two parts."""
+    ads, folder = adverts(spark, sf), f"{shared_folder(spark)}/postings-{uuid.uuid4().hex}"
+    for part in (0, 1):
+        postings.post(ads.where(F.col("_seq") % 2 == part), folder, str(part))
+    found = postings.found(ads, postings.postings(spark, folder), [f" {k.title()} " for k in _KEYWORDS])
+    return found.select("keyword", F.col("_seq").alias("doc_id"))
+
+
 @query(q("SELECT DISTINCT 'role_type' AS facet, role_type AS value FROM fin WHERE role_type <> '' UNION SELECT DISTINCT 'job_level', job_level FROM fin UNION SELECT DISTINCT 'workplace_policy', workplace_policy FROM fin WHERE workplace_policy <> '' UNION SELECT DISTINCT 'source', source FROM fin UNION SELECT DISTINCT 'employment_type', employment_type FROM fin WHERE employment_type <> ''"))
 def facets_values(spark, sf):
     return search.facet_values(_screened(spark, sf))
