@@ -146,7 +146,7 @@ def test_keyword_postings(spark, tmp_path):
     got = {(r.keyword, r._seq) for r in postings.found(jobs, index, asked).collect()}
     assert got == {((k or "").strip().lower(), r._seq) for k in asked for r in jobs.where(search.mentions(k)).collect()} and ("java", 8) in got
     plan = postings.candidates(index, ["java"])._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
-    assert "In(gram, [ava,jav])" in plan
+    assert "In(gram, [ava,jav])" in plan and "PartitionFilters: [bucket" in plan
     assert postings.found(jobs.limit(0), index, ["java", "5"]).count() == 0 and postings.found(jobs, index, []).count() == 0
 
 

@@ -1,9 +1,9 @@
 """Keyword search over a kept board by trigrams, so that a keyword reads the adverts that may hold it and no others.
 
 Postings are rows (gram, _seq): each run of three characters of an advert's lower-cased searchable fields, once. They lie in
-order of the gram, in files cut by (gram, _seq), so that a common gram is spread over several, and a search reads the row
-groups of its own grams alone (the filter is pushed to Parquet). Each part (a day's adverts) has a folder of its own, which
-is written anew if the part is run again.
+folders by a bucket of the gram, each in SPREAD files or so by _seq, so that a common gram is no one's alone, in order of
+the gram: a search reads the folders of its grams' buckets, and there the row groups of its grams (both filters reach the
+scan). Each part (a day's adverts) has a folder of its own, which is written anew if the part is run again.
 
 A search keeps the adverts that have all of a keyword's grams, joins these with the adverts and looks for the keyword
 itself: the result is that of ``search.mentions``. Keywords of fewer than three characters have no gram: they are looked
@@ -13,6 +13,7 @@ count once; an advert without text has no postings; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +23,8 @@ from vacantia.functions.patterns import text
 
 from .search import SEARCHED
 
-SIZE = 3
-SCHEMA = "gram string, _seq long"
+SIZE, BUCKETS, SPREAD = 3, 32, 8
+SCHEMA = "gram string, _seq long, bucket int"
 
 
 def _fields() -> Column:
@@ -41,11 +42,12 @@ def post(jobs: DataFrame, folder: str, part: str) -> None:
     """Write the postings of a part's adverts, which have a ``_seq`` that no other part has."""
     every = F.regexp_extract_all(_fields(), F.lit(f"(?s)(?=(.{{{SIZE}}}))"), F.lit(1))
     rows = jobs.select(F.explode(F.array_distinct(every)).alias("gram"), F.col("_seq").cast("long").alias("_seq"))
-    rows.repartitionByRange("gram", "_seq").sortWithinPartitions("gram", "_seq").write.mode("overwrite").parquet(f"{folder}/part={part}")
+    rows = rows.withColumn("bucket", (F.crc32("gram") % BUCKETS).cast("int")).repartition("bucket", F.pmod("_seq", F.lit(SPREAD)))
+    rows.sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").mode("overwrite").parquet(f"{folder}/part={part}")
 
 
 def postings(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).parquet(f"{folder}/part=*")
+    return spark.read.schema(SCHEMA).option("basePath", folder).parquet(f"{folder}/part=*").select("gram", "_seq", "bucket")
 
 
 def candidates(index: DataFrame, keywords: Sequence[str]) -> DataFrame:
@@ -53,7 +55,9 @@ def candidates(index: DataFrame, keywords: Sequence[str]) -> DataFrame:
     wanted = [(k, g) for k in keywords for g in grams(k)]
     sizes = {k: len(grams(k)) for k in keywords}
     asked = index.sparkSession.createDataFrame([(k, g, sizes[k]) for k, g in wanted], "keyword string, gram string, size int")
-    hits = index.where(F.col("gram").isin(sorted({g for _, g in wanted}))).join(F.broadcast(asked), "gram")  # as small as the question
+    asked_grams = sorted({g for _, g in wanted})
+    own = index.where(F.col("bucket").isin(sorted({zlib.crc32(g.encode()) % BUCKETS for g in asked_grams})) & F.col("gram").isin(asked_grams))
+    hits = own.join(F.broadcast(asked), "gram")  # as small as the question
     return hits.groupBy("keyword", "_seq").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size")).where("n = size").select("keyword", "_seq")
 
 
