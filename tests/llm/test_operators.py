@@ -560,6 +560,52 @@ def test_tool_call_levels_are_longest_paths(spark):
     assert {int(x.call_id): x.level for x in tool_calls.levels(df).collect()} == level
 
 
+def levels_of(needs):
+    """Longest paths to calls without needs; those on or behind a cycle are left out."""
+    level, open_ = {}, dict(needs)
+    while ready := [i for i, n in open_.items() if all(x in level for x in n)]:
+        for i in ready:
+            level[i] = 1 + max((level[x] for x in open_.pop(i)), default=-1)
+    return level
+
+
+def call_rows(needs, conv=1, turn=lambda i: i):
+    return [(conv, turn(i), 0, str(i), json.dumps([{"$ref": str(x)} for x in sorted(n)]), None) for i, n in needs.items()]
+
+
+CALL_ROWS = "conv_id long, turn long, place int, call_id string, arguments string, after string"
+
+
+def test_tool_call_levels_of_calls_that_need_several_take_few_tables(spark, monkeypatch):
+    """1000 calls that each need the previous two, and the first; others with any three earlier ones."""
+    written = []
+    through = tool_calls.through_table
+    monkeypatch.setattr(tool_calls, "through_table", lambda df, name: (written.append(name), through(df, name))[1])
+    two = {i: {x for x in (i - 1, i - 2, 0) if 0 <= x < i} for i in range(1000)}
+    got = tool_calls.levels(spark.createDataFrame(call_rows(two), CALL_ROWS), ("turn", "place"))
+    assert {int(x.call_id): x.level for x in got.collect()} == {i: i for i in two}
+    assert len(written) <= 30, written
+
+
+@pytest.mark.parametrize("work", [16, 0])
+def test_tool_call_levels_of_any_graph(spark, monkeypatch, work):
+    """Ladders, grids, random graphs and cycles, doubled or peeled, with turns in an order of their own: equal to longest paths."""
+    monkeypatch.setattr(tool_calls, "WORK", work)
+    r = np.random.Generator(np.random.PCG64(7))
+    graphs = [
+        {i: {x for x in ((i | 1) - 2, (i | 1) - 3) if x >= 0} for i in range(24)},  # two lines, each call needs both before
+        {i: {x for x in (i - 1 if i % 5 else -1, i - 5) if x >= 0} for i in range(30)},  # a grid
+        {i: {int(x) for x in r.integers(0, 40, 2)} for i in range(40)},  # cycles
+        {i: {int(x) for x in r.integers(0, i, 2)} if i else set() for i in range(40)},
+        {0: {0}, 1: {0, 2}, 2: set(), 3: {2, 9}, 9: {2}, 10: {11, 12}, 11: {12, 13}, 12: {13, 11}, 13: set()},
+    ]
+    places = [lambda i: i, lambda i: -i, lambda i: i * 7 % 11, lambda i: 0, lambda i: i]
+    rows = [x for conv, (g, place) in enumerate(zip(graphs, places)) for x in call_rows(g, conv, place)]
+    got = tool_calls.levels(spark.createDataFrame(rows, CALL_ROWS), ("turn", "place"))
+    want = {(conv, str(i)): n for conv, g in enumerate(graphs) for i, n in levels_of(g).items()}
+    assert {(x.conv_id, x.call_id): x.level for x in got.collect()} == want
+
+
 def toxic_corpus():
     r = np.random.Generator(np.random.PCG64(2))
     bad = ["idiot", "scumbag", "lowbrau", "lowbrant", "lowbrix"]

@@ -23,6 +23,7 @@ its size does not matter. Very long texts are read whole. Extra columns are not
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -81,63 +82,117 @@ def errors_of(name: str, arguments: str) -> Column:
     return found.otherwise(F.array(F.concat(F.lit("name: unknown "), F.coalesce(F.col(name), F.lit("null")))))
 
 
-def levels(calls: DataFrame) -> DataFrame:
+#: Calls are put together over twice the way as long as that takes no more rows than so many for each link.
+WORK = 16
+_KEY = ["conv_id", "call_id"]
+
+
+def levels(calls: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(conv_id, call_id, level) of the calls with an identifier; calls on or behind a cycle are left out.
 
-    A call that needs one other is a link of a chain; chains are passed over at once, by doubling. What is left are the
-    calls that need several: they are levelled one after the other, each round those of whom all needs have a level.
+    The latest of the earlier calls that a call needs is its stem; stems make trees. A need that stands further up the
+    same tree is no longer than the way by the stems and goes. Where nothing else is left, levels are depths in the trees;
+    otherwise they are longest ways over the stems and the needs that are left. Both come from tables of the calls that
+    are 1, 2, 4, ... needs apart, so that rounds grow with the logarithm of the levels. Columns ``by`` tell which calls are
+    earlier, then identifiers do, shorter ones first; any order gives the same levels.
     """
-    key = ["conv_id", "call_id"]
-    nodes = calls.where("call_id is not null").select(*key).distinct()
+    named = calls.where("call_id is not null")
+    nodes = named.groupBy(*_KEY).agg(F.min(F.struct(*by, F.length("call_id").alias("size"), "call_id")).alias("first"))
     refs = F.regexp_extract_all("arguments", F.lit(r'"\$ref"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
     needs = F.concat(F.coalesce(refs, F.array().cast("array<string>")), F.array_compact(F.array("after")))
-    wanted = calls.where("call_id is not null").select(*key, F.explode(needs).alias("needs")).distinct()
-    edges = through_table(wanted.join(nodes.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi"), "call-edges")
-    free = nodes.join(edges.select(*key).distinct(), key, "left_anti").withColumn("level", F.lit(0))
-    counted = edges.join(edges.groupBy(*key).agg(F.count(F.lit(1)).alias("k")), key)
-    chains = _chains(counted.where("k = 1").select(*key, F.col("needs").alias("anchor"), F.lit(1).alias("steps")))
-    passed = chains.withColumnRenamed("call_id", "needs")
-    several = counted.where("k > 1").join(passed, ["conv_id", "needs"], "left")
-    several = several.select(*key, F.coalesce("anchor", "needs").alias("anchor"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"))
-    fixed = free.unionByName(_peeled(several, free))
-    behind = chains.join(fixed.withColumnRenamed("call_id", "anchor"), ["conv_id", "anchor"])
-    return fixed.unionByName(behind.select(*key, (F.col("level") + F.col("steps")).alias("level")))
-
-
-def _chains(links: DataFrame) -> DataFrame:
-    """For each call that needs one other: the first call on its way (anchor) that does not, and the steps to it.
-
-    Each round doubles how far back a call looks. Calls that have not come to an anchor after enough rounds for the
-    longest chain lie on a cycle or behind one and are left out.
+    wanted = named.select(*_KEY, F.explode(needs).alias("needs")).distinct()
+    asked = nodes.select("conv_id", F.col("call_id").alias("needs"), F.col("first").alias("asked"))
+    placed = wanted.join(asked, ["conv_id", "needs"]).join(nodes, _KEY)
+    edges = through_table(placed.select(*_KEY, "needs", "asked", (F.col("asked") < F.col("first")).alias("earlier")), "call-edges")
+    stems = edges.where("earlier").groupBy(*_KEY).agg(F.max("asked").alias("stem"))
+    stems = through_table(stems.select(*_KEY, F.col("stem.call_id").alias("needs")), "call-stems")
+    ups = _doubled(stems)
+    depths = through_table(_depths(nodes, ups), "call-depths")
+    others = edges.join(stems, [*_KEY, "needs"], "left_anti").select(*_KEY, "needs")
+    left = through_table(_off_stems(others, depths, ups), "call-needs")
+    if left.isEmpty():
+        discard(edges, left, *ups)
+        return depths
+    ways = _doubled(through_table(stems.unionByName(left), "call-links"))
+    discard(edges, left, *ups)
+    return _longest(depths.select(*_KEY), ways)
+
+
+def _doubled(links: DataFrame) -> list[DataFrame]:
+    """Tables of the calls (conv_id, call_id, needs) that are 1, 2, 4, ... needs apart, by any way of so many.
+
+    The last one is empty, unless there are cycles (no way without one is as long as all links are many) or the next one
+    would take more than WORK rows for each link to make.
     """
-    state = through_table(links, "call-chains")
-    for _ in range(state.count().bit_length() + 1):
-        back = state.select("conv_id", F.col("call_id").alias("anchor"), F.col("anchor").alias("further"), F.col("steps").alias("more"))
-        moved = state.join(back, ["conv_id", "anchor"], "left")
-        moved = moved.select("conv_id", "call_id", F.coalesce("further", "anchor").alias("anchor"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moving"))
-        last, state = state, through_table(moved, "call-chains")
-        discard(last)
-        if state.where("moving").isEmpty():
+    ways, size = [links], links.count()
+    while not ways[-1].isEmpty() and 1 << (len(ways) - 1) <= size:
+        at = ways[-1]
+        into = at.groupBy("conv_id", F.col("needs").alias("call_id")).agg(F.count(F.lit(1)).alias("n"))
+        rows = at.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("k")).join(into, _KEY).agg(F.sum(F.col("n") * F.col("k"))).first()[0]
+        if (rows or 0) > WORK * size:
             break
-    return state.where("not moving").select("conv_id", "call_id", "anchor", "steps")
+        on = at.select("conv_id", F.col("call_id").alias("needs"), F.col("needs").alias("further"))
+        ways.append(through_table(at.join(on, ["conv_id", "needs"]).select(*_KEY, F.col("further").alias("needs")).distinct(), "call-ways"))
+    return ways
+
+
+def _depths(nodes: DataFrame, ups: list[DataFrame]) -> DataFrame:
+    """The depths of all calls in the trees: each goes up by the largest steps that there are."""
+    state = nodes.select(*_KEY, F.col("call_id").alias("at"), F.lit(0).alias("level"))
+    for k in reversed(range(len(ups))):
+        up = ups[k].select("conv_id", F.col("call_id").alias("at"), F.col("needs").alias("up"))
+        more = F.when(F.col("up").isNotNull(), 1 << k).otherwise(0)
+        state = state.join(up, ["conv_id", "at"], "left").select(*_KEY, F.coalesce("up", "at").alias("at"), (F.col("level") + more).alias("level"))
+    return state.select(*_KEY, "level")
+
+
+def _off_stems(others: DataFrame, depths: DataFrame, ups: list[DataFrame]) -> DataFrame:
+    """Those of the needs that do not stand further up in the tree of the call: its ancestor at their depth is another."""
+    below = depths.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("low"))
+    state = others.join(depths, _KEY).join(below, ["conv_id", "needs"])
+    state = state.select(*_KEY, "needs", F.col("call_id").alias("at"), (F.col("level") - F.col("low")).alias("rise"))
+    for k, table in enumerate(ups):
+        up = table.select("conv_id", F.col("call_id").alias("at"), F.col("needs").alias("up"))
+        goes = F.col("rise").bitwiseAND(F.lit(1 << k)) != 0
+        state = state.join(up, ["conv_id", "at"], "left").select(*_KEY, "needs", F.when(goes, F.col("up")).otherwise(F.col("at")).alias("at"), "rise")
+    return state.where("rise <= 0 or not at <=> needs").select(*_KEY, "needs")
+
+
+def _longest(nodes: DataFrame, ways: list[DataFrame]) -> DataFrame:
+    """The levels of ``nodes``, from _doubled() tables of what they need.
+
+    A call with a way of 2^k needs and none of 2^(k+1) is 2^k above the highest of the calls at the ends of these ways,
+    which are all below 2^k.
+    """
+    known = through_table(nodes.join(ways[0].select(*_KEY).distinct(), _KEY, "left_anti").withColumn("level", F.lit(0)), "call-levels")
+    for k, (table, longer) in enumerate(zip(ways, ways[1:])):
+        here = table.join(longer.select(*_KEY).distinct(), _KEY, "left_anti")
+        base = known.select("conv_id", F.col("call_id").alias("needs"), "level")
+        new = here.join(base, ["conv_id", "needs"]).groupBy(*_KEY).agg((F.max("level") + (1 << k)).alias("level"))
+        last, known = known, through_table(known.unionByName(new), "call-levels")
+        discard(last)
+    size, step = ways[0].count(), 1 << (len(ways) - 1)
+    if step <= size and not ways[-1].isEmpty():  # the rest is too dense to double further
+        known = known.unionByName(_peeled(ways[-1], step, known))
+    discard(*ways[:-1])
+    return known
 
 
-def _peeled(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """Levels of calls that need several others, some steps away, from the levels that are known."""
-    key = ["conv_id", "call_id"]
-    edges = through_table(edges.withColumn("level", F.lit(None).cast("int")), "call-edges")
-    found = [edges.select(*key, "level").limit(0)]
+def _peeled(table: DataFrame, step: int, known: DataFrame) -> DataFrame:
+    """The levels of the calls of ``table``, ``step`` above the highest of the calls there, round by round."""
+    edges = through_table(table.withColumn("level", F.lit(None).cast("int")), "call-edges")
+    found = [edges.select(*_KEY, "level").limit(0)]
     while not edges.isEmpty():
-        of = known.select("conv_id", F.col("call_id").alias("anchor"), F.col("level").alias("base"))
-        filled = edges.join(of, ["conv_id", "anchor"], "left").withColumn("level", F.coalesce("level", F.col("base") + F.col("steps"))).drop("base")
+        base = known.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("base"))
+        filled = edges.join(base, ["conv_id", "needs"], "left").withColumn("level", F.coalesce("level", F.col("base") + step)).drop("base")
         filled = through_table(filled, "call-edges")
-        judged = filled.groupBy(*key).agg(F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open"))
-        known = through_table(judged.where("open = 0").select(*key, "level"), "call-levels")
+        judged = filled.groupBy(*_KEY).agg(F.max("level").alias("level"), F.count_if(F.col("level").isNull()).alias("open"))
+        known = through_table(judged.where("open = 0").select(*_KEY, "level"), "call-levels")
         if known.isEmpty():
             break
         found.append(known)
         discard(edges)
-        edges = through_table(filled.join(known.select(*key), key, "left_anti"), "call-edges")
+        edges = through_table(filled.join(known.select(*_KEY), _KEY, "left_anti"), "call-edges")
         discard(filled)
     return reduce(DataFrame.unionByName, found)
 
@@ -150,7 +205,7 @@ def link(messages: DataFrame) -> DataFrame:
     first = results.where("call_id is not null").groupBy(*key).agg(F.min(F.struct(F.col("turn").alias("result_turn"), F.col("content").alias("result"))).alias("r")).select(*key, "r.*")
     named = calls.where("call_id is not null")
     often = named.groupBy(*key).agg(F.count(F.lit(1)).alias("times"))
-    known = named.join(often.hint("shuffle_hash"), key).join(levels(calls).hint("shuffle_hash"), key, "left").join(first.hint("shuffle_hash"), key, "left")
+    known = named.join(often.hint("shuffle_hash"), key).join(levels(calls, ("turn", "place")).hint("shuffle_hash"), key, "left").join(first.hint("shuffle_hash"), key, "left")
     blank = calls.where("call_id is null").select("*", F.lit(1).alias("times"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("long").alias("result_turn"), F.lit(None).cast("string").alias("result"))
     rows = known.unionByName(blank)
     status = F.when(F.col("call_id").isNull(), "unnamed").when(F.col("result_turn").isNull(), "unanswered").when(F.col("level").isNull(), "cyclic").otherwise("answered")
