@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from vacantia.functions import text as T
 from vacantia.operators import board, dedupe, enrich, extract, history, postings, quality, screen, search
 from vacantia.plans import pipeline, registry
 from vacantia.sources import cards, feeds, html, listing, quarantine, sinks
-from vacantia.streaming import daily
+from vacantia.streaming import daily, live_board
 
 AD = "_seq long, title string, company string, city string, location string, job_url string, description_snippet string, date_posted string, date_added string"
 
@@ -543,3 +544,42 @@ def test_sorts_return_all_rows(spark, monkeypatch):
     assert got == list(enumerate(sorted(range(120), key=lambda i: (-(i % 7), i)), 1))
     years = [(r.doc_id, r.experience_years) for r in registry.QUERIES["sort_years_nulls_last"](spark, "").collect()]
     assert years == sorted(((i, None if i % 3 == 0 else i % 8) for i in range(120)), key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+
+
+def test_stream_of_the_board_equals_daily_merges(spark, tmp_path):
+    """Drops of some days, links with and without stated dates: the stream's board is the one of merge and prune, day by day."""
+    r, columns, folder = random.Random(5), "_seq long, title string, company string, city string, location string, job_url string, date_posted string, date_added string", str(tmp_path / "live")
+    day = lambda n: f"2026-08-{1 + n:02d}"
+    kept, all_ads, totals = spark.createDataFrame([], columns), {}, []
+    for nth, at in enumerate((0, 2, 4, 5, 8, 9)):
+        rows = [(100 * nth + k, f"t{nth}-{k}", "", "", "", f" https://x/{link} ", r.choice(("", None, day(max(0, at - r.randint(0, 6))))), "") for k, link in enumerate(r.sample(range(30), 9))]
+        all_ads |= {row[0]: row[1] for row in rows}
+        ads = spark.createDataFrame(rows, columns)
+        kept = board.prune(kept, day(at - 1), 3, 2) if at else kept
+        kept = pipeline.materialised(board.prune(board.merge(kept, ads, day(at)), day(at), 3, 2))
+        copies = ads.withColumn("_seq", F.explode(F.sequence(F.col("_seq"), F.col("_seq") + 5000, F.lit(1000))))
+        live_board.land(copies if nth % 2 else ads, F.lit(day(at)).cast("date"), folder)  # copies of a day's adverts change nothing
+        if nth == 3:
+            live_board.land(ads, F.lit(day(at)).cast("date"), folder)  # nor does a drop that lands twice
+            live_board.land(ads.limit(0), F.lit(day(at)).cast("date"), folder)
+        run = live_board.start(spark, folder, 3, 2)
+        run.awaitTermination()
+        totals.append(run.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+        now = live_board.as_of(spark.read.schema(live_board.CHANGED).parquet(f"{folder}/changes"), day(at))
+        assert sorted((all_ads[x._seq], x.date_added) for x in now.collect()) == sorted((x.title, x.date_added) for x in kept.collect()), at
+    seen = spark.read.parquet(f"{folder}/drops").select("identity").distinct().count()
+    assert totals[-1] < seen  # timers have freed the states of adverts that left
+
+
+def test_stream_of_the_board_knows_adverts_without_links(spark, tmp_path):
+    """Blank links: title, company and city; where these are blank too, each advert is one of its own. Late days replace nothing."""
+    columns, folder = "_seq long, title string, company string, city string, location string, job_url string, date_posted string", str(tmp_path)
+    rows = [(0, "Dev", "Acme", "Durban", "", "", None), (1, "dev", "ACME", "durban", "", None, "soon"), (2, "", "", "", "", "", ""), (3, None, None, None, None, None, None), (4, "Dev", "Acme", "Durban", "", "https://x/1", "")]
+    for at, ads in (("2026-08-03", rows), ("2026-08-04", [(10, "Dev", "Acme", "Durban", "", " ", "")]), ("2026-08-03", [(20, "Dev", "Acme", "Durban", "", " ", "")])):
+        live_board.land(spark.createDataFrame(ads, columns), F.lit(at).cast("date"), folder)
+        live_board.start(spark, folder).awaitTermination()
+    changes = spark.read.schema(live_board.CHANGED).parquet(f"{folder}/changes")
+    got = lambda today: sorted(tuple(x) for x in live_board.as_of(changes, today).select("_seq", "day", "date_added").collect())
+    assert got("2026-08-03") == [(s, "2026-08-03", "2026-08-03") for s in (0, 2, 3, 4)]
+    assert got("2026-08-04") == [(s, "2026-08-03", "2026-08-03") for s in (2, 3, 4)] + [(10, "2026-08-04", "2026-08-03")]
+    assert got("2026-08-10") == got("2026-08-04") and got("2026-08-11") == []

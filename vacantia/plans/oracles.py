@@ -100,5 +100,17 @@ mrg AS (SELECT _seq, title, date_posted, date_added FROM old WHERE _seq NOT IN (
 dts AS (SELECT *, coalesce(try_strptime(left(date_posted, 10), '%Y-%m-%d')::DATE, CASE WHEN regexp_matches(date_posted, '^\\d{{4}}-\\d-\\d$') THEN make_date(CAST(substr(date_posted, 1, 4) AS INT), CAST(substr(date_posted, 6, 1) AS INT), CAST(substr(date_posted, 8, 1) AS INT)) END) AS p, try_strptime(date_added, '%Y-%m-%d')::DATE AS a FROM mrg),
 prn AS (SELECT * FROM dts WHERE (p IS NULL AND a IS NULL) OR coalesce(p, a) >= DATE '{TODAY}' - 7 OR coalesce(a >= DATE '{TODAY}' - 5, false))
 """
+#: The board of a stream on 20 August: days in order for each identity, each with the finding and the leaving of the one before.
+LIVE_BOARD = r"""
+, dr AS (SELECT *, DATE '2026-08-01' + CAST(7 * _seq % 20 AS INT) AS day, CASE WHEN u <> '' THEN 'l' || u WHEN kt <> '' AND kc <> '' THEN concat_ws('|', 'k', kt, kc, kp) ELSE 'r' || _seq END AS i,
+  coalesce(try_strptime(left(date_posted, 10), '%Y-%m-%d')::DATE, CASE WHEN regexp_matches(date_posted, '^\d{4}-\d-\d$') THEN make_date(CAST(substr(date_posted, 1, 4) AS INT), CAST(substr(date_posted, 6, 1) AS INT), CAST(substr(date_posted, 8, 1) AS INT)) END) AS p FROM n),
+fd AS (SELECT i, day, min(_seq) AS sq, arg_min(coalesce(p, DATE '1900-01-01'), _seq) AS p FROM dr GROUP BY i, day),
+od AS (SELECT i, day, sq, nullif(p, DATE '1900-01-01') AS p, row_number() OVER (PARTITION BY i ORDER BY day) AS r FROM fd),
+st AS (SELECT i, r, day, sq, day AS f, greatest(coalesce(p, day) + 7, day + 5) + 1 AS l FROM od WHERE r = 1
+  UNION ALL SELECT i, r, day, sq, f, greatest(coalesce(p, f) + 7, f + 5) + 1 AS l FROM (
+    SELECT od.i, od.r, od.day, od.sq, od.p, CASE WHEN st.l >= od.day THEN st.f ELSE od.day END AS f FROM st JOIN od ON od.i = st.i AND od.r = st.r + 1))
+SELECT sq AS _seq, strftime(day, '%Y-%m-%d') AS day, strftime(f, '%Y-%m-%d') AS date_added, strftime(l, '%Y-%m-%d') AS leaves
+FROM (SELECT *, max(r) OVER (PARTITION BY i) AS top FROM st) WHERE r = top AND l > DATE '2026-08-20'
+"""
 TITLES_WITH_LEVEL = tuple(_TITLE_LEVEL)
 assert set(_TITLE_ROLE) <= set(TITLES) and set(_FEED) <= set(FEED_SKILLS)

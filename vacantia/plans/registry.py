@@ -16,9 +16,10 @@ from vacantia.functions import skills as S
 from vacantia.functions import text as T
 from vacantia.operators import board, dedupe, enrich, extract, history, postings, quality, screen, search
 from vacantia.sources import cards, feeds, listing, quarantine, sinks
+from vacantia.streaming import live_board
 
 from .job_ads import TODAY, adverts
-from .oracles import BOARD, NORM, SKILLS, q
+from .oracles import BOARD, LIVE_BOARD, NORM, SKILLS, q
 from .pipeline import labelled, materialised, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,6 +227,18 @@ def board_counts(spark, sf):
     return board.publish_counts(*_board(spark, sf), TODAY)
 
 
+@query(q(LIVE_BOARD).replace("WITH", "WITH RECURSIVE", 1))
+def board_stream(spark, sf):
+    """Twenty days of adverts in three drops, each taken in by the stream of the board with the states of those before."""
+    folder = f"{shared_folder(spark).rstrip('/')}/live-board-{uuid.uuid4().hex}"
+    ads = adverts(spark, sf).select("_seq", "title", "company", "city", "location", "job_url", "date_posted", F.expr("cast(7 * _seq % 20 as int)").alias("nth"))
+    for first, end in ((0, 7), (7, 14), (14, 20)):
+        drop = ads.where((F.col("nth") >= first) & (F.col("nth") < end))
+        live_board.land(drop, F.expr("date_add(date'2026-08-01', nth)"), folder)
+        live_board.start(spark, folder).awaitTermination()
+    return live_board.as_of(spark.read.schema(live_board.CHANGED).parquet(f"{folder}/changes"), "2026-08-20")
+
+
 _PAY = "CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', lo) || ' - ' || format('{:,}', hi) WHEN lo IS NOT NULL THEN upper(salary_currency) || ' ' || format('{:,}', lo) || '+' WHEN hi IS NOT NULL THEN 'Up to ' || upper(salary_currency) || ' ' || format('{:,}', hi) ELSE '' END"
 _CASE = "CASE {0} WHEN 'remote' THEN 'Remote' WHEN 'hybrid' THEN 'Hybrid' WHEN 'on-site' THEN 'On-Site' WHEN 'full-time' THEN 'Full-Time' WHEN 'contract' THEN 'Contract' WHEN 'part-time' THEN 'Part-Time' WHEN 'entry level' THEN 'Entry Level' ELSE upper(left({0}, 1)) || substr({0}, 2) END"
 _PAID = "SELECT *, CAST(nullif(salary_min, 0) AS BIGINT) AS lo, CAST(nullif(salary_max, 0) AS BIGINT) AS hi FROM "
