@@ -286,6 +286,27 @@ def test_paged_source(spark, tmp_path):
     assert listing.read_pages(spark, f"file://{tmp_path}/none{{page}}.json").count() == 0
 
 
+def test_pages_landed_together(spark, tmp_path):
+    """Ranges of pages in folders of their own, parts in any order, up to the first page that is missing or empty in any range."""
+    for name, lines in {"0/a": ["2\t[2]", "1\t[1]"], "0/b": ["3\t[3]"], "1/a": ["4\t[4]", "6\t[]", "5\t[5]"], "2/a": ["7\t[7]"]}.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    read = lambda **o: sorted((r.page, r.json) for r in listing.read_pages(spark, f"file://{tmp_path}/{{range}}", **o).collect())
+    assert read(pages=3) == [(n, f"[{n}]") for n in (1, 2, 3, 4, 5)]
+    assert [n for n, _ in read(pages=3, most=3)] == [1, 2, 3] and [n for n, _ in read(pages=3, most=4)] == [1, 2, 3, 4]
+
+
+def test_paged_source_lands_few_folders(spark, tmp_path):
+    """2500 pages are landed in five folders of a file each, not in a folder of several files a page."""
+    import glob
+
+    spark.range(125_000).select(F.col("id").alias("event_id"), F.format_string('{"k": %d}', F.col("id")).alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    old = set(glob.glob(f"{pipeline.shared_folder(spark).removeprefix('file:')}/pages-*"))
+    assert registry.QUERIES["paged_source"](spark, str(tmp_path)).count() == 36 * 40
+    (new,) = set(glob.glob(f"{pipeline.shared_folder(spark).removeprefix('file:')}/pages-*")) - old
+    assert len(glob.glob(f"{new}/range=*/*.txt")) == len(glob.glob(f"{new}/range=*")) == 5
+
+
 def test_quarantine(spark, tmp_path):
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 

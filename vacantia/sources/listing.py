@@ -57,12 +57,13 @@ class _Reader(DataSourceReader):
         """Each page's JSON, up to the range's first page that is missing, no JSON, or without an item."""
         from .feeds import fetch, retry
 
+        packed = _packed(self.url.replace("{range}", str((partition.first - 1) // self.each))) if "{range}" in self.url else None
         for page in range(partition.first, partition.last + 1):
             url = self.url.replace("{page}", str(page))
-            if url.startswith(("http://", "https://")):
+            if packed is None and url.startswith(("http://", "https://")):
                 body = retry(lambda: _there(fetch(url)), delay=1.5)  # noqa: B023
             else:
-                body = _landed(url)
+                body = _landed(url) if packed is None else packed.get(page)
                 if body is None:
                     return
             try:
@@ -92,6 +93,12 @@ def _landed(uri: str) -> bytes | None:
     return b"".join(out) if out else None
 
 
+def _packed(uri: str) -> dict[int, bytes]:
+    """Pages that were landed together, by number: lines of a number, a tab and the page's JSON."""
+    lines = (line.partition(b"\t") for line in (_landed(uri) or b"").split(b"\n") if line)
+    return {int(page): body for page, _, body in lines}
+
+
 def _there(body: bytes | None) -> bytes:
     if body is None:
         raise OSError("no answer")
@@ -101,8 +108,8 @@ def _there(body: bytes | None) -> bytes:
 class Pages(DataSource):
     """spark.read.format("pages"): (page, json) of a paged feed, a range of pages a partition.
 
-    Options: url with {page} in it (of a service, or of files or folders of files in any store that Arrow reads), most (pages, 50), pages (of a
-    partition, 10), field (whose emptiness makes a page empty; else the page itself).
+    Options: url with {page} in it (of a service, or of files or folders of files in any store that Arrow reads) or {range}
+    (of folders that each hold the pages of a partition, numbered from 0), most (pages, 50), pages (of a partition, 10), field (whose emptiness makes a page empty; else the page itself).
     """
 
     @classmethod
@@ -117,9 +124,15 @@ class Pages(DataSource):
 
 
 def read_pages(spark: SparkSession, url: str, **options) -> DataFrame:
-    """The pages before the first that is missing or empty: ranges behind it have been read for nothing and are left out."""
+    """The pages before the first that is missing or empty. Where that is, is told by how many pages each range has; ranges
+
+    behind it have been read for nothing, and are not read again.
+    """
     spark.dataSource.register(Pages)
-    pages = spark.read.format("pages").options(url=url, **options).load()
-    place = Window.orderBy("page")  # one narrow row a page, ``most`` at the most
-    reached = pages.select("page").withColumn("_n", F.row_number().over(place)).where("page = _n").select("page")
-    return pages.join(F.broadcast(reached), "page")
+    most, each = int(options.get("most", 50)), int(options.get("pages", 10))
+    read = lambda last: spark.read.format("pages").options(url=url, **{**options, "most": last, "pages": each}).load()
+    have = read(most).groupBy(F.expr(f"(page - 1) div {each}").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    ranges = spark.range(-(-most // each)).join(have, "id", "left").select((F.col("id") * each).alias("before"), F.coalesce("n", F.lit(0)).alias("n"))
+    short = ranges.where(f"n < least({each}, {most} - before)").agg(F.min(F.expr("before + n"))).first()[0]
+    last = most if short is None else short
+    return read(max(last, 1)).where(F.col("page") <= last)
