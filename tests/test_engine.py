@@ -604,3 +604,13 @@ def test_stream_of_the_board_knows_adverts_without_links(spark, tmp_path):
     assert got("2026-08-03") == [(s, "2026-08-03", "2026-08-03") for s in (0, 2, 3, 4)]
     assert got("2026-08-04") == [(s, "2026-08-03", "2026-08-03") for s in (2, 3, 4)] + [(10, "2026-08-04", "2026-08-03")]
     assert got("2026-08-10") == got("2026-08-04") and got("2026-08-11") == []
+
+
+def test_only_words_that_begin_a_spelling_become_rows(spark):
+    """Other words of a text are no rows of the join; a vocabulary too large for a pattern finds the same."""
+    words = spark.createDataFrame([("plain words of a text " * 50 + "restful Javascript, C++ and c#; .NET REST C",)], "t string")
+    seen = words.select(S._surroundings(F.col("t"), S.Spellings.of(S.DEFAULT)).alias("x")).first().x
+    assert len(seen) == 7  # restful, Javascript, C++, c#, NET, REST, and C, which "C Sharp" begins with
+    many = (*S.DEFAULT, *(S.Skill(f"Skill{i}") for i in range(S.PATTERN_SPELLINGS)))
+    few, all_of_them = (S.with_matches(words, F.col("t"), "found", v).first().found for v in (S.DEFAULT, many))
+    assert few == all_of_them == ["JavaScript", "REST APIs", "C#/.NET", "C++"]
