@@ -614,3 +614,13 @@ def test_only_words_that_begin_a_spelling_become_rows(spark):
     many = (*S.DEFAULT, *(S.Skill(f"Skill{i}") for i in range(S.PATTERN_SPELLINGS)))
     few, all_of_them = (S.with_matches(words, F.col("t"), "found", v).first().found for v in (S.DEFAULT, many))
     assert few == all_of_them == ["JavaScript", "REST APIs", "C#/.NET", "C++"]
+
+
+def test_years_are_looked_for_up_to_their_last_word(spark):
+    """What stands behind the last word for years, but for what is looked at there, changes nothing; cutting makes no new word."""
+    tail = " word" * 20_000
+    texts = ["At least 3 years' experience in Java." + tail, "3 yrs" + " " * 56 + "7 yearlings experience" + tail, "2 years of experience. " + "x" * 500 + " 5-7 YEARS working" + tail, "3 years" + tail + " experience"]
+    got = each(spark, texts, "string", lambda c: F.transform(extract.year_mentions(c), lambda m: F.concat_ws("|", m["years"], m["pattern"], m["start"], m["end"])))
+    assert got == [["3|at_least|0|16"], [], ["5|range|524|533", "2|plain|0|7"], []]
+    cut = each(spark, texts, "string", lambda c: F.length(F.regexp_extract(c, extract.UP_TO_YEARS, 0)))
+    assert all(n < 700 for n in cut)
