@@ -624,3 +624,15 @@ def test_years_are_looked_for_up_to_their_last_word(spark):
     assert got == [["3|at_least|0|16"], [], ["5|range|524|533", "2|plain|0|7"], []]
     cut = each(spark, texts, "string", lambda c: F.length(F.regexp_extract(c, extract.UP_TO_YEARS, 0)))
     assert all(n < 700 for n in cut)
+
+
+def test_postings_are_the_runs_of_three_characters(spark, tmp_path):
+    """Of any characters, once each, lower-cased as columns are; made a batch of texts at a time, not an array of strings a text."""
+    texts = ["aAaAa \u00df\u0130x", "\U0001f600\U0001f600y?", "ab", None, "caf\u00e9\n\u65e5\u672c\u8a9e" * 3]
+    jobs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_seq long, title string").selectExpr("_seq", "title", "'' as company", "cast(null as string) as blurb", "'' as description_snippet")
+    postings.post(jobs, str(tmp_path), "0")
+    want = set()
+    for row in jobs.select("_seq", postings._fields().alias("t")).collect():
+        want |= {(row.t[k : k + 3], row._seq) for k in range(len(row.t) - 2)}
+    got = [(r.gram, r._seq) for r in postings.postings(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want

@@ -14,8 +14,10 @@ count once; an advert without text has no postings; other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +40,29 @@ def grams(keyword: str) -> list[str]:
     return sorted({keyword[i : i + SIZE] for i in at if i >= 0})
 
 
+#: Texts whose grams are one batch.
+_SLICE = 64
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, _seq): the runs of three characters of each text (as UTF-8), once; 21 bits a character make a run a number."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _SLICE):
+            batch, found = whole.slice(at, _SLICE), []
+            for body in batch.column(0).to_pylist():
+                c = np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+                found.append(np.unique(c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:]))
+            codes = np.concatenate(found)
+            chars = np.stack([(codes >> np.uint64(k) & np.uint64(0x1FFFFF)).astype("<u4") for k in (42, 21, 0)], axis=1)
+            sizes = (1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000)).sum(axis=1)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            held = pa.StringArray.from_buffers(len(codes), pa.py_buffer(offsets), pa.py_buffer(chars.tobytes().decode("utf-32-le").encode()))
+            yield pa.RecordBatch.from_arrays([held, batch.column(1).take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found])))], ["gram", "_seq"])
+
+
 def post(jobs: DataFrame, folder: str, part: str) -> None:
     """Write the postings of a part's adverts, which have a ``_seq`` that no other part has."""
-    every = F.regexp_extract_all(_fields(), F.lit(f"(?s)(?=(.{{{SIZE}}}))"), F.lit(1))
-    rows = jobs.select(F.explode(F.array_distinct(every)).alias("gram"), F.col("_seq").cast("long").alias("_seq"))
+    rows = jobs.select(_fields().cast("binary").alias("body"), F.col("_seq").cast("long").alias("_seq")).mapInArrow(_runs, "gram string, _seq long")
     rows = rows.withColumn("bucket", (F.crc32("gram") % BUCKETS).cast("int")).repartition("bucket", F.pmod("_seq", F.lit(SPREAD)))
     rows.sortWithinPartitions("bucket", "gram").write.partitionBy("bucket").mode("overwrite").parquet(f"{folder}/part={part}")
 
