@@ -636,3 +636,9 @@ def test_postings_are_the_runs_of_three_characters(spark, tmp_path):
         want |= {(row.t[k : k + 3], row._seq) for k in range(len(row.t) - 2)}
     got = [(r.gram, r._seq) for r in postings.postings(spark, str(tmp_path)).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_capitals_in_a_text_name_skills(spark):
+    """As in the reference, a short name in capitals counts wherever it stands between edges, also in a text all in capitals."""
+    texts = spark.createDataFrame([(0, "THIN!! WAS!! REST.\nONESEN!!"), (1, "the rest of it"), (2, "RESTS. ARREST")], "i int, t string")
+    assert [r.found for r in S.with_matches(texts, F.col("t"), "found").orderBy("i").collect()] == [["REST APIs"], [], []]
