@@ -99,6 +99,23 @@ def test_one_of_each_by_text(spark):
     assert ngram_join.one_of_each(clash).columns == clash.columns and ngram_join.one_of_each(clash).count() == 5
 
 
+def test_jaccard_reads_texts_as_often_whatever_the_rounds(spark, corpus, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRS_FOR_EACH", 0)
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_END", 0)
+    read, rounds, named, link = [], [], ngram_join._named_sets, ngram_join.Space.link
+    monkeypatch.setattr(ngram_join, "_named_sets", lambda sent: read.append(1) or named(sent))
+    monkeypatch.setattr(ngram_join.Space, "link", lambda *a: rounds.append(1) or link(*a))
+    ngram_join.jaccard_components(documents(spark, corpus)).collect()
+    assert len(rounds) > 1 and len(read) <= 2
+
+
+def test_jaccard_cells_of_the_same_points_are_one(spark):
+    words = " ".join(f"w{i}" for i in range(80))
+    space = ngram_join.Space(spark.createDataFrame([(1, f"{words} a"), (2, f"{words} b")], "doc_id long, text string"))
+    assert sorted(r["count"] for r in space.cells.groupBy("cell").count().collect()) == [2]
+    assert space.cells.first()["same"] > 1
+
+
 def test_jaccard_edges(spark):
     df = documents(spark, ["a b c d e f"] * 3 + [None, "a b c d e f"], ids=[5, None, 5, 9, 7])
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()), key=str)
