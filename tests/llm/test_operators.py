@@ -751,3 +751,15 @@ def test_repeated_rows_long_texts_and_no_rows(spark):
 
 def test_every_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES if k.startswith("op")) == list(range(1, 14))
+
+
+def test_training_memory_does_not_follow_the_vocabulary():
+    texts = [" ".join(f"word{i * 400 + j}suffix" for j in range(400)).encode() for i in range(100)]
+    made, whole = [], toxicity.char_ngrams
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity, "char_ngrams", lambda words: made.append(len(words)) or whole(words))
+        m.setattr(toxicity, "ROUNDS", 0)
+        m.setattr(toxicity, "STEPS", 0)
+        net = toxicity.train(texts, [i % 2 for i in range(100)])
+    assert sum(made) == 40_000 and max(made) <= 4096
+    assert (net.p["char"][:, 0] != 0).any()

@@ -33,6 +33,8 @@ SIZES, BUCKETS, WORDS, DOCS_OF_WORD = (3, 4, 5, 6), 1 << 15, 20_000, 3
 POSITIVES, NEGATIVES, SAMPLE_CHARS = 1000, 1500, 12_000_000
 ROUNDS, STEPS, BATCH, RATE, THRESHOLD = 5, 140, 192, 0.01, 0.3
 _CHUNK = 2048
+#: Words of the vocabulary whose n-grams are made at once.
+_WORDS_AT_ONCE = 2048
 
 
 def split_words(data: bytes) -> list[bytes]:
@@ -199,19 +201,22 @@ class Network:
 
 
 def train(texts: list[bytes], labels: list[int]) -> Network:
-    split = [split_words(x) for x in texts]
     y = np.array(labels, np.float32)
-    vocabulary = sorted({w for ws in split for w in ws})
+    vocabulary = sorted({w for x in texts for w in split_words(x)})
     place = {w: i for i, w in enumerate(vocabulary)}
-    docs = [np.fromiter((place[w] for w in ws), np.int64, len(ws)) for ws in split]
-    del split, place  # words of all texts as objects, not to be held while the network learns
+    docs = [np.fromiter((place[w] for w in split_words(x)), np.int64) for x in texts]  # words of one text at a time as objects
+    del place
     n_pos, n_neg = max(1.0, float(y.sum())), max(1.0, float(len(y) - y.sum()))
 
     def odds(pos: np.ndarray, neg: np.ndarray) -> np.ndarray:
         """Log odds of documents with a feature, drawn to 0 where few have it."""
         return (np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))) * (pos + neg) / (pos + neg + 3)
 
-    grams, counts = char_ngrams(vocabulary) if vocabulary else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    blocks = range(0, len(vocabulary), _WORDS_AT_ONCE)
+    made = [(g.astype(np.uint16), n) for g, n in (char_ngrams(vocabulary[a : a + _WORDS_AT_ONCE]) for a in blocks)]  # BUCKETS fit in 16 bits
+    grams = np.concatenate([g for g, _ in made]) if made else np.zeros(0, np.uint16)
+    counts = np.concatenate([n for _, n in made]) if made else np.zeros(0, np.int64)
+    del made
     ends = np.cumsum(counts)
     word_in, char_in = np.zeros((2, len(vocabulary))), np.zeros((2, BUCKETS))
     for ids, label in zip(docs, labels):
@@ -220,7 +225,11 @@ def train(texts: list[bytes], labels: list[int]) -> Network:
         if len(distinct):
             char_in[label, np.unique(np.concatenate([grams[ends[i] - counts[i] : ends[i]] for i in distinct]))] += 1
     word_odds, char_odds = odds(word_in[1], word_in[0]), odds(char_in[1], char_in[0])
-    prior = np.maximum(word_odds, np.maximum.reduceat(char_odds[grams], ends - counts)) if vocabulary else word_odds
+    prior = word_odds.copy()
+    for a in blocks:
+        some, first = slice(a, a + _WORDS_AT_ONCE), ends[a] - counts[a]
+        best = np.maximum.reduceat(char_odds[grams[first : ends[some][-1]]], ends[some] - counts[some] - first)
+        prior[some] = np.maximum(word_odds[some], best)
     seen = word_in.sum(axis=0)
     chosen = np.argsort(-seen, kind="stable")[:WORDS]
     chosen = chosen[seen[chosen] >= DOCS_OF_WORD]
