@@ -99,14 +99,16 @@ def test_one_of_each_by_text(spark):
     assert ngram_join.one_of_each(clash).columns == clash.columns and ngram_join.one_of_each(clash).count() == 5
 
 
-def test_jaccard_reads_texts_as_often_whatever_the_rounds(spark, corpus, monkeypatch):
+def test_jaccard_rounds_do_not_read_texts(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PAIRS_FOR_EACH", 0)
-    monkeypatch.setattr(ngram_join, "PAIRS_AT_END", 0)
+    monkeypatch.setattr(ngram_join, "PAIRS_AT_END", 0, raising=False)
     read, rounds, named, link = [], [], ngram_join._named_sets, ngram_join.Space.link
     monkeypatch.setattr(ngram_join, "_named_sets", lambda sent: read.append(1) or named(sent))
     monkeypatch.setattr(ngram_join.Space, "link", lambda *a: rounds.append(1) or link(*a))
-    ngram_join.jaccard_components(documents(spark, corpus)).collect()
-    assert len(rounds) > 1 and len(read) <= 2
+    words = " ".join(f"w{i}" for i in range(80))
+    texts = spark.createDataFrame([(i, f"{words} own{i}") for i in range(6)], "doc_id long, text string")
+    assert {r.component_id for r in ngram_join.jaccard_components(texts).collect()} == {0}
+    assert rounds and len(read) <= 2
 
 
 def test_jaccard_cells_of_the_same_points_are_one(spark):
