@@ -7,6 +7,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -765,3 +766,33 @@ def test_training_memory_does_not_follow_the_vocabulary():
         net = toxicity.train(texts, [i % 2 for i in range(100)])
     assert sum(made) == 40_000 and max(made) <= 4096
     assert (net.p["char"][:, 0] != 0).any()
+
+
+def test_texts_reach_workers_in_small_batches(spark, monkeypatch):
+    """However many rows Spark's own setting allows: texts are large, and an executor holds a batch several times over."""
+    df = documents(spark, ["some words of a text"] * 3000).coalesce(1)
+
+    def sizes(column, of):
+        def run(batches):
+            for batch in batches:
+                yield batch.append_column(column.name, pa.array([of(batch.num_rows)] * batch.num_rows, column.type))
+
+        return run
+
+    monkeypatch.setattr(toxicity, "_score", lambda sent, column, name: sizes(pa.field(name, pa.float64()), float))
+    found = toxicity.toxicity(df, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()
+    assert len(found) == 3000 and max(r.score for r in found) <= toxicity.TEXTS_AT_ONCE
+
+    def probe(sent, column):
+        def run(batches):
+            for batch in batches:
+                told = [{"item_id": batch.num_rows, "doc_word": 0, "item_word": 0, "n_words": 1, "n_equal": 1}]
+                at = batch.num_columns - 1
+                yield batch.set_column(at, batch.schema.field(at), pa.array([told] * batch.num_rows, batch.schema.field(at).type))
+
+        return run
+
+    monkeypatch.setattr(decontamination, "_probe", probe)
+    bench = spark.createDataFrame([(1, "any item")], "item_id long, text string")
+    rows = decontamination.contaminated(df, bench).collect()
+    assert len(rows) == 3000 and max(r["items"][0] for r in rows) <= decontamination.TEXTS_AT_ONCE

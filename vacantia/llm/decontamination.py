@@ -11,8 +11,8 @@ one of them. A still shorter item stands in all sorts of running text: it matche
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased.
 
 The benchmark is sent to the executors in blocks of at most BLOCK_CHARS characters, each with a pass of its own over the
-documents: what is sent at once has a fixed bound, however large the benchmark; the driver's plan holds all blocks. Null
-or empty texts overlap nothing, an empty benchmark marks nothing, an empty table stays empty. Null items are skipped;
+documents, whose result is a table before the next begins: what is sent at once and what a worker holds have a fixed bound,
+however large the benchmark. Texts go to the workers TEXTS_AT_ONCE at a time. Null or empty texts overlap nothing, an empty benchmark marks nothing, an empty table stays empty. Null items are skipped;
 repeated rows give repeated results; very long texts are read whole; names of other columns can't clash.
 """
 
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .tables import batches_of, discard, through_table
 
 #: Positions that each seed looks at, of SPAN.
 MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 8), (0, 1, 3, 4, 6, 7))
@@ -34,6 +35,8 @@ SPAN, WINDOW, AGREE, SHORT = 9, 20, 0.8, 5
 BLOCK_CHARS = 16_000_000
 #: Hits that are looked at together, of texts and items that repeat their words.
 HITS_AT_ONCE = 1 << 20
+#: Texts that go to a Python worker at once.
+TEXTS_AT_ONCE = 512
 _TABLE_BITS = 20
 OVERLAP = "array<struct<item_id:long, doc_word:long, item_word:long, n_words:long, n_equal:long>>"
 
@@ -171,9 +174,13 @@ def blocks_of(bench: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def find_overlaps(docs: DataFrame, bench: DataFrame, name: str = "overlaps") -> DataFrame:
     """``docs`` with a column ``name``: the benchmark items that each text holds, empty if none."""
     kept = docs.columns
-    out = docs.withColumn(name, F.expr(f"cast(array() as {OVERLAP})"))
+    out, last = docs.withColumn(name, F.expr(f"cast(array() as {OVERLAP})")), None
     for block in blocks_of(bench):
-        out = out.mapInArrow(_probe(pickle.dumps(block), kept.index("text")), out.schema)
+        with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+            out = through_table(out.mapInArrow(_probe(pickle.dumps(block), kept.index("text")), out.schema), "overlaps")
+        if last is not None:
+            discard(last)
+        last = out
     return out
 
 

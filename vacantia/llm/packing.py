@@ -28,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import size_of, through_table
+from .tables import batches_of, size_of, through_table
 from .tokens import encoder
 from .words import mix
 
 SIZE, END_ID = 1024, 0
 DIMENSIONS, AXES, BITS = 256, 4, 10
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: Texts that go to a Python worker at once.
+TEXTS_AT_ONCE = 512
 #: Rows of pieces sent at once; compressed bytes that a task packs, where there are more than the session's partitions hold.
 _FLUSH, PART_BYTES = 4096, 32 << 20
 
@@ -88,8 +90,8 @@ def _keyed(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
                 ids = [np.append(encoder(path).encode(x or ""), np.uint32(END_ID)) for x in batch.column(1).to_pylist()]
                 raw = [x.astype("<u4").tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays(
@@ -172,7 +174,8 @@ def _pack(size: int) -> Callable:
 def pack(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """Pieces of all documents: whose, from which of its ids, the ids (little-endian unsigned 32-bit), and their place in a sequence."""
     keyed = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(_keyed(tokenizer), "doc_id long, key long, crc long, packed binary, n long")
-    held = through_table(keyed, "packing")
+    with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+        held = through_table(keyed, "packing")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size_of(held) // PART_BYTES)
     return held.repartitionByRange(parts, "key", "doc_id", "crc").sortWithinPartitions("key", "doc_id", "crc").select("doc_id", "packed", "n").mapInArrow(_pack(size), PIECES)
 

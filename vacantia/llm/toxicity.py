@@ -27,12 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
+from .tables import batches_of, through_table
 
 WINDOW, STRIDE, UNITS, WIDTH = 32, 16, 12, 12
 SIZES, BUCKETS, WORDS, DOCS_OF_WORD = (3, 4, 5, 6), 1 << 15, 20_000, 3
 POSITIVES, NEGATIVES, SAMPLE_CHARS = 1000, 1500, 12_000_000
 ROUNDS, STEPS, BATCH, RATE, THRESHOLD = 5, 140, 192, 0.01, 0.3
 _CHUNK = 2048
+#: Texts that go to a Python worker at once.
+TEXTS_AT_ONCE = 256
 #: Words of the vocabulary whose n-grams are made at once.
 _WORDS_AT_ONCE = 2048
 
@@ -310,8 +313,8 @@ def _score(sent: bytes | None, column: int, name: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = pickle.loads(sent) if sent else None
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                batch = whole.slice(at, TEXTS_AT_ONCE)
                 texts = [W.lowered(x) for x in batch.column(column).to_pylist()]
                 yield batch.append_column(name, pa.array(net.scores(texts)[0] if net else np.zeros(len(texts)), pa.float64()))
 
@@ -328,7 +331,9 @@ def with_score(docs: DataFrame, labels: DataFrame, name: str = "score") -> DataF
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     scored = with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels)
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    judged = scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+        return through_table(judged, "scores")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -336,4 +341,5 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     name = "score_"
     while name in docs.columns:
         name += "_"
-    return with_score(docs, labels, name).where(F.col(name) < threshold).drop(name)
+    with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+        return through_table(with_score(docs, labels, name).where(F.col(name) < threshold).drop(name), "accepted")
